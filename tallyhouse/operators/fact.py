@@ -17,12 +17,13 @@ def build_fact_sales(
     dim_customer: DataFrame,
     dim_geography: DataFrame | None = None,
     loaded_at: datetime | None = None,
+    carry: dict[str, str] | None = None,
     **join_limits,
 ) -> DataFrame:
     """One row per line inside the calendar, with the keys of its dimensions.
 
     Lines without a known customer keep a NULL customer key. Each dimension is cut to its
-    two key columns before the lookup.
+    two key columns before the lookup. `carry` maps extra output names to line columns.
     """
     measures = [
         "bronze_id",
@@ -39,7 +40,8 @@ def build_fact_sales(
     ]
     if dim_geography is not None:
         measures.append("country")
-    lines = silver.select(*measures)
+    carry = carry or {}
+    lines = silver.select(*measures, *carry.values())
     dates = dim_date.select(F.col("full_date").alias("invoice_date"), "date_key")
     keyed = lookup_join(lines, dates, "invoice_date", "inner", **join_limits)
     keyed = lookup_join(keyed, dim_product.select("stock_code", "product_key"), "stock_code", **join_limits)
@@ -65,6 +67,7 @@ def build_fact_sales(
         "is_valid_transaction",
         F.col("bronze_id").alias("source_bronze_id"),
         F.lit(loaded_at or datetime.now()).cast("timestamp").alias("loaded_at"),
+        *[F.col(column).alias(name) for name, column in carry.items()],
     )
 
 

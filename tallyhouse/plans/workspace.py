@@ -8,6 +8,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import bronze, calendar, customers, fact, geography, products, silver
+from ..profiling import columns as profile_columns
 from ..session import StagingArea
 from ..sources.retail_view import CALENDAR, read_table, retail_lines
 
@@ -39,6 +40,48 @@ class Workspace:
             self._tables[name] = self.area.stage(build(), name)
         return self._tables[name]
 
+    @property
+    def profile_lines(self) -> DataFrame:
+        return self.table("profile_lines", lambda: profile_columns.profile_lines(self.bronze))
+
+    @property
+    def profile_counts(self) -> DataFrame:
+        return self.table("profile_counts", lambda: profile_columns.value_counts(self.profile_lines))
+
+    @property
+    def ingestion_log(self) -> DataFrame:
+        """Log of the monthly batches: a RUNNING event each, then SUCCESS, or FAILED where
+        more than one line in 200 has no invoice date."""
+        lost, lines = F.col("records_failed"), F.col("records_processed")
+        batches = self.bronze.groupBy(F.col("load_batch_id").alias("batch_id")).agg(
+            F.min("load_timestamp").alias("ingestion_start_time"),
+            F.max("load_timestamp").alias("last_load"),
+            F.count(F.lit(1)).alias("records_processed"),
+            F.count_if(F.col("invoice_date") == "nan").alias("records_failed"),
+        )
+        end = F.col("last_load") + F.expr("interval 1 hour")
+        started = batches.select(
+            "batch_id",
+            F.col("ingestion_start_time").alias("event_time"),
+            "ingestion_start_time",
+            F.lit(None).cast("timestamp_ntz").alias("ingestion_end_time"),
+            F.lit("RUNNING").alias("status"),
+            "records_processed",
+            F.lit(0).cast("bigint").alias("records_inserted"),
+            F.lit(0).cast("bigint").alias("records_failed"),
+        )
+        ended = batches.select(
+            "batch_id",
+            end.alias("event_time"),
+            "ingestion_start_time",
+            end.alias("ingestion_end_time"),
+            F.when(lost * 200 > lines, "FAILED").otherwise("SUCCESS").alias("status"),
+            "records_processed",
+            (lines - lost).alias("records_inserted"),
+            "records_failed",
+        )
+        return self.table("ingestion_log", lambda: started.unionByName(ended))
+
     @property
     def bronze(self) -> DataFrame:
         return self.table(

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import as_double, null_if_token
 from ..operators.joins import broadcast_if_small
-from ..operators.running import exact_quantiles
+from ..operators.running import exact_quantiles, number_rows, running_total
 from ..schemas import SOURCE_COLUMNS
 
 Stage = Callable[[DataFrame], DataFrame]
@@ -38,21 +38,19 @@ def profile_lines(bronze: DataFrame) -> DataFrame:
 def recent_rows(df: DataFrame, n: int, *, stage: Stage, time: str = "load_timestamp", tie: str = "bronze_id") -> DataFrame:
     """The n newest rows by load time, ties in order of a unique column.
 
-    Whole load times newer than the boundary are taken as they are; only the boundary
-    load is ordered, so no task ever gathers n rows from every partition.
+    Load times newer than the boundary are taken whole; only the rows of the boundary load
+    are numbered, so no task ever gathers n rows from every partition.
     """
-    from ..operators.running import number_rows
-
-    loads = df.groupBy(time).agg(F.count(F.lit(1)).alias("n"))
-    newest_first = Window.partitionBy(F.lit(0)).orderBy(F.desc(time)).rowsBetween(Window.unboundedPreceding, 0)
-    reached = loads.withColumn("upto", F.sum("n").over(newest_first))
-    boundary = reached.where(F.col("upto") >= n).agg(F.max(F.struct(time, "upto", "n")).alias("b")).first()["b"]
-    if boundary is None:
+    age = -F.unix_micros(F.col(time).cast("timestamp"))
+    loads = df.groupBy(age.alias("_age")).agg(F.count(F.lit(1)).alias("n")).withColumn("_all", F.lit(0))
+    reached = running_total(loads, ["_all"], ["_age"], F.col("n"), "_upto", stage=stage)
+    edge = reached.where(F.col("_upto") >= n).agg(F.min(F.struct("_age", "_upto", "n")).alias("b")).first()["b"]
+    if edge is None:
         return df
-    edge = F.lit(boundary[time])
-    quota = n - (boundary["upto"] - boundary["n"])
-    tied = number_rows(df.where(F.col(time) == edge), [time], [tie], "_rank", stage=stage)
-    return df.where(F.col(time) > edge).unionByName(tied.where(F.col("_rank") <= quota).drop("_rank"))
+    aged = df.withColumn("_age", age)
+    tied = number_rows(aged.where(F.col("_age") == edge["_age"]), ["_age"], [tie], "_rank", stage=stage)
+    kept = tied.where(F.col("_rank") <= n - (edge["_upto"] - edge["n"])).drop("_rank")
+    return aged.where(F.col("_age") < edge["_age"]).unionByName(kept).drop("_age")
 
 
 def value_counts(df: DataFrame, columns: Sequence[str] = SOURCE_COLUMNS) -> DataFrame:

@@ -1 +1,3 @@
+from .ingest import bronze_stream, land_stream
 
+__all__ = ["bronze_stream", "land_stream"]
