@@ -9,6 +9,7 @@ from .columns import (
     null_if_token,
     record_hash,
     row_digest,
+    row_fingerprint,
     safe_divide,
     surrogate_key,
 )
@@ -24,6 +25,7 @@ __all__ = [
     "null_if_token",
     "record_hash",
     "row_digest",
+    "row_fingerprint",
     "safe_divide",
     "surrogate_key",
 ]

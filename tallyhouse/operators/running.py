@@ -34,9 +34,22 @@ def running_total(
     rows = large.agg(F.sum("_rows")).first()[0]
     if rows is None:
         return df.withColumn(out, _running(weight, keys, order))
+    return _split_running_total(df, keys, order, weight, out, large, rows, stage, group_rows)
 
+
+def _split_running_total(
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    weight: Column,
+    out: str,
+    large: DataFrame,
+    rows: int,
+    stage: Stage,
+    group_rows: int,
+) -> DataFrame:
     names = broadcast_if_small(large.select(*keys))
-    small_groups = df.join(names, keys, "left_anti")
+    small_groups = df.join(names, keys, "left_anti").select(*df.columns)
     files = -(-rows // group_rows) + 1
     sorted_rows = (
         df.join(names, keys, "left_semi")
@@ -87,11 +100,19 @@ def exact_quantiles(
 
     `counts` holds one row per (key, value): the heavy repetition is gone before anything is
     ordered, and ordering itself is spread over files when a key has many distinct values.
-    There is one output row per key; `key` must have few values (profiled columns).
+    It is read twice, so pass a staged frame. There is one output row per key; keys are
+    profiled columns, so their totals are a few rows, fetched to plan with.
     """
-    reached = running_total(counts, [key], [value], F.col(n), "_upto", stage=stage, group_rows=group_rows)
-    totals = counts.groupBy(key).agg(F.sum(n).alias("_total"))
-    ranked = reached.join(broadcast_if_small(totals), key)
+    sizes = counts.groupBy(key).agg(F.sum(n), F.count(F.lit(1))).collect()
+    if not sizes:
+        empty = [F.lit(None).cast("double").alias(name) for name in probabilities]
+        return counts.select(key, *empty).limit(0)
+    total = F.element_at(F.create_map(*[F.lit(x) for k, rows, _ in sizes for x in (k, rows)]), F.col(key))
+    if max(distinct for _, _, distinct in sizes) <= group_rows:
+        reached = counts.withColumn("_upto", _running(F.col(n), [key], [value]))
+    else:
+        reached = running_total(counts, [key], [value], F.col(n), "_upto", stage=stage, group_rows=group_rows)
+    ranked = reached.withColumn("_total", total)
 
     picks, results = [], []
     for name, p in probabilities.items():
@@ -100,6 +121,5 @@ def exact_quantiles(
             here = (F.col("_upto") - F.col(n) <= rank) & (rank < F.col("_upto"))
             picks.append(F.max(F.when(here, F.col(value).cast("double"))).alias(f"_{name}_{side}"))
         low, high = F.col(f"_{name}_lo"), F.col(f"_{name}_hi")
-        share = F.lit(p) * (F.col("_total") - 1) - F.floor(F.lit(p) * (F.col("_total") - 1))
-        results.append((low + (high - low) * share).alias(name))
+        results.append((low + (high - low) * (position - F.floor(position))).alias(name))
     return ranked.groupBy(key).agg(F.max("_total").alias("_total"), *picks).select(key, *results)

@@ -639,7 +639,7 @@ SELECT count(customer_id) AS total_customers, CAST(sum(n) FILTER (WHERE customer
   CAST(coalesce(sum(n) FILTER (WHERE customer_id IS NULL), 0) AS BIGINT) AS anonymous_transactions,
   max(n) FILTER (WHERE customer_id IS NOT NULL) AS max_transactions_by_single_customer,
   count(*) FILTER (WHERE customer_id IS NOT NULL AND n > 1) AS repeat_customers,
-  CAST(sum(n) FILTER (WHERE customer_id IS NOT NULL) AS DOUBLE) / CAST(sum(n) AS DOUBLE) * 100 AS customer_id_coverage,
+  CAST(sum(n) FILTER (WHERE customer_id IS NOT NULL) * 100 AS DOUBLE) / CAST(sum(n) AS DOUBLE) AS customer_id_coverage,
   CAST(sum(n) FILTER (WHERE customer_id IS NOT NULL) AS DOUBLE) / count(customer_id) AS avg_transactions_per_customer
 FROM (SELECT customer_id, count(*) AS n FROM profile GROUP BY customer_id)"""
 BODIES["geo_analysis"] = """

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions import as_double, cents_to_dollars, record_hash, safe_divide, surrogate_key
 from ..operators import bronze, calendar, customers, fact, geography, history, incremental, products, silver
 from ..operators.bronze import LoadBatch
-from ..profiling import columns, exploration, insights, scores
+from ..profiling import columns, exploration, insights, report, scores
 from ..quality import checks, pipeline_checks, suites
 from ..schemas import SOURCE_COLUMNS
 from ..sources import compare_tables, convert_to_parquet, read_source
@@ -444,18 +444,17 @@ def profile_columns(ws: Workspace) -> DataFrame:
 
 @query
 def profile_numeric(ws: Workspace) -> DataFrame:
-    found = columns.numeric_profiles(ws.profile_lines, ws.profile_counts, stage=ws.stage)
-    return _rounded(found, 4, "mean", "std_dev", "median", "q1", "q3", "outlier_percentage")
+    return _rounded(ws.profile_numeric, 4, "mean", "std_dev", "median", "q1", "q3", "outlier_percentage")
 
 
 @query
 def profile_text(ws: Workspace) -> DataFrame:
-    return columns.text_profiles(ws.profile_lines)
+    return columns.text_profiles(ws.profile_counts)
 
 
 @query
 def profile_datetime(ws: Workspace) -> DataFrame:
-    return columns.datetime_profile(columns.hourly_counts(ws.profile_lines))
+    return columns.datetime_profile(ws.profile_hours)
 
 
 @query
@@ -465,8 +464,7 @@ def top_values(ws: Workspace) -> DataFrame:
 
 @query
 def summary_stats(ws: Workspace) -> DataFrame:
-    numeric = columns.numeric_profiles(ws.profile_lines, ws.profile_counts, stage=ws.stage)
-    found = columns.summary_stats(ws.profile_lines, ws.profile_counts, numeric).drop("data_type")
+    found = columns.summary_stats(ws.profile_lines, ws.profile_counts, ws.profile_numeric).drop("data_type")
     return _rounded(found, 4, "mean", "std_dev", "q1", "median", "q3")
 
 
@@ -482,27 +480,33 @@ def duplicate_rows(ws: Workspace) -> DataFrame:
 
 @query
 def quality_scores(ws: Workspace) -> DataFrame:
-    found = scores.quality_scores(scores.quality_counts(ws.profile_lines))
+    found = scores.quality_scores(ws.profile_quality)
     return _rounded(found, 8, "overall_score", "completeness_score", "validity_score", "consistency_score")
 
 
 @query
 def quality_issues(ws: Workspace) -> DataFrame:
-    return scores.quality_issues(scores.quality_counts(ws.profile_lines))
+    return scores.quality_issues(ws.profile_quality)
 
 
 @query
 def recommendations(ws: Workspace) -> DataFrame:
-    return scores.recommendations(scores.quality_counts(ws.profile_lines))
+    return scores.recommendations(ws.profile_quality)
 
 
 @query
 def metric_rows(ws: Workspace) -> DataFrame:
-    scored = scores.quality_scores(scores.quality_counts(ws.profile_lines))
+    scored = scores.quality_scores(ws.profile_quality)
     rows = scores.metric_rows(scored, bronze.latest_success(ws.ingestion_log), "bronze.online_retail_raw")
     return _rounded(rows, 8, "metric_value")
 
 
+@query
+def profile_report(ws: Workspace) -> DataFrame:
+    """The whole profile as (section, column_name, metric, value) rows."""
+    return report.tidy(report.profile_sections(ws.profile_lines, stage=ws.stage))
+
+
 # --- insights and exploration ---------------------------------------------------------
 
 
@@ -517,23 +521,24 @@ def revenue_analysis(ws: Workspace) -> DataFrame:
 
 @query
 def customer_analysis(ws: Workspace) -> DataFrame:
-    return insights.customer_analysis(ws.profile_lines)
+    return insights.customer_analysis(columns.frequency(ws.profile_counts, "customer_id"))
 
 
 @query
 def geo_analysis(ws: Workspace) -> DataFrame:
-    trimmed = ws.profile_lines.select(F.trim(F.upper("country")).alias("country"))
+    countries = columns.frequency(ws.profile_counts, "country")
+    trimmed = countries.groupBy(F.trim(F.upper("value")).alias("value")).agg(F.sum("n").alias("n"))
     return insights.geographic_analysis(trimmed, home="NATION_7")
 
 
 @query
 def product_analysis(ws: Workspace) -> DataFrame:
-    return insights.product_analysis(ws.profile_lines)
+    return insights.product_analysis(columns.frequency(ws.profile_counts, "stock_code"))
 
 
 @query
 def temporal_analysis(ws: Workspace) -> DataFrame:
-    return insights.temporal_analysis(columns.hourly_counts(ws.profile_lines))
+    return insights.temporal_analysis(ws.profile_hours)
 
 
 @query

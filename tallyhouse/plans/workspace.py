@@ -8,7 +8,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import bronze, calendar, customers, fact, geography, products, silver
-from ..profiling import columns as profile_columns
+from ..profiling import columns as profile_columns, scores
 from ..session import StagingArea
 from ..sources.retail_view import CALENDAR, read_table, retail_lines
 
@@ -48,6 +48,19 @@ class Workspace:
     def profile_counts(self) -> DataFrame:
         return self.table("profile_counts", lambda: profile_columns.value_counts(self.profile_lines))
 
+    @property
+    def profile_hours(self) -> DataFrame:
+        return self.table("profile_hours", lambda: profile_columns.hourly_counts(self.profile_lines))
+
+    @property
+    def profile_quality(self) -> DataFrame:
+        return self.table("profile_quality", lambda: scores.quality_counts(self.profile_lines))
+
+    @property
+    def profile_numeric(self) -> DataFrame:
+        quarters = profile_columns.quartiles(self.profile_counts, stage=self.stage)
+        return profile_columns.numeric_profiles(self.profile_lines, quarters)
+
     @property
     def ingestion_log(self) -> DataFrame:
         """Log of the monthly batches: a RUNNING event each, then SUCCESS, or FAILED where

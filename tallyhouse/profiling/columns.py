@@ -8,7 +8,6 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import as_double, null_if_token
-from ..operators.joins import broadcast_if_small
 from ..operators.running import exact_quantiles, number_rows, running_total
 from ..schemas import SOURCE_COLUMNS
 
@@ -103,78 +102,85 @@ def _rows_per_column(df: DataFrame, columns: Sequence[str], measures: dict[str,
     return aggregated.select(F.inline(rows))
 
 
-def numeric_counts(counts: DataFrame, columns: Sequence[str] = NUMERIC_COLUMNS) -> DataFrame:
+def frequency(counts: DataFrame, column: str) -> DataFrame:
+    """(value, n) of one column out of `value_counts`, the NULL row included."""
+    return counts.where(F.col("column_name") == column).select("value", "n")
+
+
+def quartiles(
+    counts: DataFrame, columns: Sequence[str] = NUMERIC_COLUMNS, *, stage: Stage
+) -> dict[str, dict[str, float]]:
+    """Column -> its quartiles: at most one row per profiled column is fetched."""
     chosen = counts.where(F.col("column_name").isin(*columns) & F.col("value").isNotNull())
-    return chosen.select("column_name", F.col("value").cast("double").alias("value"), "n")
+    values = chosen.select("column_name", F.col("value").cast("double").alias("value"), "n")
+    rows = exact_quantiles(values, QUARTILES, stage=stage).collect()
+    return {row["column_name"]: row.asDict() for row in rows}
 
 
 def numeric_profiles(
-    df: DataFrame, counts: DataFrame, columns: Sequence[str] = NUMERIC_COLUMNS, *, stage: Stage
+    df: DataFrame, quarters: dict[str, dict[str, float]], columns: Sequence[str] = NUMERIC_COLUMNS
 ) -> DataFrame:
-    """Range, moments, exact quartiles, sign counts and IQR outliers of numeric columns.
+    """Range, moments, quartiles, sign counts and IQR outliers of numeric columns, in one
+    aggregation; the quartiles are known by then, so the outlier fences are literals.
 
     Outliers are only reported for a column with more than one distinct value; their
     percentage is over all rows.
     """
-    measures = {
-        "rows": lambda c: F.count(F.lit(1)),
-        "min_value": lambda c: as_double(F.min(c)),
-        "max_value": lambda c: as_double(F.max(c)),
-        "mean": lambda c: as_double(F.sum(c)) / F.count(c),
-        "std_dev": lambda c: F.stddev_samp(as_double(c)),
-        "zero_count": lambda c: F.count_if(F.col(c) == 0),
-        "negative_count": lambda c: F.count_if(F.col(c) < 0),
-        "positive_count": lambda c: F.count_if(F.col(c) > 0),
-    }
-    base = _rows_per_column(df, columns, measures)
-    values = numeric_counts(counts, columns)
-    quartiles = stage(exact_quantiles(values, QUARTILES, stage=stage))
-    reach = 1.5 * (F.col("q3") - F.col("q1"))
-    outside = (F.col("value") < F.col("q1") - reach) | (F.col("value") > F.col("q3") + reach)
-    outliers = (
-        values.join(broadcast_if_small(quartiles), "column_name")
-        .groupBy("column_name")
-        .agg(
-            F.coalesce(F.sum(F.when(outside, F.col("n"))), F.lit(0)).alias("_outside"),
-            F.count(F.lit(1)).alias("_distinct"),
-        )
-    )
-    joined = base.join(quartiles, "column_name", "left").join(outliers, "column_name", "left")
-    spread = F.col("_distinct") > 1
-    return joined.select(
-        "column_name",
-        "min_value",
-        "max_value",
-        "mean",
-        "median",
-        "std_dev",
-        "q1",
-        "q3",
-        "zero_count",
-        "negative_count",
-        "positive_count",
-        F.when(spread, F.col("_outside")).alias("outlier_count"),
-        F.when(spread, F.col("_outside") / F.col("rows") * 100).alias("outlier_percentage"),
-    )
+    unknown = dict.fromkeys(QUARTILES)
+
+    def quarter(c: str, name: str) -> Column:
+        return F.lit(quarters.get(c, unknown)[name]).cast("double")
 
+    def outside(c: str) -> Column:
+        reach = 1.5 * (quarter(c, "q3") - quarter(c, "q1"))
+        value = as_double(c)
+        return F.count_if((value < quarter(c, "q1") - reach) | (value > quarter(c, "q3") + reach))
+
+    def outliers(c: str) -> Column:
+        return F.when(F.min(c) < F.max(c), outside(c))
 
-def text_profiles(df: DataFrame, columns: Sequence[str] = TEXT_COLUMNS) -> DataFrame:
-    """Lengths and suspicious shapes of text columns; NULL counts for none of them."""
     return _rows_per_column(
         df,
         columns,
         {
-            "avg_length": lambda c: as_double(F.sum(F.length(c))) / F.count(c),
-            "min_length": lambda c: F.min(F.length(c)),
-            "max_length": lambda c: F.max(F.length(c)),
-            "empty_string_count": lambda c: F.count_if(F.col(c) == ""),
-            "whitespace_only_count": lambda c: F.count_if(F.col(c).rlike(BLANK_TEXT)),
-            "has_leading_trailing_spaces": lambda c: F.count_if(F.col(c).rlike(PADDED_TEXT)),
-            "has_special_characters": lambda c: F.count_if(F.col(c).rlike(SPECIAL_TEXT)),
+            "min_value": lambda c: as_double(F.min(c)),
+            "max_value": lambda c: as_double(F.max(c)),
+            "mean": lambda c: as_double(F.sum(c)) / F.count(c),
+            "median": lambda c: F.max(quarter(c, "median")),
+            "std_dev": lambda c: F.stddev_samp(as_double(c)),
+            "q1": lambda c: F.max(quarter(c, "q1")),
+            "q3": lambda c: F.max(quarter(c, "q3")),
+            "zero_count": lambda c: F.count_if(F.col(c) == 0),
+            "negative_count": lambda c: F.count_if(F.col(c) < 0),
+            "positive_count": lambda c: F.count_if(F.col(c) > 0),
+            "outlier_count": outliers,
+            "outlier_percentage": lambda c: outliers(c) / F.count(F.lit(1)) * 100,
         },
     )
 
 
+def text_profiles(counts: DataFrame, columns: Sequence[str] = TEXT_COLUMNS) -> DataFrame:
+    """Lengths and suspicious shapes of text columns; NULL counts for none of them.
+
+    Each distinct value is examined once and weighted with its rows.
+    """
+    text, n = F.col("value"), F.col("n")
+
+    def rows(test: Column) -> Column:
+        return F.coalesce(F.sum(F.when(test, n)), F.lit(0))
+
+    present = counts.where(F.col("column_name").isin(*columns) & text.isNotNull())
+    return present.groupBy("column_name").agg(
+        (as_double(F.sum(F.length(text) * n)) / F.sum(n)).alias("avg_length"),
+        F.min(F.length(text)).alias("min_length"),
+        F.max(F.length(text)).alias("max_length"),
+        rows(text == "").alias("empty_string_count"),
+        rows(text.rlike(BLANK_TEXT)).alias("whitespace_only_count"),
+        rows(text.rlike(PADDED_TEXT)).alias("has_leading_trailing_spaces"),
+        rows(text.rlike(SPECIAL_TEXT)).alias("has_special_characters"),
+    )
+
+
 def hourly_counts(df: DataFrame, column: str = "invoice_date") -> DataFrame:
     """Rows per day and hour; NULL times form one group. Bounded by the calendar."""
     at = F.col(column)

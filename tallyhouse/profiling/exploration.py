@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import as_double
-from .insights import _median, with_revenue
+from .insights import median
 from .scores import merge_rows
 
 Stage = Callable[[DataFrame], DataFrame]
@@ -48,7 +48,7 @@ def customer_revenue_summary(lines: DataFrame, *, stage: Stage) -> DataFrame:
         F.count(F.lit(1)).alias("total_customers"),
         (as_double(F.sum("revenue")) / F.count(F.lit(1))).alias("mean_revenue"),
     )
-    return merge_rows(totals, _median(per_customer, "revenue", "median_revenue", stage))
+    return merge_rows(totals, median(per_customer, "revenue", "median_revenue", stage=stage))
 
 
 def product_totals(lines: DataFrame) -> DataFrame:

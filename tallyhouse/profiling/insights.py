@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions import as_double
+from ..functions import as_double, safe_divide
 from ..operators.running import exact_quantiles
 from .scores import merge_rows
 
@@ -20,9 +20,9 @@ def with_revenue(lines: DataFrame) -> DataFrame:
     return lines.withColumn("revenue", F.col("quantity") * F.col("unit_price"))
 
 
-def _median(values: DataFrame, column: str, name: str, stage: Stage) -> DataFrame:
+def median(values: DataFrame, column: str, name: str, *, stage: Stage) -> DataFrame:
     """Exact median of a column as a one-row frame; equal values are counted first."""
-    counts = (
+    counts = stage(
         values.where(F.col(column).isNotNull())
         .groupBy(as_double(column).alias("value"))
         .agg(F.count(F.lit(1)).alias("n"))
@@ -31,24 +31,28 @@ def _median(values: DataFrame, column: str, name: str, stage: Stage) -> DataFram
     return exact_quantiles(counts, {name: 0.5}, stage=stage).select(name)
 
 
-def revenue_analysis(lines: DataFrame, *, stage: Stage) -> DataFrame:
-    """Total, mean, median and highest line revenue and the number of negative lines."""
-    revenue = with_revenue(lines).select("revenue")
-    totals = revenue.agg(
+def revenue_totals(lines: DataFrame) -> DataFrame:
+    """Total, mean and highest line revenue and the number of negative lines."""
+    return with_revenue(lines).agg(
         as_double(F.sum("revenue")).alias("total_revenue"),
         (as_double(F.sum("revenue")) / F.count("revenue")).alias("average_transaction_value"),
         as_double(F.max("revenue")).alias("highest_single_transaction"),
         F.count_if(F.col("revenue") < 0).alias("negative_revenue_transactions"),
     )
-    return merge_rows(totals, _median(revenue, "revenue", "median_transaction_value", stage))
 
 
-def customer_analysis(lines: DataFrame) -> DataFrame:
-    """Customer coverage and lines per customer, from one count per customer."""
-    per_customer = lines.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n"))
-    known, n = F.col("customer_id").isNotNull(), F.col("n")
-    summed = per_customer.agg(
-        F.count("customer_id").alias("total_customers"),
+def revenue_analysis(lines: DataFrame, *, stage: Stage) -> DataFrame:
+    """`revenue_totals` with the exact median."""
+    middle = median(with_revenue(lines).select("revenue"), "revenue", "median_transaction_value", stage=stage)
+    return merge_rows(revenue_totals(lines), middle)
+
+
+def customer_analysis(customers: DataFrame) -> DataFrame:
+    """Customer coverage and lines per customer, from (value, n) rows of the customer ids,
+    with one row for the lines without an id."""
+    known, n = F.col("value").isNotNull(), F.col("n")
+    summed = customers.agg(
+        F.count("value").alias("total_customers"),
         F.coalesce(F.sum(F.when(known, n)), F.lit(0)).alias("transactions_with_customer_id"),
         F.coalesce(F.sum(F.when(~known, n)), F.lit(0)).alias("anonymous_transactions"),
         F.max(F.when(known, n)).alias("max_transactions_by_single_customer"),
@@ -57,8 +61,8 @@ def customer_analysis(lines: DataFrame) -> DataFrame:
     named, anonymous = F.col("transactions_with_customer_id"), F.col("anonymous_transactions")
     return summed.select(
         "*",
-        (named / (named + anonymous) * 100).alias("customer_id_coverage"),
-        (named / F.col("total_customers")).alias("avg_transactions_per_customer"),
+        safe_divide(named * 100, named + anonymous, None).alias("customer_id_coverage"),
+        safe_divide(named, "total_customers", None).alias("avg_transactions_per_customer"),
     )
 
 
@@ -80,28 +84,27 @@ def _metrics(one_row: DataFrame) -> DataFrame:
     return one_row.select(F.inline(pairs))
 
 
-def geographic_analysis(lines: DataFrame, home: str = HOME_COUNTRY, top: int = 10) -> DataFrame:
-    """Countries by lines, and home against all others (a missing country is not home)."""
-    per_country = lines.groupBy("country").agg(F.count(F.lit(1)).alias("n"))
-    at_home = F.col("country").eqNullSafe(home)
-    totals = per_country.agg(
-        F.count("country").alias("total_countries"),
+def geographic_analysis(countries: DataFrame, home: str = HOME_COUNTRY, top: int = 10) -> DataFrame:
+    """Countries by lines, and home against all others (a missing country is not home),
+    from (value, n) rows."""
+    at_home = F.col("value").eqNullSafe(home)
+    totals = countries.agg(
+        F.count("value").alias("total_countries"),
         F.coalesce(F.sum(F.when(at_home, F.col("n"))), F.lit(0)).alias("home_transactions"),
         F.coalesce(F.sum(F.when(~at_home, F.col("n"))), F.lit(0)).alias("international_transactions"),
     )
-    named = per_country.where(F.col("country").isNotNull())
-    leaders = named.orderBy(F.desc("n"), "country").limit(top)
-    return _stack(_metrics(totals), _labelled(leaders, "top_country", "country", "n"))
+    leaders = countries.where(F.col("value").isNotNull()).orderBy(F.desc("n"), "value").limit(top)
+    return _stack(_metrics(totals), _labelled(leaders, "top_country", "value", "n"))
 
 
-def product_analysis(lines: DataFrame, top: int = 10) -> DataFrame:
-    """Products by lines, and products seen once."""
-    per_product = lines.where(F.col("stock_code").isNotNull()).groupBy("stock_code").agg(F.count(F.lit(1)).alias("n"))
-    totals = per_product.agg(
+def product_analysis(products: DataFrame, top: int = 10) -> DataFrame:
+    """Products by lines, and products seen once, from (value, n) rows."""
+    known = products.where(F.col("value").isNotNull())
+    totals = known.agg(
         F.count(F.lit(1)).alias("total_products"), F.count_if(F.col("n") == 1).alias("single_transaction_products")
     )
-    leaders = per_product.orderBy(F.desc("n"), "stock_code").limit(top)
-    return _stack(_metrics(totals), _labelled(leaders, "popular_product", "stock_code", "n"))
+    leaders = known.orderBy(F.desc("n"), "value").limit(top)
+    return _stack(_metrics(totals), _labelled(leaders, "popular_product", "value", "n"))
 
 
 def temporal_analysis(hourly: DataFrame, top_hours: int = 5) -> DataFrame:

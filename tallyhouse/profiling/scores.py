@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions import row_digest
+from ..functions import row_fingerprint
 
 # Columns that may hold at most 5 % NULLs.
 CRITICAL_COLUMNS = ("invoice", "stock_code", "quantity", "unit_price", "country")
@@ -47,9 +47,8 @@ def overview(df: DataFrame, profiles: DataFrame) -> DataFrame:
 
 def duplicate_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Second and later copies of exactly equal rows, as one number."""
-    groups = df.select(row_digest(columns or df.columns).alias("digest")).groupBy("digest").agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    prints = df.select(*row_fingerprint(columns or df.columns))
+    groups = prints.groupBy(*prints.columns).agg(F.count(F.lit(1)).alias("n"))
     return groups.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_records"))
 
 

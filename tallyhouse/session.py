@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -16,6 +18,7 @@ def build_session(app_name: str = "tallyhouse", master: str | None = None, **con
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)
@@ -35,7 +38,9 @@ def shared_folder(spark: SparkSession) -> str:
         return configured.rstrip("/")
     context = spark.sparkContext
     if context.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="tallyhouse-")
+        folder = tempfile.mkdtemp(prefix="tallyhouse-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        return folder
     raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
 
 
