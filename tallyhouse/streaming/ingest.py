@@ -47,16 +47,10 @@ def land_stream(
     """
 
     def land(batch: DataFrame, batch_number: int) -> None:
-        named = batch.withColumn("load_batch_id", F.lit(f"STREAM_{batch_number:08d}"))
-        (
-            named.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("load_batch_id")
-            .parquet(target)
-        )
+        partition = f"{target}/load_batch_id=STREAM_{batch_number:08d}"
+        batch.write.mode("overwrite").parquet(partition)
         if after_batch:
-            landed = batch.sparkSession.read.parquet(f"{target}/load_batch_id=STREAM_{batch_number:08d}")
-            after_batch(landed, batch_number)
+            after_batch(batch.sparkSession.read.parquet(partition), batch_number)
 
     query = (
         stream.writeStream.foreachBatch(land)
