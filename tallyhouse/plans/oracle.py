@@ -726,6 +726,64 @@ SELECT o_orderkey, md5(CAST(o_orderkey AS VARCHAR)) AS order_key,
     ELSE '_dbt_utils_surrogate_key_null_' END) AS pair_key FROM orders"""
 
 
+# The whole profile as (section, column_name, metric, number, text) rows.
+_SECTIONS = {
+    "dataset_overview": ("overview", None, (
+        "total_records", "total_columns", "min_date", "max_date", "date_span_days", "latest_load", "oldest_load",
+        "unique_invoices", "unique_products", "unique_customers", "unique_countries")),
+    "column_profiles": ("profile_columns", "column_name", (
+        "non_null_count", "null_count", "null_percentage", "unique_count", "unique_percentage")),
+    "numeric_profiles": ("profile_numeric", "column_name", (
+        "min_value", "max_value", "mean", "median", "std_dev", "q1", "q3", "zero_count", "negative_count",
+        "positive_count", "outlier_count", "outlier_percentage")),
+    "text_profiles": ("profile_text", "column_name", (
+        "avg_length", "min_length", "max_length", "empty_string_count", "whitespace_only_count",
+        "has_leading_trailing_spaces", "has_special_characters")),
+    "datetime_profiles": ("profile_datetime", "column_name", (
+        "min_date", "max_date", "date_range_days", "unique_years", "unique_months", "unique_days", "unique_hours",
+        "weekend_transactions", "business_hours_transactions")),
+    "data_quality": ("quality_scores", None, (
+        "total_records", "overall_score", "completeness_score", "validity_score", "consistency_score",
+        "critical_issues", "high_issues", "medium_issues", "low_issues")),
+    "revenue_analysis": ("revenue_analysis", None, (
+        "total_revenue", "average_transaction_value", "highest_single_transaction", "negative_revenue_transactions",
+        "median_transaction_value")),
+    "customer_analysis": ("customer_analysis", None, (
+        "total_customers", "transactions_with_customer_id", "anonymous_transactions",
+        "max_transactions_by_single_customer", "repeat_customers", "customer_id_coverage",
+        "avg_transactions_per_customer")),
+}
+BLOCKS |= {f"section_{name}": BODIES[body] for name, (body, _, _) in _SECTIONS.items()}
+BLOCKS |= {
+    "section_products": BODIES["product_analysis"],
+    "section_times": BODIES["temporal_analysis"],
+    "section_tops": BODIES["top_values"],
+    "section_advice": BODIES["recommendations"],
+    "section_countries": BODIES["geo_analysis"].replace("trim(upper(country))", "country").replace("NATION_7", "United Kingdom"),
+}
+_TIDY = [
+    f"SELECT '{name}' AS section, {column or 'NULL'} AS column_name, '{m}' AS metric, CAST({m} AS VARCHAR) AS value "
+    f"FROM section_{name}"
+    for name, (_, column, metrics) in _SECTIONS.items()
+    for m in metrics
+] + [
+    f"SELECT '{name}', section, label, CAST(n AS VARCHAR) FROM {block}"
+    for name, block in (
+        ("geographic_analysis", "section_countries"),
+        ("product_analysis", "section_products"),
+        ("temporal_analysis", "section_times"),
+    )
+] + [
+    "SELECT 'top_values', column_name, value, CAST(n AS VARCHAR) FROM section_tops",
+    "SELECT 'quality_issues', column_name, severity || '/' || type, description FROM issues",
+    "SELECT 'recommendations', category, priority, issue || ': ' || recommendation FROM section_advice",
+]
+BODIES["profile_report"] = (
+    "SELECT section, column_name, metric, round(TRY_CAST(value AS DOUBLE), 4) AS number, "
+    "CASE WHEN TRY_CAST(value AS DOUBLE) IS NULL THEN value END AS text FROM (" + " UNION ALL ".join(_TIDY) + ")"
+)
+
+
 def _needed(text: str) -> list[str]:
     """Names of the blocks a text uses, directly or through other blocks."""
     found: set[str] = set()

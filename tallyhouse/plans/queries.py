@@ -503,8 +503,13 @@ def metric_rows(ws: Workspace) -> DataFrame:
 
 @query
 def profile_report(ws: Workspace) -> DataFrame:
-    """The whole profile as (section, column_name, metric, value) rows."""
-    return report.tidy(report.profile_sections(ws.profile_lines, stage=ws.stage))
+    """The whole profile as rows, numbers and texts apart; data types are left out."""
+    rows = report.tidy(report.profile_sections(ws.profile_lines, stage=ws.stage)).where("metric is distinct from 'data_type'")
+    number = F.col("value").try_cast("double")
+    return rows.select(
+        "section", "column_name", "metric", F.round(number, 4).alias("number"),
+        F.when(number.isNull(), F.col("value")).alias("text"),
+    )
 
 
 # --- insights and exploration ---------------------------------------------------------
