@@ -8,6 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import row_digest, surrogate_key
+from .joins import lookup_join
 
 HISTORY_COLUMNS = ("effective_date", "expiration_date", "is_current", "version_number")
 
@@ -70,19 +71,18 @@ def version_key(key: str):
     return surrogate_key(key, "effective_date")
 
 
-def as_of_version(facts: DataFrame, history: DataFrame, key: str, on_date: str) -> DataFrame:
-    """Each fact with the version in force on its date: equal key, effective <= date < expiration."""
-    versions = history.select(
-        F.col(key).alias("_vkey"),
-        version_key(key).alias("version_key"),
-        "version_number",
-        "effective_date",
-        "expiration_date",
-    )
+def as_of_version(facts: DataFrame, history: DataFrame, key: str, on_date: str, **join_limits) -> DataFrame:
+    """Each fact with the version in force on its date: equal key, effective <= date < expiration.
+
+    A key has at most one version per day, so its versions fit one row; the lookup is then
+    the same balanced N:1 join the fact uses, whatever key is hot.
+    """
+    version = F.struct("effective_date", "expiration_date", "version_number", version_key(key).alias("version_key"))
+    versions = history.groupBy(key).agg(F.collect_list(version).alias("_versions"))
     day = F.col(on_date)
-    in_force = (day >= F.col("effective_date")) & (
-        F.col("expiration_date").isNull() | (day < F.col("expiration_date"))
-    )
-    return facts.join(versions, (F.col(key) == F.col("_vkey")) & in_force, "left").drop(
-        "_vkey", "effective_date", "expiration_date"
+    in_force = F.filter(
+        "_versions",
+        lambda v: (day >= v["effective_date"]) & (v["expiration_date"].isNull() | (day < v["expiration_date"])),
     )
+    found = lookup_join(facts, versions, key, **join_limits).withColumn("_version", F.get(in_force, F.lit(0)))
+    return found.select(*facts.columns, "_version.version_key", "_version.version_number")

@@ -10,11 +10,13 @@ MAX_HOT_KEYS = 10_000
 
 
 def frame_bytes(df: DataFrame) -> int:
-    """Measured size of a frame's values: text by its bytes, 16 bytes for anything else."""
+    """Measured size of a frame's values: text and nested values by their text, else 16 bytes."""
     width: Column = F.lit(16 * len(df.columns))
     for name, kind in df.dtypes:
         if kind == "string":
             width = width + F.coalesce(F.octet_length(name), F.lit(0))
+        elif kind.startswith(("array", "struct", "map")):
+            width = width + F.coalesce(F.octet_length(F.to_json(name)), F.lit(0))
     return df.agg(F.coalesce(F.sum(width.cast("bigint")), F.lit(0))).first()[0]
 
 

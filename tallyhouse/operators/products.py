@@ -18,24 +18,24 @@ from ..schemas import (
 )
 
 
-def product_metrics(silver: DataFrame, *, valid_only: bool = True) -> DataFrame:
+def product_measures(silver: DataFrame, *, valid_only: bool = True) -> DataFrame:
     """Sales and return measures per stock code.
 
     With `valid_only` no return line gets in, so the return measures are zero;
-    `valid_only=False` counts returns for real.
+    `valid_only=False` counts returns for real. All state is of fixed width, so this stays
+    a hash aggregation; distinct customers and countries are counted after a shuffle that
+    includes them, so a hot product is spread.
     """
     lines = silver.where(F.col("is_valid_transaction")) if valid_only else silver
     sold, returned = ~F.col("is_return"), F.col("is_return")
+    price = F.when(sold, F.col("unit_price"))
     summed = lines.groupBy("stock_code").agg(
-        F.max("product_description").alias("product_description"),
         F.countDistinct(F.when(sold, F.col("customer_id"))).alias("unique_customers"),
         F.count(F.lit(1)).alias("total_transactions"),
         F.sum(F.when(sold, F.col("quantity")).otherwise(0)).alias("total_units_sold"),
         F.sum(F.when(returned, F.abs("quantity")).otherwise(0)).alias("total_units_returned"),
         F.sum(F.when(sold, F.col("line_total")).otherwise(0)).alias("total_revenue"),
-        (as_double(F.sum(F.when(sold, F.col("unit_price")))) / F.count(F.when(sold, F.col("unit_price")))).alias(
-            "avg_unit_price"
-        ),
+        (as_double(F.sum(price)) / F.count(price)).alias("avg_unit_price"),
         F.count_if(returned).alias("return_count"),
         F.countDistinct("country").alias("countries_sold_in"),
         F.min("invoice_date").alias("first_sale_date"),
@@ -50,6 +50,14 @@ def product_metrics(silver: DataFrame, *, valid_only: bool = True) -> DataFrame:
     )
 
 
+def product_metrics(silver: DataFrame, *, valid_only: bool = True) -> DataFrame:
+    """`product_measures` with the lexically greatest description of the same lines."""
+    lines = silver.where(F.col("is_valid_transaction")) if valid_only else silver
+    names = lines.select("stock_code", "product_description").distinct()
+    greatest = names.groupBy("stock_code").agg(F.max("product_description").alias("product_description"))
+    return greatest.join(product_measures(silver, valid_only=valid_only), "stock_code")
+
+
 def latest_description(silver: DataFrame) -> DataFrame:
     """Every stock code with its newest description, NULL if it never had one.
 
@@ -79,7 +87,7 @@ def with_category(products: DataFrame) -> DataFrame:
 def build_dim_product(silver: DataFrame, updated_at: datetime | None = None) -> DataFrame:
     """Product dimension: all stock codes, with zero measures for those never validly sold."""
     names = latest_description(silver.where(F.col("stock_code").isNotNull()))
-    metrics = product_metrics(silver).drop("product_description")
+    metrics = product_measures(silver)
     zeros = (
         "unique_customers",
         "total_transactions",

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions import as_double, cents_to_dollars, record_hash, safe_divide, surrogate_key
 from ..operators import bronze, calendar, customers, fact, geography, history, incremental, products, silver
 from ..operators.bronze import LoadBatch
+from ..operators.joins import lookup_join
 from ..profiling import columns, exploration, insights, report, scores
 from ..quality import checks, pipeline_checks, suites
 from ..schemas import SOURCE_COLUMNS
@@ -227,7 +228,7 @@ def product_metrics(ws: Workspace) -> DataFrame:
 
 @query
 def product_returns(ws: Workspace) -> DataFrame:
-    metrics = products.product_metrics(ws.silver, valid_only=False)
+    metrics = products.product_measures(ws.silver, valid_only=False)
     return metrics.select(
         "stock_code", "total_units_sold", "total_units_returned", "return_count", "return_rate_percent"
     )
@@ -353,7 +354,7 @@ def orphan_summary(ws: Workspace) -> DataFrame:
     known = ws.dim_product.where(F.col("performance_tier") == "Star Product").select("product_key")
     lines = ws.fact_sales.select("product_key", "invoice_number")
     unknown = F.col("_known").isNull()
-    marked = lines.join(known.withColumn("_known", F.lit(1)), "product_key", "left").withColumn(
+    marked = lookup_join(lines, known.withColumn("_known", F.lit(1)), "product_key").withColumn(
         "product_key", F.when(~unknown, F.col("product_key"))
     )
     return pipeline_checks.orphan_summary(marked)

@@ -10,8 +10,18 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def build_session(app_name: str = "tallyhouse", master: str | None = None, **conf) -> SparkSession:
-    """A session with adaptive execution, skew-join splitting and UTC clocks."""
+SHUFFLE_BYTES = 128 * 1024 * 1024
+
+
+def build_session(
+    app_name: str = "tallyhouse", master: str | None = None, input_bytes: int | None = None, **conf
+) -> SparkSession:
+    """A session with adaptive execution, skew-join splitting and UTC clocks.
+
+    `input_bytes`, the size of the largest table a run shuffles, sets the number of shuffle
+    partitions so that each holds about 128 MB; adaptive execution merges those that turn
+    out smaller. Stream state is kept in RocksDB, off the heap.
+    """
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.session.timeZone", "UTC")
@@ -19,7 +29,13 @@ def build_session(app_name: str = "tallyhouse", master: str | None = None, **con
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        .config(
+            "spark.sql.streaming.stateStore.providerClass",
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        )
     )
+    if input_bytes:
+        builder = builder.config("spark.sql.shuffle.partitions", max(200, -(-input_bytes // SHUFFLE_BYTES)))
     if master:
         builder = builder.master(master)
     for key, value in conf.items():

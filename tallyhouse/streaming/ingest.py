@@ -21,8 +21,9 @@ def bronze_stream(
 ) -> DataFrame:
     """Lines of new files as text with their hash, a hash repeated within the window once.
 
-    The event time is the time of loading, so no line is ever too late; the state holds
-    one hash per line of the window.
+    The event time is the time of loading, so no line is ever too late. Repeats are dropped
+    first per reading task and then overall: a record with very many copies is spread over
+    tasks by the first step, and only one copy per task reaches the second.
     """
     reader = spark.readStream.schema(schema).format(fmt)
     if files_per_trigger:
@@ -30,8 +31,13 @@ def bronze_stream(
     if fmt == "csv":
         reader = reader.option("header", True).option("escape", '"')
     lines = with_record_hash(as_text(rename_headers(reader.load(path))))
-    timed = lines.withColumn("load_timestamp", F.current_timestamp())
-    return timed.withWatermark("load_timestamp", repeat_window).dropDuplicatesWithinWatermark(["record_hash"])
+    timed = lines.withColumn("load_timestamp", F.current_timestamp()).withColumn("_task", F.spark_partition_id())
+    return (
+        timed.withWatermark("load_timestamp", repeat_window)
+        .dropDuplicatesWithinWatermark(["record_hash", "_task"])
+        .dropDuplicatesWithinWatermark(["record_hash"])
+        .drop("_task")
+    )
 
 
 def land_stream(
