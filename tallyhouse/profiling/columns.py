@@ -90,18 +90,6 @@ def top_values(counts: DataFrame, k: int = 10, columns: Sequence[str] | None = N
     return present.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def _rows_per_column(df: DataFrame, columns: Sequence[str], measures: dict[str, Callable[[str], Column]]) -> DataFrame:
-    """One row per column from a single aggregation of all of them."""
-    aggregated = df.agg(*[make(c).alias(f"{c}__{name}") for c in columns for name, make in measures.items()])
-    rows = F.array(
-        *[
-            F.struct(F.lit(c).alias("column_name"), *[F.col(f"{c}__{name}").alias(name) for name in measures])
-            for c in columns
-        ]
-    )
-    return aggregated.select(F.inline(rows))
-
-
 def frequency(counts: DataFrame, column: str) -> DataFrame:
     """(value, n) of one column out of `value_counts`, the NULL row included."""
     return counts.where(F.col("column_name") == column).select("value", "n")
@@ -117,46 +105,62 @@ def quartiles(
     return {row["column_name"]: row.asDict() for row in rows}
 
 
-def numeric_profiles(
-    df: DataFrame, quarters: dict[str, dict[str, float]], columns: Sequence[str] = NUMERIC_COLUMNS
-) -> DataFrame:
-    """Range, moments, quartiles, sign counts and IQR outliers of numeric columns, in one
-    aggregation; the quartiles are known by then, so the outlier fences are literals.
+def numeric_aggregates(
+    quarters: dict[str, dict[str, float]], columns: Sequence[str] = NUMERIC_COLUMNS
+) -> dict[str, str]:
+    """Name -> SQL aggregate of every numeric measure, named column__measure.
 
-    Outliers are only reported for a column with more than one distinct value; their
-    percentage is over all rows.
+    The quartiles are known by now, so the outlier fences are literals. Outliers are only
+    reported for a column with more than one distinct value; their percentage is over all
+    rows.
     """
-    unknown = dict.fromkeys(QUARTILES)
-
-    def quarter(c: str, name: str) -> Column:
-        return F.lit(quarters.get(c, unknown)[name]).cast("double")
-
-    def outside(c: str) -> Column:
-        reach = 1.5 * (quarter(c, "q3") - quarter(c, "q1"))
-        value = as_double(c)
-        return F.count_if((value < quarter(c, "q1") - reach) | (value > quarter(c, "q3") + reach))
-
-    def outliers(c: str) -> Column:
-        return F.when(F.min(c) < F.max(c), outside(c))
-
-    return _rows_per_column(
-        df,
-        columns,
-        {
-            "min_value": lambda c: as_double(F.min(c)),
-            "max_value": lambda c: as_double(F.max(c)),
-            "mean": lambda c: as_double(F.sum(c)) / F.count(c),
-            "median": lambda c: F.max(quarter(c, "median")),
-            "std_dev": lambda c: F.stddev_samp(as_double(c)),
-            "q1": lambda c: F.max(quarter(c, "q1")),
-            "q3": lambda c: F.max(quarter(c, "q3")),
-            "zero_count": lambda c: F.count_if(F.col(c) == 0),
-            "negative_count": lambda c: F.count_if(F.col(c) < 0),
-            "positive_count": lambda c: F.count_if(F.col(c) > 0),
+    found = {}
+    for c in columns:
+        known = quarters.get(c)
+        quarter = {q: f"{known[q]!r}D" if known else "cast(null as double)" for q in QUARTILES}
+        reach = f"1.5D * ({quarter['q3']} - {quarter['q1']})"
+        outside = f"cast({c} as double) < {quarter['q1']} - {reach} or cast({c} as double) > {quarter['q3']} + {reach}"
+        outliers = f"case when min({c}) < max({c}) then count_if({outside}) end"
+        measures = {
+            "min_value": f"cast(min({c}) as double)",
+            "max_value": f"cast(max({c}) as double)",
+            "mean": f"try_divide(cast(sum({c}) as double), count({c}))",
+            "median": f"max({quarter['median']})",
+            "std_dev": f"stddev_samp(cast({c} as double))",
+            "q1": f"max({quarter['q1']})",
+            "q3": f"max({quarter['q3']})",
+            "zero_count": f"count_if({c} = 0)",
+            "negative_count": f"count_if({c} < 0)",
+            "positive_count": f"count_if({c} > 0)",
             "outlier_count": outliers,
-            "outlier_percentage": lambda c: outliers(c) / F.count(F.lit(1)) * 100,
-        },
-    )
+            "outlier_percentage": f"try_divide({outliers}, count(*)) * 100",
+        }
+        found |= {f"{c}__{name}": sql for name, sql in measures.items()}
+    return found
+
+
+NUMERIC_MEASURES = (
+    "min_value", "max_value", "mean", "median", "std_dev", "q1", "q3",
+    "zero_count", "negative_count", "positive_count", "outlier_count", "outlier_percentage",
+)
+
+
+def aggregate(df: DataFrame, aggregates: dict[str, str]) -> DataFrame:
+    """One row of named SQL aggregates, from one pass."""
+    return df.selectExpr(*[f"{sql} as {name}" for name, sql in aggregates.items()])
+
+
+def numeric_rows(totals: DataFrame, columns: Sequence[str] = NUMERIC_COLUMNS) -> DataFrame:
+    """The row of `numeric_aggregates` as one row per column."""
+    values = ", ".join(f"'{c}', " + ", ".join(f"{c}__{m}" for m in NUMERIC_MEASURES) for c in columns)
+    return totals.selectExpr(f"stack({len(columns)}, {values}) as (column_name, {', '.join(NUMERIC_MEASURES)})")
+
+
+def numeric_profiles(
+    df: DataFrame, quarters: dict[str, dict[str, float]], columns: Sequence[str] = NUMERIC_COLUMNS
+) -> DataFrame:
+    """Range, moments, quartiles, sign counts and IQR outliers of numeric columns."""
+    return numeric_rows(aggregate(df, numeric_aggregates(quarters, columns)), columns)
 
 
 def text_profiles(counts: DataFrame, columns: Sequence[str] = TEXT_COLUMNS) -> DataFrame:

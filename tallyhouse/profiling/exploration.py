@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions import as_double
 from .insights import median
-from .scores import merge_rows
+from .scores import distinct_row, merge_rows
 
 Stage = Callable[[DataFrame], DataFrame]
 
@@ -120,10 +120,8 @@ def exploration_summary(lines: DataFrame, profiles: DataFrame) -> DataFrame:
     )
     orders = lines.where(F.col("invoice").isNotNull()).groupBy("invoice").agg(F.sum("revenue").alias("value"))
     order_value = orders.agg((as_double(F.sum("value")) / F.count("value")).alias("avg_order_value"))
-    named = {"unique_customers": "customer_id", "unique_products": "stock_code", "countries": "country"}
-    distinct = profiles.agg(
-        *[F.max(F.when(F.col("column_name") == c, F.col("unique_count"))).alias(name) for name, c in named.items()]
-    )
+    names = {"unique_customers": "customer_id", "unique_products": "stock_code", "countries": "country"}
+    distinct = distinct_row(profiles, names)
     return merge_rows(totals, order_value, distinct)
 
 

@@ -7,8 +7,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions import as_double, safe_divide
+from ..functions import as_double
 from ..operators.running import exact_quantiles
+from .columns import aggregate
 from .scores import merge_rows
 
 Stage = Callable[[DataFrame], DataFrame]
@@ -31,38 +32,36 @@ def median(values: DataFrame, column: str, name: str, *, stage: Stage) -> DataFr
     return exact_quantiles(counts, {name: 0.5}, stage=stage).select(name)
 
 
-def revenue_totals(lines: DataFrame) -> DataFrame:
-    """Total, mean and highest line revenue and the number of negative lines."""
-    return with_revenue(lines).agg(
-        as_double(F.sum("revenue")).alias("total_revenue"),
-        (as_double(F.sum("revenue")) / F.count("revenue")).alias("average_transaction_value"),
-        as_double(F.max("revenue")).alias("highest_single_transaction"),
-        F.count_if(F.col("revenue") < 0).alias("negative_revenue_transactions"),
-    )
+REVENUE_AGGREGATES = {
+    "total_revenue": "cast(sum(revenue) as double)",
+    "average_transaction_value": "try_divide(cast(sum(revenue) as double), count(revenue))",
+    "highest_single_transaction": "cast(max(revenue) as double)",
+    "negative_revenue_transactions": "count_if(revenue < 0)",
+}
 
 
 def revenue_analysis(lines: DataFrame, *, stage: Stage) -> DataFrame:
-    """`revenue_totals` with the exact median."""
-    middle = median(with_revenue(lines).select("revenue"), "revenue", "median_transaction_value", stage=stage)
-    return merge_rows(revenue_totals(lines), middle)
+    """Total, mean, exact median and highest line revenue and the number of negative lines."""
+    priced = with_revenue(lines).select("revenue")
+    middle = median(priced, "revenue", "median_transaction_value", stage=stage)
+    return merge_rows(aggregate(priced, REVENUE_AGGREGATES), middle)
 
 
 def customer_analysis(customers: DataFrame) -> DataFrame:
     """Customer coverage and lines per customer, from (value, n) rows of the customer ids,
     with one row for the lines without an id."""
-    known, n = F.col("value").isNotNull(), F.col("n")
-    summed = customers.agg(
-        F.count("value").alias("total_customers"),
-        F.coalesce(F.sum(F.when(known, n)), F.lit(0)).alias("transactions_with_customer_id"),
-        F.coalesce(F.sum(F.when(~known, n)), F.lit(0)).alias("anonymous_transactions"),
-        F.max(F.when(known, n)).alias("max_transactions_by_single_customer"),
-        F.count_if(known & (n > 1)).alias("repeat_customers"),
+    summed = customers.selectExpr(
+        "count(value) as total_customers",
+        "coalesce(sum(n) filter (where value is not null), 0) as transactions_with_customer_id",
+        "coalesce(sum(n) filter (where value is null), 0) as anonymous_transactions",
+        "max(n) filter (where value is not null) as max_transactions_by_single_customer",
+        "count_if(value is not null and n > 1) as repeat_customers",
     )
-    named, anonymous = F.col("transactions_with_customer_id"), F.col("anonymous_transactions")
-    return summed.select(
+    return summed.selectExpr(
         "*",
-        safe_divide(named * 100, named + anonymous, None).alias("customer_id_coverage"),
-        safe_divide(named, "total_customers", None).alias("avg_transactions_per_customer"),
+        "try_divide(transactions_with_customer_id * 100, transactions_with_customer_id + anonymous_transactions) "
+        "as customer_id_coverage",
+        "try_divide(transactions_with_customer_id, total_customers) as avg_transactions_per_customer",
     )
 
 
@@ -78,10 +77,10 @@ def _stack(*frames: DataFrame) -> DataFrame:
 
 def _metrics(one_row: DataFrame) -> DataFrame:
     """A one-row frame as (section, label, n) rows, one per column."""
-    pairs = F.array(
-        *[F.struct(F.lit(c).alias("section"), F.lit(None).cast("string").alias("label"), F.col(c).cast("bigint").alias("n")) for c in one_row.columns]
+    pairs = ", ".join(f"'{c}', cast({c} as bigint)" for c in one_row.columns)
+    return one_row.selectExpr(f"stack({len(one_row.columns)}, {pairs}) as (section, n)").selectExpr(
+        "section", "cast(null as string) as label", "n"
     )
-    return one_row.select(F.inline(pairs))
 
 
 def geographic_analysis(countries: DataFrame, home: str = HOME_COUNTRY, top: int = 10) -> DataFrame:

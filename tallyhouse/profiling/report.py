@@ -16,28 +16,33 @@ Stage = Callable[[DataFrame], DataFrame]
 def profile_sections(lines: DataFrame, *, stage: Stage, home: str = insights.HOME_COUNTRY) -> dict[str, DataFrame]:
     """Section name -> its rows. `lines` is a frame of `profile_lines`.
 
-    The lines are scanned for the distinct value counts, the hourly counts, the quality
-    counts and the plain totals; every other figure reads the first three, which are staged.
+    The lines are scanned for the distinct value counts, the hourly counts, the duplicate
+    count, and once for all plain totals; these four are staged, and every section reads
+    them only.
     """
     priced = insights.with_revenue(lines)
     counts = stage(columns.value_counts(priced, (*SOURCE_COLUMNS, "revenue")))
     hours = stage(columns.hourly_counts(lines))
-    quality = stage(scores.quality_counts(lines))
     quarters = columns.quartiles(counts, (*columns.NUMERIC_COLUMNS, "revenue"), stage=stage)
     middle = quarters.get("revenue", {}).get("median")
-    source_counts = counts.where(F.col("column_name") != "revenue")
-    profiles = columns.column_profiles(lines, source_counts)
-    revenue = insights.revenue_totals(lines).withColumn("median_transaction_value", F.lit(middle).cast("double"))
+    revenue = insights.REVENUE_AGGREGATES | {
+        "median_transaction_value": "cast(null as double)" if middle is None else f"max({middle!r}D)"
+    }
+    quality_names = scores.quality_aggregates(lines.columns)
+    plain = scores.OVERVIEW_AGGREGATES | quality_names | columns.numeric_aggregates(quarters) | revenue
+    totals = stage(columns.aggregate(priced, plain))
+    quality = stage(scores.merge_rows(totals.select(*quality_names), scores.duplicate_rows(lines)))
+    profiles = columns.column_profiles(lines, counts.where("column_name <> 'revenue'"))
     return {
-        "dataset_overview": scores.overview(lines, profiles),
+        "dataset_overview": scores.overview_row(totals, profiles, len(lines.columns)),
         "column_profiles": profiles,
-        "numeric_profiles": columns.numeric_profiles(lines, quarters),
+        "numeric_profiles": columns.numeric_rows(totals),
         "text_profiles": columns.text_profiles(counts),
         "datetime_profiles": columns.datetime_profile(hours),
         "top_values": columns.top_values(counts, 10, columns.TEXT_COLUMNS),
         "data_quality": scores.quality_scores(quality),
         "quality_issues": scores.quality_issues(quality),
-        "revenue_analysis": revenue,
+        "revenue_analysis": totals.select(*revenue),
         "customer_analysis": insights.customer_analysis(columns.frequency(counts, "customer_id")),
         "geographic_analysis": insights.geographic_analysis(columns.frequency(counts, "country"), home),
         "product_analysis": insights.product_analysis(columns.frequency(counts, "stock_code")),
@@ -51,20 +56,28 @@ def tidy(sections: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, [_tidy_section(name, df) for name, df in sections.items()])
 
 
+# Sections that are rows already: (column_name, metric, value) expressions.
+ROW_SECTIONS = {
+    "top_values": ("column_name", "value", "n"),
+    "geographic_analysis": ("section", "label", "n"),
+    "product_analysis": ("section", "label", "n"),
+    "temporal_analysis": ("section", "label", "n"),
+    "quality_issues": ("column_name", "concat_ws('/', severity, type)", "description"),
+    "recommendations": ("category", "priority", "concat_ws(': ', issue, recommendation)"),
+}
+
+
 def _tidy_section(name: str, df: DataFrame) -> DataFrame:
-    section, text = F.lit(name).alias("section"), lambda c: F.col(c).cast("string")
-    if name == "top_values":
-        return df.select(section, "column_name", text("value").alias("metric"), text("n").alias("value"))
-    if {"section", "label", "n"} <= set(df.columns):
-        return df.select(section, F.col("section").alias("column_name"), text("label").alias("metric"), text("n").alias("value"))
-    if name == "quality_issues":
-        return df.select(section, "column_name", F.concat_ws("/", "severity", "type").alias("metric"), F.col("description").alias("value"))
-    if name == "recommendations":
-        return df.select(section, F.col("category").alias("column_name"), "priority", F.concat_ws(": ", "issue", "recommendation").alias("value")).withColumnRenamed("priority", "metric")
+    section = f"'{name}' as section"
+    if name in ROW_SECTIONS:
+        column, metric, value = ROW_SECTIONS[name]
+        return df.selectExpr(
+            section, f"{column} as column_name", f"{metric} as metric", f"cast({value} as string) as value"
+        )
     metrics = [c for c in df.columns if c != "column_name"]
-    pairs = F.array(*[F.struct(F.lit(m).alias("metric"), text(m).alias("value")) for m in metrics])
-    column = F.col("column_name") if "column_name" in df.columns else F.lit(None).cast("string").alias("column_name")
-    return df.select(section, column, F.inline(pairs))
+    column = "column_name" if "column_name" in df.columns else "cast(null as string)"
+    pairs = ", ".join(f"'{m}', cast({m} as string)" for m in metrics)
+    return df.selectExpr(section, f"{column} as column_name", f"stack({len(metrics)}, {pairs}) as (metric, value)")
 
 
 def as_json(sections: dict[str, DataFrame]) -> DataFrame:

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions import row_fingerprint
+from .columns import aggregate
 
 # Columns that may hold at most 5 % NULLs.
 CRITICAL_COLUMNS = ("invoice", "stock_code", "quantity", "unit_price", "country")
@@ -20,29 +21,45 @@ def merge_rows(*frames: DataFrame) -> DataFrame:
     return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
 
 
-def overview(df: DataFrame, profiles: DataFrame) -> DataFrame:
+OVERVIEW_AGGREGATES = {
+    "total_records": "count(*)",
+    "min_date": "min(invoice_date)",
+    "max_date": "max(invoice_date)",
+    "latest_load": "max(load_timestamp)",
+    "oldest_load": "min(load_timestamp)",
+}
+
+DISTINCT_NAMES = {
+    "unique_invoices": "invoice",
+    "unique_products": "stock_code",
+    "unique_customers": "customer_id",
+    "unique_countries": "country",
+}
+
+
+def distinct_row(profiles: DataFrame, names: dict[str, str]) -> DataFrame:
+    """Distinct counts of some profiled columns as one row."""
+    return profiles.selectExpr(
+        *[f"max(case when column_name = '{c}' then unique_count end) as {name}" for name, c in names.items()]
+    )
+
+
+def overview_row(totals: DataFrame, profiles: DataFrame, n_columns: int) -> DataFrame:
     """Size, date span, distinct keys and load freshness, one row."""
-    at = F.col("invoice_date")
-    totals = df.agg(
-        F.count(F.lit(1)).alias("total_records"),
-        F.min(at).alias("min_date"),
-        F.max(at).alias("max_date"),
-        F.max("load_timestamp").alias("latest_load"),
-        F.min("load_timestamp").alias("oldest_load"),
-    ).select(
+    figures = totals.selectExpr(
         "total_records",
-        F.lit(len(df.columns)).alias("total_columns"),
+        f"{n_columns} as total_columns",
         "min_date",
         "max_date",
-        F.floor(F.timestamp_diff("SECOND", F.col("min_date"), F.col("max_date")) / 86400).alias("date_span_days"),
+        "floor(timestampdiff(SECOND, min_date, max_date) / 86400) as date_span_days",
         "latest_load",
         "oldest_load",
     )
-    named = {"invoices": "invoice", "products": "stock_code", "customers": "customer_id", "countries": "country"}
-    distinct = profiles.agg(
-        *[F.max(F.when(F.col("column_name") == c, F.col("unique_count"))).alias(f"unique_{n}") for n, c in named.items()]
-    )
-    return merge_rows(totals, distinct)
+    return merge_rows(figures, distinct_row(profiles, DISTINCT_NAMES))
+
+
+def overview(df: DataFrame, profiles: DataFrame) -> DataFrame:
+    return overview_row(aggregate(df, OVERVIEW_AGGREGATES), profiles, len(df.columns))
 
 
 def duplicate_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -52,125 +69,114 @@ def duplicate_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     return groups.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_records"))
 
 
+def quality_aggregates(columns: Sequence[str]) -> dict[str, str]:
+    return {
+        "total_records": "count(*)",
+        "negative_prices": "count_if(unit_price < 0)",
+        "zero_quantities": "count_if(quantity = 0)",
+        **{f"null_{c}": f"count_if({c} is null)" for c in columns},
+    }
+
+
 def quality_counts(df: DataFrame) -> DataFrame:
     """The counts that the scores, issues and recommendations are made of, one row."""
-    nulls = [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in df.columns]
-    plain = df.agg(
-        F.count(F.lit(1)).alias("total_records"),
-        F.count_if(F.col("unit_price") < 0).alias("negative_prices"),
-        F.count_if(F.col("quantity") == 0).alias("zero_quantities"),
-        *nulls,
-    )
-    return merge_rows(plain, duplicate_rows(df))
+    return merge_rows(aggregate(df, quality_aggregates(df.columns)), duplicate_rows(df))
 
 
 def _null_columns(counts: DataFrame) -> list[str]:
     return [c[len("null_") :] for c in counts.columns if c.startswith("null_")]
 
 
-def _issue_array(counts: DataFrame) -> Column:
-    rows = F.col("total_records")
+def _rows_that_fire(rules: Sequence[tuple[str, Sequence[str]]], names: Sequence[str]) -> str:
+    """SQL array of the rules whose test is true, as structs with the given field names."""
+    rows = []
+    for test, values in rules:
+        fields = ", ".join(f"{value} as {name}" for name, value in zip(names, values))
+        rows.append(f"case when {test} then struct({fields}) end")
+    return f"array_compact(array({', '.join(rows)}))"
 
-    def issue(test: Column, kind: str, severity: str, column: str | None, text: Column) -> Column:
-        return F.when(
-            test,
-            F.struct(
-                F.lit(kind).alias("type"),
-                F.lit(severity).alias("severity"),
-                F.lit(column).cast("string").alias("column_name"),
-                text.alias("description"),
-            ),
-        )
 
-    issues = []
+def _issues() -> str:
+    rules = []
     for c in CRITICAL_COLUMNS:
-        percent = F.col(f"null_{c}") / rows * 100
-        text = F.format_string("High null percentage in critical column: %.1f%%", percent)
-        issues.append(issue(percent > CRITICAL_NULL_PERCENT, "completeness", "critical", c, text))
-    prices, zeros, copies = (F.col(c) for c in ("negative_prices", "zero_quantities", "duplicate_records"))
-    issues += [
-        issue(prices > 0, "validity", "high", "unit_price", F.format_string("Found %d records with negative prices", prices)),
-        issue(zeros > 0, "validity", "medium", "quantity", F.format_string("Found %d records with zero quantity", zeros)),
-        issue(copies > 0, "consistency", "medium", None, F.format_string("Found %d duplicate records", copies)),
-    ]
-    return F.array_compact(F.array(*issues))
+        percent = f"null_{c} / total_records * 100"
+        text = f"format_string('High null percentage in critical column: %.1f%%', {percent})"
+        rules.append((f"{percent} > {CRITICAL_NULL_PERCENT}", ("'completeness'", "'critical'", f"'{c}'", text)))
+    for count, kind, severity, column, what in (
+        ("negative_prices", "validity", "high", "'unit_price'", "records with negative prices"),
+        ("zero_quantities", "validity", "medium", "'quantity'", "records with zero quantity"),
+        ("duplicate_records", "consistency", "medium", "cast(null as string)", "duplicate records"),
+    ):
+        rules.append((f"{count} > 0", (f"'{kind}'", f"'{severity}'", column, f"format_string('Found %d {what}', {count})")))
+    return _rows_that_fire(rules, ("type", "severity", "column_name", "description"))
 
 
 def quality_issues(counts: DataFrame) -> DataFrame:
-    return counts.where(F.col("total_records") > 0).select(F.inline(_issue_array(counts)))
+    return counts.where("total_records > 0").selectExpr(f"inline({_issues()})")
 
 
 def quality_scores(counts: DataFrame) -> DataFrame:
     """Completeness, validity, consistency and their mean, with issue counts by severity."""
-    rows = F.col("total_records")
     columns = _null_columns(counts)
-    null_cells = reduce(Column.__add__, [F.col(f"null_{c}") for c in columns])
-    cells, checks = rows * len(columns), rows * 2
-    scored = counts.where(rows > 0).select(
+    null_cells = " + ".join(f"null_{c}" for c in columns)
+    cells, checks = f"(total_records * {len(columns)})", "(total_records * 2)"
+    scored = counts.where("total_records > 0").selectExpr(
         "total_records",
-        ((cells - null_cells) / cells * 100).alias("completeness_score"),
-        ((checks - F.col("negative_prices") - F.col("zero_quantities")) / checks * 100).alias("validity_score"),
-        F.when(F.col("duplicate_records") > 0, 90.0).otherwise(100.0).alias("consistency_score"),
-        _issue_array(counts).alias("issues"),
+        f"({cells} - ({null_cells})) / {cells} * 100 as completeness_score",
+        f"({checks} - negative_prices - zero_quantities) / {checks} * 100 as validity_score",
+        "case when duplicate_records > 0 then 90.0D else 100.0D end as consistency_score",
+        f"{_issues()} as issues",
     )
-    parts = ("completeness_score", "validity_score", "consistency_score")
-    overall = reduce(Column.__add__, [F.col(c) for c in parts]) / 3
-
-    def severity(level: str) -> Column:
-        return F.size(F.filter("issues", lambda i: i["severity"] == level)).cast("bigint").alias(f"{level}_issues")
-
-    return scored.select(
-        "total_records", overall.alias("overall_score"), *parts, *[severity(s) for s in ("critical", "high", "medium", "low")]
+    levels = [
+        f"cast(size(filter(issues, i -> i.severity = '{level}')) as bigint) as {level}_issues"
+        for level in ("critical", "high", "medium", "low")
+    ]
+    return scored.selectExpr(
+        "total_records",
+        "(completeness_score + validity_score + consistency_score) / 3 as overall_score",
+        "completeness_score",
+        "validity_score",
+        "consistency_score",
+        *levels,
     )
 
 
 def recommendations(counts: DataFrame) -> DataFrame:
     """Advice rows for the rules that fire."""
-    rows = F.col("total_records")
-    columns = _null_columns(counts)
-    high_nulls = F.array_compact(F.array(*[F.when(F.col(f"null_{c}") / rows * 100 > 10, F.lit(c)) for c in columns]))
-    missing = F.col("null_customer_id") / rows * 100
-
-    def advice(test: Column, category: str, priority: str, issue: Column, text: str) -> Column:
-        return F.when(
-            test,
-            F.struct(
-                F.lit(category).alias("category"),
-                F.lit(priority).alias("priority"),
-                issue.alias("issue"),
-                F.lit(text).alias("recommendation"),
-            ),
-        )
-
+    high_nulls = ", ".join(
+        f"case when null_{c} / total_records * 100 > 10 then '{c}' end" for c in _null_columns(counts)
+    )
+    names, missing = f"concat_ws(', ', {high_nulls})", "null_customer_id / total_records * 100"
     # Rule texts and limits.
     rules = [
-        advice(
-            F.size(high_nulls) > 0, "Data Quality", "High",
-            F.concat(F.lit("High null rates in columns: "), F.concat_ws(", ", high_nulls)),
-            "Investigate data sources and implement validation at ingestion point",
+        (
+            f"{names} <> ''",
+            ("'Data Quality'", "'High'", f"concat('High null rates in columns: ', {names})",
+             "'Investigate data sources and implement validation at ingestion point'"),
         ),
-        advice(
-            F.col("negative_prices") > 0, "Business Rules", "Critical",
-            F.lit("Negative unit prices detected"),
-            "Implement price validation constraints and investigate source system",
+        (
+            "negative_prices > 0",
+            ("'Business Rules'", "'Critical'", "'Negative unit prices detected'",
+             "'Implement price validation constraints and investigate source system'"),
         ),
-        advice(
-            F.col("zero_quantities") > 0, "Data Validation", "Medium",
-            F.lit("Zero quantity transactions found"),
-            "Clarify business rules for zero-quantity transactions or filter them out",
+        (
+            "zero_quantities > 0",
+            ("'Data Validation'", "'Medium'", "'Zero quantity transactions found'",
+             "'Clarify business rules for zero-quantity transactions or filter them out'"),
         ),
-        advice(
-            missing > 20, "Customer Analytics", "Medium",
-            F.format_string("%.1f%% of transactions lack customer IDs", missing),
-            "Improve customer identification processes for better analytics",
+        (
+            f"{missing} > 20",
+            ("'Customer Analytics'", "'Medium'", f"format_string('%.1f%% of transactions lack customer IDs', {missing})",
+             "'Improve customer identification processes for better analytics'"),
         ),
-        advice(
-            rows > 500000, "Performance", "Medium",
-            F.lit("Large dataset detected"),
-            "Consider implementing data partitioning and archiving strategies",
+        (
+            "total_records > 500000",
+            ("'Performance'", "'Medium'", "'Large dataset detected'",
+             "'Consider implementing data partitioning and archiving strategies'"),
         ),
     ]
-    return counts.where(rows > 0).select(F.inline(F.array_compact(F.array(*rules))))
+    fired = _rows_that_fire(rules, ("category", "priority", "issue", "recommendation"))
+    return counts.where("total_records > 0").selectExpr(f"inline({fired})")
 
 
 def metric_rows(scores: DataFrame, latest_load: DataFrame, table: str) -> DataFrame:

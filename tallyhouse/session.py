@@ -78,6 +78,7 @@ class StagingArea:
         if self._folder is None:
             root = self._root or shared_folder(self.spark)
             self._folder = f"{root}/staging-{uuid.uuid4().hex}"
+            atexit.register(self._clear_at_exit)
         return self._folder
 
     def path(self, name: str) -> str:
@@ -96,3 +97,9 @@ class StagingArea:
         fs = hadoop_path.getFileSystem(self.spark._jsc.hadoopConfiguration())
         fs.delete(hadoop_path, True)
         self._folder = None
+
+    def _clear_at_exit(self) -> None:
+        try:
+            self.clear()
+        except Exception:  # the JVM may be gone by then
+            pass
