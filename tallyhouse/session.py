@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import itertools
 import shutil
 import tempfile
 import uuid
@@ -71,7 +72,7 @@ class StagingArea:
         self.spark = spark
         self._root = root
         self._folder: str | None = None
-        self._count = 0
+        self._numbers = itertools.count(1)
 
     @property
     def folder(self) -> str:
@@ -82,8 +83,7 @@ class StagingArea:
         return self._folder
 
     def path(self, name: str) -> str:
-        self._count += 1
-        return f"{self.folder}/{self._count:03d}-{name}"
+        return f"{self.folder}/{next(self._numbers):03d}-{name}"
 
     def stage(self, df: DataFrame, name: str = "frame") -> DataFrame:
         path = self.path(name)
