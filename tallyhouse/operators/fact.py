@@ -43,13 +43,13 @@ def build_fact_sales(
     carry = carry or {}
     lines = silver.select(*measures, *carry.values())
     dates = dim_date.select(F.col("full_date").alias("invoice_date"), "date_key")
-    keyed = lookup_join(lines, dates, "invoice_date", "inner", **join_limits)
-    keyed = lookup_join(keyed, dim_product.select("stock_code", "product_key"), "stock_code", **join_limits)
-    keyed = lookup_join(keyed, dim_customer.select("customer_id", "customer_key"), "customer_id", **join_limits)
-    places = []
+    lookups = [(dim_product, "stock_code", "product_key"), (dim_customer, "customer_id", "customer_key")]
     if dim_geography is not None:
-        keyed = lookup_join(keyed, dim_geography.select("country", "geography_key"), "country", **join_limits)
-        places.append("geography_key")
+        lookups.append((dim_geography, "country", "geography_key"))
+    keyed = lookup_join(lines, dates, "invoice_date", "inner", measured=silver, **join_limits)
+    for dim, natural, surrogate in lookups:
+        keyed = lookup_join(keyed, dim.select(natural, surrogate), natural, measured=silver, **join_limits)
+    places = [] if dim_geography is None else ["geography_key"]
     return keyed.select(
         surrogate_key("bronze_id").alias("sale_key"),
         "date_key",

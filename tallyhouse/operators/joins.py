@@ -33,33 +33,38 @@ def lookup_join(
     *,
     broadcast_limit: int = BROADCAST_BYTES,
     hot_rows: int = HOT_ROWS,
+    measured: DataFrame | None = None,
 ) -> DataFrame:
     """N:1 join of `facts` to `dim` on one key column, `dim` unique by that key.
 
     A dimension that measures small is broadcast. A larger one is shuffled, and every key
     with more than `hot_rows` facts is spread: its facts over `fan` salts, its one
     dimension row copied to each salt. NULL keys never match and are spread the same way.
+
+    Hot keys are counted on `measured` (default: the facts). In a chain of lookups pass the
+    stored lines, so that counting does not run the joins before this one; any hot list
+    gives the same result.
     """
     if frame_bytes(dim) <= broadcast_limit:
         return facts.join(F.broadcast(dim), key, how)
 
     # Raising the threshold with the data keeps the hot list at MAX_HOT_KEYS or fewer.
-    hot_rows = max(hot_rows, facts.count() // MAX_HOT_KEYS)
+    measured = facts if measured is None else measured
+    hot_rows = max(hot_rows, measured.count() // MAX_HOT_KEYS)
     hot = (
-        facts.where(F.col(key).isNotNull())
+        measured.where(F.col(key).isNotNull())
         .groupBy(key)
         .agg(F.count(F.lit(1)).alias("_rows"))
         .where(F.col("_rows") > hot_rows)
         .select(key, F.ceil(F.col("_rows") / hot_rows).cast("int").alias("_fan"))
     )
-    hot_facts, hot_dim = F.broadcast(hot), F.broadcast(hot)
     spread = F.xxhash64(*[F.col(c) for c in facts.columns])
     null_fan = F.lit(1024)
-    salted_facts = facts.join(hot_facts, key, "left").withColumn(
+    salted_facts = facts.join(F.broadcast(hot), key, "left").withColumn(
         "_salt",
         F.pmod(spread, F.when(F.col(key).isNull(), null_fan).otherwise(F.coalesce("_fan", F.lit(1)))).cast("int"),
     ).drop("_fan")
-    salted_dim = dim.join(hot_dim, key, "left").withColumn(
+    salted_dim = dim.join(F.broadcast(hot), key, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_fan"), F.lit(1)) - 1))
     ).drop("_fan")
     return salted_facts.join(salted_dim, [key, "_salt"], how).drop("_salt")
