@@ -4,8 +4,31 @@ from __future__ import annotations
 
 import re
 
+from ..schemas import (
+    CATEGORY_MISSING,
+    CATEGORY_OTHER,
+    CATEGORY_RULES,
+    FREQUENCY_BANDS,
+    FREQUENCY_OTHER,
+    RECENCY_BANDS,
+    RECENCY_OTHER,
+    TIER_BANDS,
+    TIER_LOW,
+    TIER_NONE,
+    VALUE_BANDS,
+    VALUE_OTHER,
+)
+
 SOURCE = "invoice, stock_code, description, quantity, invoice_date, unit_price, customer_id, country"
 
+
+
+def _bands(value: str, comparison: str, bands, other: str | None) -> str:
+    """CASE over bands in order; `other` None leaves the rest NULL."""
+    cases = " ".join(f"WHEN {value} {comparison} {bound} THEN '{label}'" for bound, label in bands)
+    return f"CASE {cases} " + (f"ELSE '{other}' END" if other else "END")
+
+
 # Named building blocks; a query gets the ones it mentions, in this order.
 BLOCKS: dict[str, str] = {}
 
@@ -89,20 +112,16 @@ SELECT a.*, s.avg_order_value, s.max_order_value, s.min_order_value, s.stddev_or
   CASE WHEN a.total_orders > 1 THEN CAST(a.customer_tenure_days AS DOUBLE) / (a.total_orders - 1) END AS avg_days_between_orders
 FROM customer_country a LEFT JOIN order_stats s ON a.customer_id = s.customer_id"""
 
-BLOCKS["dim_customer"] = """
+BLOCKS["dim_customer"] = f"""
 SELECT md5(customer_id) AS customer_key, customer_id, country, total_orders, total_line_items, total_units_purchased,
   total_lifetime_value, avg_order_value, max_order_value, min_order_value, avg_line_item_value,
   avg_days_between_orders, first_purchase_date, last_purchase_date, customer_tenure_days,
   frequency_segment, value_segment, recency_segment,
   recency_segment[1] || '-' || frequency_segment[1] || '-' || value_segment[1] AS rfm_segment, TRUE AS is_current
 FROM (SELECT *,
-    CASE WHEN total_orders >= 10 THEN 'Frequent' WHEN total_orders >= 5 THEN 'Regular'
-      WHEN total_orders >= 2 THEN 'Occasional' ELSE 'One-time' END AS frequency_segment,
-    CASE WHEN total_lifetime_value >= 5000 THEN 'VIP' WHEN total_lifetime_value >= 2000 THEN 'High-Value'
-      WHEN total_lifetime_value >= 500 THEN 'Medium-Value' ELSE 'Low-Value' END AS value_segment,
-    CASE WHEN DATE '2001-09-01' - last_purchase_date <= 90 THEN 'Active'
-      WHEN DATE '2001-09-01' - last_purchase_date <= 180 THEN 'Lapsing'
-      WHEN DATE '2001-09-01' - last_purchase_date <= 365 THEN 'Dormant' ELSE 'Churned' END AS recency_segment
+    {_bands('total_orders', '>=', FREQUENCY_BANDS, FREQUENCY_OTHER)} AS frequency_segment,
+    {_bands('total_lifetime_value', '>=', VALUE_BANDS, VALUE_OTHER)} AS value_segment,
+    {_bands("(DATE '2001-09-01' - last_purchase_date)", '<=', RECENCY_BANDS, RECENCY_OTHER)} AS recency_segment
   FROM (SELECT *, row_number() OVER (PARTITION BY customer_id
           ORDER BY total_orders DESC, total_lifetime_value DESC, country) AS pick FROM customer_full)
   WHERE pick = 1)"""
@@ -135,19 +154,14 @@ SELECT stock_code, product_description FROM (SELECT stock_code, product_descript
 
 
 def _dim_product(names: str, metrics: str) -> str:
-    u = "upper(coalesce(product_description, ''))"
+    categories = " ".join(
+        f"WHEN regexp_matches(upper(product_description), '{'|'.join(words)}') THEN '{label}'"
+        for label, words in CATEGORY_RULES
+    )
     return f"""
 SELECT md5(stock_code) AS product_key, stock_code, coalesce(product_description, 'UNKNOWN PRODUCT') AS product_description,
-  CASE WHEN {u} LIKE '%CHRISTMAS%' OR {u} LIKE '%XMAS%' THEN 'Seasonal - Christmas'
-    WHEN {u} LIKE '%BIRTHDAY%' THEN 'Seasonal - Birthday'
-    WHEN {u} LIKE '%BAG%' OR {u} LIKE '%TOTE%' THEN 'Bags & Accessories'
-    WHEN {u} LIKE '%HEART%' OR {u} LIKE '%LOVE%' THEN 'Romantic & Gifts'
-    WHEN {u} LIKE '%VINTAGE%' OR {u} LIKE '%RETRO%' THEN 'Vintage Collection'
-    WHEN {u} LIKE '%LUNCH%' OR {u} LIKE '%KITCHEN%' OR {u} LIKE '%PLATE%' THEN 'Kitchen & Dining'
-    WHEN {u} = '' THEN 'Uncategorized - Missing Description' ELSE 'General Merchandise' END AS product_category,
-  CASE WHEN total_revenue >= 10000 THEN 'Star Product' WHEN total_revenue >= 5000 THEN 'High Performer'
-    WHEN total_revenue >= 1000 THEN 'Average Performer' WHEN total_revenue > 0 THEN 'Low Performer'
-    ELSE 'No Sales' END AS performance_tier,
+  CASE WHEN coalesce(product_description, '') = '' THEN '{CATEGORY_MISSING}' {categories} ELSE '{CATEGORY_OTHER}' END AS product_category,
+  {_bands('total_revenue', '>=', TIER_BANDS, None)[:-4]} WHEN total_revenue > 0 THEN '{TIER_LOW}' ELSE '{TIER_NONE}' END AS performance_tier,
   avg_unit_price, unique_customers, total_transactions, total_units_sold, total_units_returned, total_revenue,
   return_count, return_rate_percent, countries_sold_in, first_sale_date, last_sale_date, days_available,
   avg_units_per_transaction, TRUE AS is_current
@@ -405,32 +419,43 @@ SELECT date_key, product_key, geography_key,
   count(DISTINCT customer_key) AS unique_customers, count(DISTINCT invoice_number) AS unique_invoices
 FROM fact GROUP BY date_key, product_key, geography_key"""
 
-BODIES["referential_integrity"] = """
-SELECT dimension, orphan_count, CAST(sum(orphan_count) OVER () AS BIGINT) AS total_orphans FROM (
-  SELECT 'product_key' AS dimension, count(*) AS orphan_count FROM fact WHERE product_key IS NULL
-  UNION ALL SELECT 'product_key_invalid', count(*) FROM fact f LEFT JOIN (SELECT product_key FROM dim_product
-    WHERE total_revenue > 0) p ON f.product_key = p.product_key WHERE f.product_key IS NOT NULL AND p.product_key IS NULL
-  UNION ALL SELECT 'date_key', count(*) FROM fact f LEFT JOIN (SELECT date_key FROM calendar WHERE date_key < 20010101) d
-    ON f.date_key = d.date_key WHERE d.date_key IS NULL
-  UNION ALL SELECT 'customer_key_invalid', count(*) FROM fact f LEFT JOIN (SELECT customer_key FROM dim_customer
-    WHERE total_orders > 1) c ON f.customer_key = c.customer_key WHERE f.customer_key IS NOT NULL AND c.customer_key IS NULL)
-QUALIFY orphan_count > 0"""
-
-_VERDICT = "CASE WHEN failed_records = 0 THEN '✅ PASS' ELSE '❌ FAIL' END AS status"
-BODIES["pipeline_checks"] = f"""
-SELECT check_name, failed_records, {_VERDICT} FROM (
-  SELECT 'Orphaned Product Keys' AS check_name, count(*) AS failed_records FROM fact WHERE product_key IS NULL
-  UNION ALL SELECT 'Referential Integrity - Products', count(*) FROM fact f LEFT JOIN dim_product p
-    ON f.product_key = p.product_key WHERE f.product_key IS NOT NULL AND p.product_key IS NULL
-  UNION ALL SELECT 'Referential Integrity - Customers', count(*) FROM fact f LEFT JOIN dim_customer c
-    ON f.customer_key = c.customer_key WHERE f.customer_key IS NOT NULL AND c.customer_key IS NULL
-  UNION ALL SELECT 'Referential Integrity - Dates', count(*) FROM fact f LEFT JOIN calendar d
-    ON f.date_key = d.date_key WHERE d.date_key IS NULL
-  UNION ALL SELECT 'Revenue Calculation Check', count(*) FROM fact
-    WHERE abs(line_total - quantity * CAST(unit_price AS DECIMAL(10,2))) > 0.01
-  UNION ALL SELECT 'Negative Unit Prices', count(*) FROM fact WHERE unit_price < 0
-  UNION ALL SELECT 'NULL Required Fields (Fact)', count(*) FROM fact
-    WHERE date_key IS NULL OR quantity IS NULL OR unit_price IS NULL OR line_total IS NULL)"""
+def _orphans(dimension: str, key: str, parent: str, keep_nulls: bool = False) -> str:
+    nulls = "" if keep_nulls else f" AND f.{key} IS NOT NULL"
+    return (
+        f"SELECT '{dimension}' AS name, count(*) AS orphans FROM fact f "
+        f"WHERE NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{key} = f.{key}){nulls}"
+    )
+
+
+def _counted(name: str, test: str) -> str:
+    return f"SELECT '{name}' AS name, count(*) FILTER (WHERE {test}) AS orphans FROM fact"
+
+
+_INTEGRITY = [
+    _counted("product_key", "product_key IS NULL"),
+    _orphans("product_key_invalid", "product_key", "(SELECT product_key FROM dim_product WHERE total_revenue > 0)"),
+    _orphans("date_key", "date_key", "(SELECT date_key FROM calendar WHERE date_key < 20010101)", keep_nulls=True),
+    _orphans("customer_key_invalid", "customer_key", "(SELECT customer_key FROM dim_customer WHERE total_orders > 1)"),
+]
+BODIES["referential_integrity"] = (
+    "SELECT name AS dimension, orphans AS orphan_count, CAST(sum(orphans) OVER () AS BIGINT) AS total_orphans FROM ("
+    + " UNION ALL ".join(_INTEGRITY)
+    + ") QUALIFY orphans > 0"
+)
+
+_CHECKS = [
+    _counted("Orphaned Product Keys", "product_key IS NULL"),
+    _orphans("Referential Integrity - Products", "product_key", "dim_product"),
+    _orphans("Referential Integrity - Customers", "customer_key", "dim_customer"),
+    _orphans("Referential Integrity - Dates", "date_key", "calendar", keep_nulls=True),
+    _counted("Revenue Calculation Check", "abs(line_total - quantity * CAST(unit_price AS DECIMAL(10,2))) > 0.01"),
+    _counted("Negative Unit Prices", "unit_price < 0"),
+    _counted("NULL Required Fields (Fact)", "date_key + quantity + unit_price + line_total IS NULL"),
+]
+BODIES["pipeline_checks"] = (
+    "SELECT name AS check_name, orphans AS failed_records, "
+    "CASE WHEN orphans = 0 THEN '✅ PASS' ELSE '❌ FAIL' END AS status FROM (" + " UNION ALL ".join(_CHECKS) + ")"
+)
 
 _MEAN = "CAST(sum(CAST(total_lifetime_value AS DECIMAL(18,2))) AS DOUBLE) / count(*)"
 BODIES["layer_summary"] = f"""

@@ -58,10 +58,17 @@ def land_stream(
         if after_batch:
             after_batch(batch.sparkSession.read.parquet(partition), batch_number)
 
-    query = (
-        stream.writeStream.foreachBatch(land)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    # Extra micro-batches without data would only clear old state, which the next one does too.
+    settings, idle = stream.sparkSession.conf, "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = settings.get(idle)
+    settings.set(idle, "false")
+    try:
+        query = (
+            stream.writeStream.foreachBatch(land)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+    finally:
+        settings.set(idle, before)
     query.awaitTermination()
