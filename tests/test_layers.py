@@ -213,6 +213,8 @@ def test_history_opens_closes_and_repeats(spark):
     sales = spark.createDataFrame([("B", date(2011, 1, 15)), ("B", date(2011, 2, 1)), ("X", date(2011, 2, 1))], "k string, d date")
     dated = {(r.k, r.d): r.version_number for r in history.as_of_version(sales, after, "k", "d").collect()}
     assert dated == {("B", date(2011, 1, 15)): 1, ("B", date(2011, 2, 1)): 2, ("X", date(2011, 2, 1)): None}
+    salted = history.as_of_version(sales, after, "k", "d", broadcast_limit=0, hot_rows=1)
+    assert {(r.k, r.d): r.version_number for r in salted.collect()} == dated
 
 
 def test_watermarks(spark):
