@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 from pathlib import Path
 
@@ -52,3 +53,9 @@ def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
         "left_anti",
     )
     return kept.select("row.*")
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete shuffle files that nothing refers to any more, before the next large step."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

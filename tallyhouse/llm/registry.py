@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .bpe import op2_bpe
 from .decontamination import OP9_SQL, op9_decontamination
 from .language import op10_language
+from .lines import OP8_SQL, op8_lines
 from .simhash import op3_simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,10 +19,11 @@ def llm_queries() -> dict[str, Query]:
     return {
         "op2_bpe": op2_bpe,
         "op3_simhash": op3_simhash,
+        "op8_lines": op8_lines,
         "op9_decontamination": op9_decontamination,
         "op10_language": op10_language,
     }
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op9_decontamination": OP9_SQL}
+    return {"op8_lines": OP8_SQL, "op9_decontamination": OP9_SQL}
