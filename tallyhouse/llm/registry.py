@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op2_bpe
 from .decontamination import OP9_SQL, op9_decontamination
+from .fingerprints import op1_fingerprints
 from .language import op10_language
 from .lines import OP8_SQL, op8_lines
+from .secrets import op4_secrets
 from .simhash import op3_simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,8 +19,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def llm_queries() -> dict[str, Query]:
     return {
+        "op1_fingerprints": op1_fingerprints,
         "op2_bpe": op2_bpe,
         "op3_simhash": op3_simhash,
+        "op4_secrets": op4_secrets,
         "op8_lines": op8_lines,
         "op9_decontamination": op9_decontamination,
         "op10_language": op10_language,
