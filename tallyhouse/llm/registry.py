@@ -10,7 +10,9 @@ from .bpe import op2_bpe
 from .decontamination import OP9_SQL, op9_decontamination
 from .fingerprints import op1_fingerprints
 from .language import op10_language
+from .licenses import OP6_SQL, op6_licenses
 from .lines import OP8_SQL, op8_lines
+from .pages import op7_pages
 from .secrets import op4_secrets
 from .simhash import op3_simhash
 
@@ -23,6 +25,8 @@ def llm_queries() -> dict[str, Query]:
         "op2_bpe": op2_bpe,
         "op3_simhash": op3_simhash,
         "op4_secrets": op4_secrets,
+        "op6_licenses": op6_licenses,
+        "op7_pages": op7_pages,
         "op8_lines": op8_lines,
         "op9_decontamination": op9_decontamination,
         "op10_language": op10_language,
@@ -30,4 +34,4 @@ def llm_queries() -> dict[str, Query]:
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op8_lines": OP8_SQL, "op9_decontamination": OP9_SQL}
+    return {"op6_licenses": OP6_SQL, "op8_lines": OP8_SQL, "op9_decontamination": OP9_SQL}
