@@ -73,6 +73,7 @@ class StagingArea:
         self._root = root
         self._folder: str | None = None
         self._numbers = itertools.count(1)
+        self._paths: dict[int, str] = {}
 
     @property
     def folder(self) -> str:
@@ -88,14 +89,23 @@ class StagingArea:
     def stage(self, df: DataFrame, name: str = "frame") -> DataFrame:
         path = self.path(name)
         df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        staged = self.spark.read.schema(df.schema).parquet(path)
+        self._paths[id(staged)] = path
+        return staged
+
+    def drop(self, staged: DataFrame) -> None:
+        """Delete one table of this area, as `stage` returned it, that no later plan reads."""
+        self._delete(self._paths.pop(id(staged)))
+
+    def _delete(self, path: str) -> None:
+        hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        fs = hadoop_path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        fs.delete(hadoop_path, True)
 
     def clear(self) -> None:
         if self._folder is None:
             return
-        hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(self._folder)
-        fs = hadoop_path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        fs.delete(hadoop_path, True)
+        self._delete(self._folder)
         self._folder = None
 
     def _clear_at_exit(self) -> None:
