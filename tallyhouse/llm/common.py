@@ -59,3 +59,17 @@ def release(spark: SparkSession) -> None:
     """Let Spark delete shuffle files that nothing refers to any more, before the next large step."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+
+
+# A broadcast table has this many rows and list elements at most, some 60 MB.
+BROADCAST_ROWS = 500_000
+
+
+def broadcast_if_small(staged: DataFrame, elements: Column | None = None) -> DataFrame:
+    """A staged table of narrow rows, marked for broadcast if its counted size allows it.
+
+    `elements` is the number of list elements of a row. Larger tables are left to shuffle
+    joins; the rows are the same either way.
+    """
+    rows, parts = staged.agg(F.count(F.lit(1)), F.sum(elements if elements is not None else F.lit(0))).first()
+    return F.broadcast(staged) if rows + (parts or 0) // 8 <= BROADCAST_ROWS else staged

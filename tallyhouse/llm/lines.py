@@ -2,42 +2,53 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import StagingArea
-from .common import read_table, release, scratch
+from .common import broadcast_if_small, read_table, release, scratch
 
 # Jaccard similarity of 4/5 or more, kept as whole numbers so that no rounding decides.
 PART, WHOLE = 4, 5
-# Token frequencies are summed by hash bucket; the table is a constant of the plan.
+# Word frequencies are summed by hash bucket; their classes are a constant of the plan.
 BUCKETS = 1 << 14
+STAR_TOKENS = 2
 
 
 def _words(line: Column) -> Column:
-    return F.split(F.lower(line), r"\s+")
+    return F.split(F.lower(line), " ")
+
 
+def frequency_classes(docs: DataFrame) -> Column:
+    """Class of each hash bucket by its number of words over all documents.
 
-def token_ranks(docs: DataFrame) -> Column:
-    """Rank of each hash bucket by its number of words over all documents, rarest first."""
+    0 up to four times the mean, then one more for each doubling. Only common words stand
+    out of their bucket, however large the corpus; all others are left to their length.
+    """
     words = docs.select(F.explode(_words(F.col("text"))).alias("word")).where("word <> ''")
     counts = words.groupBy(F.pmod(F.xxhash64("word"), F.lit(BUCKETS)).cast("int").alias("bucket")).count()
     found = {r["bucket"]: r["count"] for r in counts.collect()}
-    ranks = [0] * BUCKETS
-    for rank, bucket in enumerate(sorted(range(BUCKETS), key=lambda b: (found.get(b, 0), b))):
-        ranks[bucket] = rank
-    return F.split(F.lit(",".join(map(str, ranks))), ",").cast("array<bigint>")
+    mean = max(1.0, sum(found.values()) / BUCKETS)
+    classes = [min(31, max(0, int(math.log2(max(1.0, found.get(b, 0) / mean))) - 1)) for b in range(BUCKETS)]
+    return F.split(F.lit(",".join(map(str, classes))), ",").cast("array<bigint>")
 
 
-def _tokens(ranks: Column) -> Column:
-    """The line's distinct tokens, rarest first: rank above, the rest of the hash below.
+def _tokens(classes: Column) -> Column:
+    """The line's distinct tokens as numbers, rarest first. Reads the column `line`.
 
-    Rank and hash together keep 63 of the hash's 64 bits and sort as plain numbers, in one
-    order for all lines. Reads the column `line`.
+    Rare means: of a low frequency class, then long, then by hash; so all lines have one
+    order. A number has the class above, then the length, then 52 bits of the hash.
     """
-    hashes = F.transform(_words(F.col("line")), lambda w: F.when(w != "", F.xxhash64(w)))
-    rank = lambda h: F.get(ranks, F.pmod(h, F.lit(BUCKETS)).cast("int"))
-    keys = F.transform(hashes, lambda h: F.shiftleft(rank(h), 49).bitwiseOR(F.shiftrightunsigned(h, 15)))
-    return F.sort_array(F.array_distinct(F.array_compact(keys)))
+
+    def number(word: Column) -> Column:
+        h = F.xxhash64(word)
+        above = F.shiftleft(F.get(classes, F.pmod(h, F.lit(BUCKETS)).cast("int")), 58)
+        length = F.shiftleft((63 - F.least(F.octet_length(word), F.lit(63))).cast("bigint"), 52)
+        return above.bitwiseOR(length).bitwiseOR(F.shiftrightunsigned(h, 12))
+
+    words = F.array_remove(_words(F.col("line")), "")
+    return F.sort_array(F.array_distinct(F.transform(words, number)))
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -46,21 +57,23 @@ def _lines(docs: DataFrame) -> DataFrame:
     )
 
 
-def _sets(docs: DataFrame, ranks: Column, area: StagingArea) -> tuple[DataFrame, DataFrame]:
+def _sets(docs: DataFrame, classes: Column, area: StagingArea) -> tuple[DataFrame, DataFrame]:
     """Lines with the two hashes of their token set, and the distinct sets with all the filters need.
 
     A set is numbered in the order of its first line (doc_id, content, line number), so a
-    lower id is an earlier line. `bits` has bit i flipped for each token of hash i: two sets
-    differ in at least as many tokens as their bits do.
+    lower id is an earlier line. `prefix` has 32 bits of each token: a chance clash brings
+    two lines together that are then told apart. Bit i of `bits` is flipped for each token
+    of hash i: two sets differ in at least as many tokens as their bits do.
     """
-    tokens = _lines(docs).select("doc_id", "content", "line_no", _tokens(ranks).alias("tokens"))
+    tokens = _lines(docs).select("doc_id", "content", "line_no", _tokens(classes).alias("tokens"))
     size = F.size("tokens")
     # A set of n tokens has n - ceil(4n/5) + 1 in its prefix.
-    prefix = F.slice("tokens", 1, F.floor(size / WHOLE).cast("int") + 1)
-    flips = F.aggregate(
-        "tokens", F.lit(0).cast("bigint"),
-        lambda bits, t: bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(t, F.lit(64)).cast("int"))),
-    )
+    first = F.slice("tokens", 1, F.floor(size / WHOLE).cast("int") + 1)
+    prefix = F.transform(first, lambda t: F.hash(t))
+    one = F.lit(1).cast("bigint")
+    bit = lambda t: F.call_function("shiftleft", one, t.bitwiseAND(F.lit(63)).cast("int"))
+    flips = F.aggregate("tokens", F.lit(0).cast("bigint"), lambda bits, t: bits.bitwiseXOR(bit(t)))
+
     marked = tokens.where(size > 0).select(
         "doc_id", "content", "line_no", F.xxhash64("tokens").alias("sig"), F.xxhash64(F.lit(1), "tokens").alias("sig2"),
         size.alias("size"), prefix.alias("prefix"), flips.alias("bits"),
@@ -68,43 +81,51 @@ def _sets(docs: DataFrame, ranks: Column, area: StagingArea) -> tuple[DataFrame,
     lines = area.stage(marked, "lines")
     grouped = lines.groupBy("sig", "sig2").agg(
         F.min(F.struct("doc_id", "content", "line_no")).alias("head"), F.count(F.lit(1)).alias("copies"),
-        F.first("size").alias("size"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits"),
+        *[F.first(c).alias(c) for c in ("size", "prefix", "bits")],
     )
     order = ["head.doc_id", "head.content", "head.line_no"]
     ranged = grouped.repartitionByRange(*order).sortWithinPartitions(*order)
     sets = area.stage(ranged.withColumn("id", F.monotonically_increasing_id()), "sets")
-    return lines.select("doc_id", "content", "line_no", "sig", "sig2"), sets
+    narrow = area.stage(lines.select("doc_id", "content", "line_no", "sig", "sig2"), "line-sets")
+    area.drop(lines)
+    release(docs.sparkSession)
+    return narrow, sets
 
 
-def _may_match() -> Column:
+def _may_match(position: bool = True) -> Column:
     """Length, positional and bit filters for columns a_* and b_*; no true match fails one."""
     both = F.col("a_size") + F.col("b_size")
-    # With s tokens in all, similarity 4/5 needs 4s/9 shared ones at least.
-    rest = F.least(F.col("a_size") - F.col("a_at"), F.col("b_size") - F.col("b_at"))
-    shared_before = F.least("a_at", "b_at")
-    return (
+    differ = F.bit_count(F.col("a_bits").bitwiseXOR(F.col("b_bits")))
+    # With s tokens in all, similarity 4/5 needs 4s/9 shared ones and allows s/9 others.
+    found = (
         (F.col("a_size") * WHOLE >= F.col("b_size") * PART)
         & (F.col("b_size") * WHOLE >= F.col("a_size") * PART)
-        & ((rest + shared_before) * (PART + WHOLE) >= both * PART)
-        & (F.bit_count(F.col("a_bits").bitwiseXOR(F.col("b_bits"))) * (PART + WHOLE) <= both * (WHOLE - PART))
+        & (differ * (PART + WHOLE) <= both * (WHOLE - PART))
+    )
+    if position:
+        rest = F.least(F.col("a_size") - F.col("a_at"), F.col("b_size") - F.col("b_at"))
+        found = found & ((rest + F.least("a_at", "b_at")) * (PART + WHOLE) >= both * PART)
+    return found
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, area: StagingArea) -> DataFrame:
+    """The ids a (later) of the pairs (a, b) whose token sets, taken from the texts again, are similar."""
+    ids = pairs.select(F.col("a").alias("wanted")).union(pairs.select("b")).distinct()
+    places = area.stage(
+        sets.join(ids, F.col("id") == F.col("wanted"), "left_semi").select(
+            "id", F.col("head.doc_id").alias("at_doc"), F.col("head.content").alias("at_content"),
+            F.col("head.line_no").alias("at_line"),
+        ),
+        "places",
     )
-
-
-def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, ranks: Column, area: StagingArea) -> DataFrame:
-    """The ids a (later) of the pairs (a, b) whose token sets really are similar."""
-    pairs = area.stage(pairs.distinct(), "pairs")
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    places = sets.select(
-        "id", F.col("head.doc_id").alias("at_doc"), F.col("head.content").alias("at_content"),
-        F.col("head.line_no").alias("at_line"),
-    ).join(ids, "id")
     lines = _lines(docs).join(
-        places,
+        broadcast_if_small(places),
         F.col("doc_id").eqNullSafe(F.col("at_doc")) & (F.col("content") == F.col("at_content"))
         & (F.col("line_no") == F.col("at_line")),
     )
-    # Repeated rows of one document give the same id and tokens again.
-    tokens = area.stage(lines.select("id", _tokens(ranks).alias("tokens")).dropDuplicates(["id"]), "tokens")
+    # Repeated rows of one document give the same id and tokens again; they change no answer.
+    tokens = area.stage(lines.select("id", F.array_distinct(F.transform(F.array_remove(_words(F.col("line")), ""), lambda w: F.xxhash64(w))).alias("tokens")), "tokens")
+    release(docs.sparkSession)
     later, earlier = tokens.toDF("a", "a_tokens"), tokens.toDF("b", "b_tokens")
     shared = F.size(F.array_intersect("a_tokens", "b_tokens"))
     both = F.size("a_tokens") + F.size("b_tokens")
@@ -115,51 +136,61 @@ def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, ranks: Column,
 def repeated_lines(docs: DataFrame, area: StagingArea | None = None) -> DataFrame:
     """(doc_id, content, line_no) of every line that matches an earlier one.
 
-    A line is the text between line feeds, its tokens the words between white space in
-    small letters, taken once. Lines match at Jaccard similarity 0.8 or more, and come in
+    A line is the text between line feeds, its tokens the words between spaces in small
+    letters, taken once. Lines match at Jaccard similarity 0.8 or more, and come in
     the order of doc_id (null first), content hash and line number. Lines without a word
     match nothing and stay.
 
     Equal sets are joined first, by their hashes. Of the different sets, two similar ones
-    share a token of their prefixes, the rarest tokens. Each set is first compared with the
-    earliest one that has the same prefix token, which settles a crowd of near copies with
-    one pair each; only sets still without a match meet the others of their tokens.
+    share a token of their prefixes, the rarest tokens. A set is first held against the
+    earliest one that has one of its two rarest tokens among its own two; if that passes the
+    filters, as it does in a crowd of near copies, it is its only candidate. All other sets, and those whose candidate
+    turns out not to be similar, meet every earlier set of their tokens that passes.
     """
-    area = scratch(docs.sparkSession, area)
+    spark = docs.sparkSession
+    area = scratch(spark, area)
     docs = docs.select("doc_id", "text")
-    ranks = token_ranks(docs)
-    lines, sets = _sets(docs, ranks, area)
-    release(docs.sparkSession)
-
-    entries = sets.select("id", "size", "bits", F.posexplode("prefix").alias("at", "token"))
-    heads = entries.groupBy("token").agg(
-        F.min(F.struct("id", "size", "at", "bits")).alias("head"), F.max("id").alias("last")
-    ).where("head.id < last").select(F.col("token").alias("head_token"), "head")
-    shared = area.stage(
-        entries.join(heads, F.col("token") == F.col("head_token")).select("token", "id", "size", "at", "bits", "head"),
-        "entries",
-    )
-    release(docs.sparkSession)
-    named = shared.select(
-        "token", "head", F.col("id").alias("a"), F.col("size").alias("a_size"), F.col("at").alias("a_at"),
-        F.col("bits").alias("a_bits"),
-    )
-    stars = named.select(
-        "*", F.col("head.id").alias("b"), F.col("head.size").alias("b_size"), F.col("head.at").alias("b_at"),
-        F.col("head.bits").alias("b_bits"),
-    ).where(F.col("a") > F.col("b"))
-    near_head = _verified(stars.where(_may_match()).select("a", "b"), sets, docs, ranks, area)
-
-    open_sets = named.join(near_head.select(F.col("a").alias("settled")), F.col("a") == F.col("settled"), "left_anti")
-    others = shared.where("id <> head.id").select(
-        F.col("token").alias("b_token"), F.col("id").alias("b"), F.col("size").alias("b_size"),
-        F.col("at").alias("b_at"), F.col("bits").alias("b_bits"),
-    )
-    met = open_sets.join(others, (F.col("token") == F.col("b_token")) & (F.col("a") > F.col("b")) & _may_match())
-    near_other = _verified(met.select("a", "b"), sets, docs, ranks, area)
-    release(docs.sparkSession)
-
-    matched = near_head.union(near_other).select(F.col("a").alias("matched_id"))
+    classes = frequency_classes(docs)
+    lines, sets = _sets(docs, classes, area)
+
+    def entries(of: DataFrame) -> DataFrame:
+        return of.select("id", "size", "bits", "open", F.posexplode("prefix").alias("at", "token"))
+
+    first = entries(sets.withColumn("open", F.lit(True))).where(F.col("at") < STAR_TOKENS)
+    heads = first.groupBy("token").agg(F.min(F.struct("id", "size", "bits")).alias("head"), F.max("id").alias("last"))
+    heads = heads.where("head.id < last").select(F.col("token").alias("head_token"), "head")
+    stars = first.join(heads, F.col("token") == F.col("head_token")).select(
+        F.col("id").alias("a"), F.col("size").alias("a_size"), F.col("bits").alias("a_bits"),
+        F.col("head.id").alias("b"), F.col("head.size").alias("b_size"), F.col("head.bits").alias("b_bits"),
+    ).where((F.col("a") > F.col("b")) & _may_match(position=False))
+    stars = area.stage(stars.select("a", "b").distinct(), "stars")
+    starred = stars.select(F.col("a").alias("starred")).distinct()
+    release(spark)
+
+    def meeting(open_sets: DataFrame) -> DataFrame:
+        """Pairs (a, b) of the sets marked open with all earlier sets of their tokens."""
+        found = entries(open_sets)
+        later = found.select(*[F.col(c).alias(f"a_{c}") for c in ("token", "id", "size", "bits", "at", "open")])
+        earlier = found.select(*[F.col(c).alias(f"b_{c}") for c in ("token", "id", "size", "bits", "at")])
+        same = (F.col("a_token") == F.col("b_token")) & F.col("a_open") & (F.col("a_id") > F.col("b_id"))
+        return later.join(earlier, same & _may_match()).select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct()
+
+    def marked(ids: DataFrame, are_open: bool) -> DataFrame:
+        found = sets.join(ids, F.col("id") == F.col("starred"), "left")
+        return area.stage(found.select("id", "size", "bits", "prefix", (F.col("starred").isNotNull() == are_open).alias("open")), "open")
+
+    open_sets = marked(starred, False)
+    pairs = area.stage(stars.union(meeting(open_sets)), "pairs")
+    area.drop(open_sets)
+    release(spark)
+    matched = _verified(pairs, sets, docs, area)
+    again = area.stage(starred.join(matched, F.col("starred") == F.col("a"), "left_anti"), "again")
+    if again.count():
+        rest = area.stage(meeting(marked(again, True)), "rest")
+        matched = matched.union(_verified(rest, sets, docs, area))
+    release(spark)
+
+    matched = matched.select(F.col("a").alias("matched_id"))
     known = sets.join(matched, F.col("id") == F.col("matched_id"), "left").where("copies > 1 or matched_id is not null")
     known = area.stage(
         known.select(
@@ -187,7 +218,7 @@ def without_repeated_lines(docs: DataFrame, area: StagingArea | None = None) ->
     release(docs.sparkSession)
     packed = docs.select(F.struct("*").alias("row"))
     joined = packed.join(
-        gone,
+        broadcast_if_small(gone, F.size("gone")),
         F.col("row.doc_id").eqNullSafe(F.col("gone_doc")) & (F.xxhash64("row.text") == F.col("gone_content")),
         "left",
     )
@@ -229,7 +260,7 @@ def op8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP8_SQL = r"""
 WITH line AS (
     SELECT doc_id, text, i - 1 AS line_no,
-           list_distinct(list_filter(string_split_regex(lower(parts[i]), '\s+'), lambda x: x <> '')) AS w
+           list_distinct(list_filter(string_split(lower(parts[i]), ' '), lambda x: x <> '')) AS w
     FROM (SELECT doc_id, text, string_split(text, chr(10)) AS parts FROM documents WHERE text IS NOT NULL),
          unnest(range(1, len(parts) + 1)) AS t(i)
 ), first AS (
