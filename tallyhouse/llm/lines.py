@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import functools
 import math
+import operator
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -14,6 +16,8 @@ PART, WHOLE = 4, 5
 # Word frequencies are summed by hash bucket; their classes are a constant of the plan.
 BUCKETS = 1 << 14
 STAR_TOKENS = 2
+# Sets of more than LONG tokens have LONG_BITS words of 64 bits for the bit filter, others one.
+LONG, LONG_BITS = 80, 8
 
 
 def _words(line: Column) -> Column:
@@ -63,25 +67,33 @@ def _sets(docs: DataFrame, classes: Column, area: StagingArea) -> tuple[DataFram
     A set is numbered in the order of its first line (doc_id, content, line number), so a
     lower id is an earlier line. `prefix` has 32 bits of each token: a chance clash brings
     two lines together that are then told apart. Bit i of `bits` is flipped for each token
-    of hash i: two sets differ in at least as many tokens as their bits do.
+    of hash i: two sets differ in at least as many tokens as their bits do. Long sets have
+    more such bits.
     """
     tokens = _lines(docs).select("doc_id", "content", "line_no", _tokens(classes).alias("tokens"))
     size = F.size("tokens")
     # A set of n tokens has n - ceil(4n/5) + 1 in its prefix.
     first = F.slice("tokens", 1, F.floor(size / WHOLE).cast("int") + 1)
     prefix = F.transform(first, lambda t: F.hash(t))
-    one = F.lit(1).cast("bigint")
+    one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
     bit = lambda t: F.call_function("shiftleft", one, t.bitwiseAND(F.lit(63)).cast("int"))
-    flips = F.aggregate("tokens", F.lit(0).cast("bigint"), lambda bits, t: bits.bitwiseXOR(bit(t)))
+    flips = F.aggregate("tokens", zero, lambda bits, t: bits.bitwiseXOR(bit(t)))
 
+    def part(i: int) -> Column:
+        own = lambda t: F.shiftrightunsigned(t, 6).bitwiseAND(F.lit(LONG_BITS - 1)) == i
+        flip = lambda bits, t: F.when(own(t), bits.bitwiseXOR(bit(t))).otherwise(bits)
+        return F.when(size > LONG, F.aggregate("tokens", zero, flip)).otherwise(zero)
+
+    long_bits = F.array(*[part(i) for i in range(LONG_BITS)])
     marked = tokens.where(size > 0).select(
         "doc_id", "content", "line_no", F.xxhash64("tokens").alias("sig"), F.xxhash64(F.lit(1), "tokens").alias("sig2"),
         size.alias("size"), prefix.alias("prefix"), flips.alias("bits"),
+        F.when(size > LONG, long_bits).alias("long_bits"),
     )
     lines = area.stage(marked, "lines")
     grouped = lines.groupBy("sig", "sig2").agg(
         F.min(F.struct("doc_id", "content", "line_no")).alias("head"), F.count(F.lit(1)).alias("copies"),
-        *[F.first(c).alias(c) for c in ("size", "prefix", "bits")],
+        *[F.first(c).alias(c) for c in ("size", "prefix", "bits", "long_bits")],
     )
     order = ["head.doc_id", "head.content", "head.line_no"]
     ranged = grouped.repartitionByRange(*order).sortWithinPartitions(*order)
@@ -96,6 +108,11 @@ def _may_match(position: bool = True) -> Column:
     """Length, positional and bit filters for columns a_* and b_*; no true match fails one."""
     both = F.col("a_size") + F.col("b_size")
     differ = F.bit_count(F.col("a_bits").bitwiseXOR(F.col("b_bits")))
+    both_long = F.col("a_long_bits").isNotNull() & F.col("b_long_bits").isNotNull()
+    parts = [
+        F.bit_count(F.get("a_long_bits", F.lit(i)).bitwiseXOR(F.get("b_long_bits", F.lit(i)))) for i in range(LONG_BITS)
+    ]
+    differ = F.when(both_long, functools.reduce(operator.add, parts)).otherwise(differ)
     # With s tokens in all, similarity 4/5 needs 4s/9 shared ones and allows s/9 others.
     found = (
         (F.col("a_size") * WHOLE >= F.col("b_size") * PART)
@@ -154,14 +171,14 @@ def repeated_lines(docs: DataFrame, area: StagingArea | None = None) -> DataFram
     lines, sets = _sets(docs, classes, area)
 
     def entries(of: DataFrame) -> DataFrame:
-        return of.select("id", "size", "bits", "open", F.posexplode("prefix").alias("at", "token"))
+        return of.select("id", "size", "bits", "long_bits", "open", F.posexplode("prefix").alias("at", "token"))
 
     first = entries(sets.withColumn("open", F.lit(True))).where(F.col("at") < STAR_TOKENS)
-    heads = first.groupBy("token").agg(F.min(F.struct("id", "size", "bits")).alias("head"), F.max("id").alias("last"))
+    heads = first.groupBy("token").agg(F.min(F.struct("id", "size", "bits", "long_bits")).alias("head"), F.max("id").alias("last"))
     heads = heads.where("head.id < last").select(F.col("token").alias("head_token"), "head")
     stars = first.join(heads, F.col("token") == F.col("head_token")).select(
-        F.col("id").alias("a"), F.col("size").alias("a_size"), F.col("bits").alias("a_bits"),
-        F.col("head.id").alias("b"), F.col("head.size").alias("b_size"), F.col("head.bits").alias("b_bits"),
+        F.col("id").alias("a"), F.col("size").alias("a_size"), F.col("bits").alias("a_bits"), F.col("long_bits").alias("a_long_bits"),
+        F.col("head.id").alias("b"), F.col("head.size").alias("b_size"), F.col("head.bits").alias("b_bits"), F.col("head.long_bits").alias("b_long_bits"),
     ).where((F.col("a") > F.col("b")) & _may_match(position=False))
     stars = area.stage(stars.select("a", "b").distinct(), "stars")
     starred = stars.select(F.col("a").alias("starred")).distinct()
@@ -170,14 +187,14 @@ def repeated_lines(docs: DataFrame, area: StagingArea | None = None) -> DataFram
     def meeting(open_sets: DataFrame) -> DataFrame:
         """Pairs (a, b) of the sets marked open with all earlier sets of their tokens."""
         found = entries(open_sets)
-        later = found.select(*[F.col(c).alias(f"a_{c}") for c in ("token", "id", "size", "bits", "at", "open")])
-        earlier = found.select(*[F.col(c).alias(f"b_{c}") for c in ("token", "id", "size", "bits", "at")])
+        later = found.select(*[F.col(c).alias(f"a_{c}") for c in ("token", "id", "size", "bits", "long_bits", "at", "open")])
+        earlier = found.select(*[F.col(c).alias(f"b_{c}") for c in ("token", "id", "size", "bits", "long_bits", "at")])
         same = (F.col("a_token") == F.col("b_token")) & F.col("a_open") & (F.col("a_id") > F.col("b_id"))
         return later.join(earlier, same & _may_match()).select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct()
 
     def marked(ids: DataFrame, are_open: bool) -> DataFrame:
         found = sets.join(ids, F.col("id") == F.col("starred"), "left")
-        return area.stage(found.select("id", "size", "bits", "prefix", (F.col("starred").isNotNull() == are_open).alias("open")), "open")
+        return area.stage(found.select("id", "size", "bits", "long_bits", "prefix", (F.col("starred").isNotNull() == are_open).alias("open")), "open")
 
     open_sets = marked(starred, False)
     pairs = area.stage(stars.union(meeting(open_sets)), "pairs")

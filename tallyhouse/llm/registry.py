@@ -13,6 +13,7 @@ from .language import op10_language
 from .licenses import OP6_SQL, op6_licenses
 from .lines import OP8_SQL, op8_lines
 from .pages import op7_pages
+from .passages import op5_passages
 from .secrets import op4_secrets
 from .simhash import op3_simhash
 
@@ -25,6 +26,7 @@ def llm_queries() -> dict[str, Query]:
         "op2_bpe": op2_bpe,
         "op3_simhash": op3_simhash,
         "op4_secrets": op4_secrets,
+        "op5_passages": op5_passages,
         "op6_licenses": op6_licenses,
         "op7_pages": op7_pages,
         "op8_lines": op8_lines,
