@@ -335,7 +335,7 @@ def test_forward_sums_all_segmentations():
     scorer = language.Scorer(names, table, 1e-9)
 
     def total(word):
-        return 1.0 if not word else sum(table[names.index(word[:n])][0] * total(word[n:]) for n in range(1, 4) if word[:n] in names)
+        return 1.0 if not word else sum(table[names.index(word[:n])][0] * total(word[n:]) for n in range(1, min(3, len(word)) + 1) if word[:n] in names)
 
     for word in ("▁ab", "▁abab", "▁babab"):
         scorer.learn({word})
