@@ -43,6 +43,7 @@ def main() -> None:
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "16g",
+            "spark.checkpoint.dir": os.environ.get("BENCH_SHARED_DIR", "spark-warehouse/bench-shared"),
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_ROWS = 5_000_000
-MAX_HOT_KEYS = 10_000
 
 
 def frame_bytes(df: DataFrame) -> int:
@@ -39,7 +38,8 @@ def lookup_join(
 
     A dimension that measures small is broadcast. A larger one is shuffled, and every key
     with more than `hot_rows` facts is spread: its facts over `fan` salts, its one
-    dimension row copied to each salt. NULL keys never match and are spread the same way.
+    dimension row copied to each salt. NULL keys never match, so their facts stay out of the
+    join: a left join adds them again with an empty dimension, an inner one drops them.
 
     Hot keys are counted on `measured` (default: the facts). In a chain of lookups pass the
     stored lines, so that counting does not run the joins before this one; any hot list
@@ -48,9 +48,7 @@ def lookup_join(
     if frame_bytes(dim) <= broadcast_limit:
         return facts.join(F.broadcast(dim), key, how)
 
-    # Raising the threshold with the data keeps the hot list at MAX_HOT_KEYS or fewer.
     measured = facts if measured is None else measured
-    hot_rows = max(hot_rows, measured.count() // MAX_HOT_KEYS)
     hot = (
         measured.where(F.col(key).isNotNull())
         .groupBy(key)
@@ -58,13 +56,18 @@ def lookup_join(
         .where(F.col("_rows") > hot_rows)
         .select(key, F.ceil(F.col("_rows") / hot_rows).cast("int").alias("_fan"))
     )
+    # At most one key for every `hot_rows` facts; its size is measured like any other.
+    hot = broadcast_if_small(hot, broadcast_limit or BROADCAST_BYTES)
     spread = F.xxhash64(*[F.col(c) for c in facts.columns])
-    null_fan = F.lit(1024)
-    salted_facts = facts.join(F.broadcast(hot), key, "left").withColumn(
-        "_salt",
-        F.pmod(spread, F.when(F.col(key).isNull(), null_fan).otherwise(F.coalesce("_fan", F.lit(1)))).cast("int"),
+    salted_facts = facts.where(F.col(key).isNotNull()).join(hot, key, "left").withColumn(
+        "_salt", F.pmod(spread, F.coalesce("_fan", F.lit(1))).cast("int")
     ).drop("_fan")
-    salted_dim = dim.join(F.broadcast(hot), key, "left").withColumn(
+    salted_dim = dim.join(hot, key, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_fan"), F.lit(1)) - 1))
     ).drop("_fan")
-    return salted_facts.join(salted_dim, [key, "_salt"], how).drop("_salt")
+    joined = salted_facts.join(salted_dim, [key, "_salt"], how).drop("_salt")
+    if how != "left":
+        return joined
+    missing = [F.lit(None).cast(kind).alias(c) for c, kind in dim.dtypes if c != key]
+    unkeyed = facts.where(F.col(key).isNull()).select("*", *missing)
+    return joined.unionByName(unkeyed)

@@ -159,6 +159,15 @@ def _results(rows: DataFrame, table: str, passed: Column | None = None) -> DataF
     )
 
 
+def lines_reach(source: DataFrame, target: DataFrame, table: str) -> DataFrame:
+    """One result row: source lines (bronze_id) that no row of the target (source_bronze_id) stands for."""
+    held = target.select(F.col("source_bronze_id").alias("held")).distinct()
+    lost = source.join(held, F.col("bronze_id") == F.col("held"), "left").agg(
+        F.count_if(F.col("held").isNull()).alias("records_failed"), F.count(F.lit(1)).alias("_rows")
+    )
+    return _results(lost.withColumn("check_type", F.lit("lines_reach")).withColumn("column_name", F.lit("source_bronze_id")), table)
+
+
 def check_log(results: DataFrame, batch_id: str, checked_at: datetime) -> DataFrame:
     """Result rows in the form of the data_quality_checks table."""
     return results.select(

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import atexit
 import itertools
-import shutil
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,18 +45,10 @@ def build_session(
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in spark.checkpoint.dir.
 
-    Only a local master may fall back to a temporary folder: there the driver and the
-    executors are one machine. Anywhere else a missing setting is an error.
+    Without that setting it is a folder in the warehouse, which executors share as well.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    context = spark.sparkContext
-    if context.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="tallyhouse-")
-        atexit.register(shutil.rmtree, folder, ignore_errors=True)
-        return folder
-    raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+    return (configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/_shared").rstrip("/")
 
 
 class StagingArea:

@@ -91,6 +91,39 @@ def test_pipeline_in_two_batches_equals_full_rebuild(spark, lake, files, area):
     assert net == lake.read("fact_sales").agg(F.sum("line_total")).first()[0]
 
 
+def load(lake, files, area, name, batch_id, started_at, rows):
+    (files / name).write_text("\n".join([HEADER, *rows]) + "\n")
+    pipeline.load_bronze(lake, str(files / name), batch=LoadBatch(started_at=started_at, batch_id=batch_id))
+    pipeline.build_silver(lake)
+    pipeline.build_gold(lake, area, as_of=date(2014, 1, 1))
+
+
+def test_late_and_equal_batches_reach_the_fact(lake, files, area):
+    load(lake, files, area, "a.csv", "B2", datetime(2011, 3, 1, 10, 5), FIRST)
+    load(lake, files, area, "b.csv", "B1", datetime(2011, 3, 1, 10, 0), SECOND[:1])
+    load(lake, files, area, "c.csv", "B3", datetime(2011, 3, 1, 10, 5), SECOND[1:])
+    assert lake.read("fact_sales").count() == 6
+
+
+def test_batch_delivered_again_replaces_its_rows(lake, files, area):
+    load(lake, files, area, "a.csv", "B1", datetime(2011, 3, 1), FIRST)
+    load(lake, files, area, "a.csv", "B1", datetime(2011, 3, 2), [FIRST[0].replace(",6,", ",60,"), SECOND[1]])
+    assert {r.quantity for r in lake.read("fact_sales").collect()} == {60, 2}
+    load(lake, files, area, "a.csv", "B1", datetime(2011, 3, 3), [FIRST[4]])
+    assert lake.read("fact_sales").count() == 0
+
+
+def test_calendar_covers_the_lines_and_losses_are_reported(lake, files, area):
+    late = SECOND[0].replace("2010-12-20", "2013-06-20")
+    load(lake, files, area, "a.csv", "B1", datetime(2013, 7, 1), [*FIRST, late])
+    assert lake.read("fact_sales").count() == 5
+    lines = lake.read("stg_bronze__online_retail", "silver")
+    assert checks.lines_reach(lines, lake.read("fact_sales"), "fact_sales").first().check_passed
+    pipeline.build_gold(lake, area, as_of=date(2014, 1, 1), calendar_span=("2010-01-01", "2013-01-01"), full_refresh=True)
+    lost = checks.lines_reach(lines, lake.read("fact_sales"), "fact_sales").first()
+    assert not lost.check_passed and lost.records_failed == 1
+
+
 def test_loading_a_batch_again_replaces_it(lake, files):
     batch = LoadBatch(started_at=datetime(2011, 3, 1), batch_id="B1")
     for _ in range(2):
@@ -161,14 +194,6 @@ def test_readers(spark, files, tmp_path):
             read_source(spark, path)
 
 
-def test_excel_needs_its_reader(spark):
-    import importlib.util
-
-    if importlib.util.find_spec("openpyxl") is None:
-        with pytest.raises(ValueError, match="openpyxl"):
-            read_source(spark, "lines.xlsx")
-
-
 def test_stream_lands_each_line_once(spark, tmp_path):
     source, target, checkpoint = (str(tmp_path / n) for n in ("in", "out", "ckpt"))
     schema = "InvoiceNo string, StockCode string, Description string, Quantity string, InvoiceDate string, UnitPrice string, CustomerID string, Country string"
