@@ -186,11 +186,12 @@ def repeated_lines(docs: DataFrame, area: StagingArea | None = None) -> DataFram
 
     def meeting(open_sets: DataFrame) -> DataFrame:
         """Pairs (a, b) of the sets marked open with all earlier sets of their tokens."""
-        found = entries(open_sets)
-        later = found.select(*[F.col(c).alias(f"a_{c}") for c in ("token", "id", "size", "bits", "long_bits", "at", "open")])
-        earlier = found.select(*[F.col(c).alias(f"b_{c}") for c in ("token", "id", "size", "bits", "long_bits", "at")])
-        same = (F.col("a_token") == F.col("b_token")) & F.col("a_open") & (F.col("a_id") > F.col("b_id"))
-        return later.join(earlier, same & _may_match()).select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct()
+        found = entries(open_sets).withColumn("reach", F.when(F.col("open"), F.col("id")).otherwise(-1)).drop("open")
+        # Both sides have the same columns, and `reach` asks for both sides at once, so that
+        # one shuffle of the entries serves both.
+        side = lambda name: found.select(*[F.col(c).alias(f"{name}_{c}") for c in found.columns])
+        same = (F.col("a_token") == F.col("b_token")) & (F.col("a_reach") > F.col("b_id"))
+        return side("a").join(side("b"), same & _may_match()).select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct()
 
     def marked(ids: DataFrame, are_open: bool) -> DataFrame:
         found = sets.join(ids, F.col("id") == F.col("starred"), "left")
