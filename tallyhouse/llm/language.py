@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 import pandas as pd
 import public_tokenizers
@@ -23,8 +25,10 @@ SMOOTHING = 0.1
 UNKNOWN = "und"
 
 _LETTERS = re.compile(r"[^\W\d_]+")
-_CACHED_WORDS = 200_000
+_CACHED_WORDS = 400_000
 _SHORT = 32
+# A found piece is its number times _SIZES plus its length; no piece is that long.
+_SIZES = 1 << 16
 
 
 def read_pieces(path: str = VOCABULARY) -> list[str]:
@@ -58,26 +62,41 @@ class Scorer:
         self.longest = max(map(len, pieces), default=1)
         self.table = np.vstack([table, np.zeros((1, table.shape[1])), np.full((1, table.shape[1]), rare)])
         self.none, self.rare = len(pieces), len(pieces) + 1
+        self.pieces = pieces
+        self.finder = ahocorasick.Automaton()
+        for i, p in enumerate(pieces):
+            self.finder.add_word(p, i * _SIZES + len(p))
+        self.finder.make_automaton()
         self._clear()
 
     def _clear(self) -> None:
         self.known: dict[str, int] = {}
         self.rows = np.zeros((1024, self.table.shape[1]))
 
-    def _ids(self, words: list[str], start: int, end: int) -> np.ndarray:
-        missing = self.rare if end - start == 1 else self.none
-        get = self.index.get
-        return np.array([get(w[start:end], missing) for w in words], dtype=np.int64)
-
     def _same_length(self, words: list[str], length: int) -> np.ndarray:
+        """Words of one length, joined so that the automaton finds the pieces of all in one walk."""
         forward = np.zeros((length + 1, len(words), self.table.shape[1]))
         forward[0] = 1
-        for end in range(1, length + 1):
-            for start in range(max(0, end - self.longest), end):
-                ids = self._ids(words, start, end)
-                used = np.flatnonzero(ids != self.none)
-                if len(used):
-                    forward[end, used] += forward[start, used] * self.table[ids[used]]
+        step = length + 1
+        matches = self.finder.iter("\n".join(words)) if self.pieces else ()
+        ends, values = np.fromiter(itertools.chain.from_iterable(matches), np.int64).reshape(-1, 2).T
+        word, end = ends // step, ends % step + 1
+        size, ids = values % _SIZES, values // _SIZES
+        inside = end <= length
+        single = inside & (size == 1)
+        alone = np.full((length, len(words)), self.rare)
+        alone[end[single] - 1, word[single]] = ids[single]
+        # In the order of end, then start, each run holds a word once.
+        several = np.flatnonzero(inside & (size > 1))
+        place = end[several] * step + end[several] - size[several]
+        several = several[np.argsort(place, kind="stable")]
+        bounds = np.searchsorted(np.sort(place), np.arange(step * step + 1))
+        for at_end in range(1, step):
+            for start in range(max(0, at_end - self.longest), at_end - 1):
+                run = several[bounds[at_end * step + start] : bounds[at_end * step + start + 1]]
+                if len(run):
+                    forward[at_end, word[run]] += forward[start, word[run]] * self.table[ids[run]]
+            forward[at_end] += forward[at_end - 1] * self.table[alone[at_end - 1]]
         return np.log(forward[length])
 
     def _long(self, word: str) -> np.ndarray:
