@@ -12,7 +12,7 @@ import numpy as np
 import pandas as pd
 import public_tokenizers
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.functions import pandas_udf
 
 from ..session import StagingArea
@@ -20,6 +20,7 @@ from .common import python_ready, read_table, scratch
 
 VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 TRAINING_DOCS = 2000
+PART_BITS = 12
 ROUNDS = 2
 SMOOTHING = 0.1
 UNKNOWN = "und"
@@ -219,12 +220,17 @@ def train(docs: DataFrame, path: str = VOCABULARY, per_language: int = TRAINING_
     python_ready(spark)
     area = scratch(spark, area)
     rows = docs.where("text is not null and lang is not null")
-    ranked = rows.selectExpr(
-        "doc_id", "lang", "row_number() over (partition by lang order by xxhash64(doc_id), doc_id) as nth"
-    )
-    sample = ranked.where(F.col("nth") <= per_language).select(
-        F.col("doc_id").alias("id"), F.col("lang").alias("label")
-    )
+    placed = rows.select(F.col("doc_id").alias("id"), F.col("lang").alias("label"), F.xxhash64("doc_id").alias("h"))
+    # Counts of equal parts of the hash range tell where each language's sample ends, so that only
+    # the rows up to there are ranked, however many a language has.
+    placed = placed.withColumn("part", F.shiftright("h", 64 - PART_BITS))
+    counts = placed.groupBy("label", "part").count()
+    upto = F.sum("count").over(Window.partitionBy("label").orderBy("part")) - F.col("count")
+    ends = counts.withColumn("before", upto).where(F.col("before") < per_language)
+    ends = ends.groupBy(F.col("label").alias("of")).agg(F.max("part").alias("end"))
+    near = placed.join(ends, (F.col("label") == F.col("of")) & (F.col("part") <= F.col("end")))
+    order = Window.partitionBy("label").orderBy("h", "id")
+    sample = near.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= per_language).select("id", "label")
     picked = rows.join(
         F.broadcast(sample.distinct()), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("lang") == F.col("label"))
     )
