@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -62,6 +63,17 @@ def _signed(values: np.ndarray) -> pa.Array:
     return pa.array(values.view(np.int64), pa.int64())
 
 
+def marks_of(own: np.ndarray) -> np.ndarray:
+    """64 bits of each row of shingles: bit i is flipped for each different shingle of hash i.
+
+    Two sets differ in at least as many shingles as their bits do.
+    """
+    own = np.sort(own, axis=1)
+    bits = np.uint64(1) << (own >> np.uint64(58))
+    bits[:, 1:][own[:, 1:] == own[:, :-1]] = 0
+    return np.bitwise_xor.reduce(bits, axis=1)
+
+
 def _paragraphs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for doc_id, content, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "content", "text"))):
@@ -76,7 +88,8 @@ def _paragraphs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     {
                         "doc_id": pa.array([doc_id] * len(part), pa.int64()),
                         "content": pa.array([content] * len(part), pa.int64()),
-                        "start": pa.array(part, pa.int32()), "digest": _signed(digest), **bands,
+                        "start": pa.array(part, pa.int32()), "digest": _signed(digest),
+                        "marks": _signed(marks_of(own)), **bands,
                     }
                 )
 
@@ -112,25 +125,33 @@ def repeated_paragraphs(docs: DataFrame, area: StagingArea | None = None) -> Dat
     area = scratch(spark, area)
     named = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("content"), "text")
     bands = [f"band{i}" for i in range(BANDS)]
-    kind = "doc_id bigint, content bigint, start int, digest bigint, " + ", ".join(f"{b} bigint" for b in bands)
+    kind = "doc_id bigint, content bigint, start int, digest bigint, marks bigint, " + ", ".join(f"{b} bigint" for b in bands)
     rows = area.stage(named.mapInArrow(_paragraphs, kind), "paragraphs")
 
     where = F.struct("doc_id", "content", "start")
-    nodes = area.stage(
-        rows.groupBy("digest").agg(F.min(where).alias("first"), *[F.first(b).alias(b) for b in bands]), "nodes"
+    # Of two sets of _IN shingles at most, similar ones differ in a ninth of their sum at most.
+    alike = F.bit_count(F.col("marks").bitwiseXOR(F.col("low_marks"))) * (PART + WHOLE) <= 2 * _IN * (WHOLE - PART)
+    found = []
+    for band in bands:
+        entries = rows.select("digest", "marks", F.col(band).alias("key"))
+        low = entries.groupBy("key").agg(
+            F.min("digest").alias("low"), F.max("digest").alias("high"), F.min_by("marks", "digest").alias("low_marks")
+        ).where("low < high").select(F.col("key").alias("low_key"), "low", "low_marks")
+        low = area.stage(low, "first-of-band")
+        release(spark)
+        pairs = entries.join(low, (F.col("key") == F.col("low_key")) & (F.col("digest") != F.col("low")) & alike)
+        found.append(area.stage(pairs.select(F.col("digest").alias("a"), F.col("low").alias("b")).distinct(), "band-pairs"))
+        area.drop(low)
+        release(spark)
+    pairs = area.stage(functools.reduce(DataFrame.union, found).distinct(), "pairs")
+    ids = pairs.select(F.col("a").alias("wanted_digest")).union(pairs.select("b")).distinct()
+    ids = broadcast_if_small(area.stage(ids, "wanted-digests"))
+    nodes = rows.join(ids, F.col("digest") == F.col("wanted_digest"), "left_semi").groupBy("digest").agg(
+        F.min(where).alias("first")
     )
-    release(spark)
-    spread = nodes.select("digest", F.posexplode(F.array(*bands)).alias("band", "key"))
-    low = spread.groupBy("band", "key").agg(F.min("digest").alias("low"), F.max("digest").alias("high")).where("low < high")
-    pairs = area.stage(
-        spread.join(low, ["band", "key"]).where("digest <> low").select(F.col("digest").alias("a"), F.col("low").alias("b")).distinct(),
-        "pairs",
+    wanted = nodes.groupBy(F.col("first.doc_id").alias("of_doc"), F.col("first.content").alias("of_content")).agg(
+        F.collect_list(F.struct("digest", F.col("first.start").alias("start"))).alias("wanted")
     )
-    release(spark)
-    ids = pairs.select(F.col("a").alias("wanted_digest")).union(pairs.select("b")).distinct()
-    wanted = nodes.join(ids, F.col("digest") == F.col("wanted_digest"), "left_semi").groupBy(
-        F.col("first.doc_id").alias("of_doc"), F.col("first.content").alias("of_content")
-    ).agg(F.collect_list(F.struct("digest", F.col("first.start").alias("start"))).alias("wanted"))
     wanted = area.stage(wanted, "wanted")
     texts = named.join(
         broadcast_if_small(wanted, F.size("wanted")),
@@ -142,22 +163,21 @@ def repeated_paragraphs(docs: DataFrame, area: StagingArea | None = None) -> Dat
     both = F.size(F.array_distinct("a_set")) + F.size(F.array_distinct("b_set"))
     links = pairs.join(a, "a").join(b, "b").where(shared * (PART + WHOLE) >= both * PART).select("a", "b")
     roots = area.stage(connected_components(links, area), "roots")
+    release(spark)
 
-    rooted = nodes.select("digest", "first").join(roots, F.col("digest") == F.col("node"), "left").select(
-        "digest", "first", F.coalesce("root", "digest").alias("root")
-    )
     document = F.struct("doc_id", "content")
-    spans = rows.groupBy("digest").agg(F.min(document).alias("low"), F.max(document).alias("high"))
-    classes = rooted.join(spans.withColumnRenamed("digest", "of"), F.col("digest") == F.col("of")).groupBy("root").agg(
-        F.min("low").alias("low"), F.max("high").alias("high")
-    ).where("low < high")
-    known = area.stage(
-        rooted.join(classes.withColumnRenamed("root", "class"), F.col("root") == F.col("class")).select(
-            F.col("digest").alias("of_digest"), F.col("low").alias("head")
-        ),
-        "classes",
+    rooted = rows.join(broadcast_if_small(roots), F.col("digest") == F.col("node"), "left").withColumn(
+        "root", F.coalesce("root", "digest")
     )
-    found = rows.join(known, F.col("digest") == F.col("of_digest"))
+    # Most roots have one paragraph; only the others' documents are compared.
+    several = area.stage(rooted.groupBy(F.col("root").alias("several")).count().where("count > 1").select("several"), "several")
+    release(spark)
+    classes = rooted.join(broadcast_if_small(several), F.col("root") == F.col("several"), "left_semi").groupBy("root").agg(
+        F.min(document).alias("head"), F.max(document).alias("last")
+    ).where("head < last")
+    known = area.stage(classes.select(F.col("root").alias("class"), "head"), "classes")
+    release(spark)
+    found = rooted.join(broadcast_if_small(known), F.col("root") == F.col("class"))
     return found.select(
         "doc_id", "content", "start", F.col("head.doc_id").alias("class_doc_id"),
         (~document.eqNullSafe(F.col("head"))).alias("removed"),
