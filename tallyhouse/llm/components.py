@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import StagingArea
+from .common import release
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -38,7 +39,8 @@ def connected_components(edges: DataFrame, area: StagingArea) -> DataFrame:
     """(node, root) for every node of `edges` (a, b), both bigint; root is the least node reachable.
 
     Loops, repeated edges, edges in both directions and nulls (no edge) are allowed. Each
-    round is written to the shared folder; only a count and a checksum reach the driver.
+    round is written to the shared folder, in place of the one before; only a count and a
+    checksum reach the driver.
     Roots are nodes too: (root, root) is a row. No edges: no rows.
     """
     now = area.stage(
@@ -48,7 +50,10 @@ def connected_components(edges: DataFrame, area: StagingArea) -> DataFrame:
     )
     before = _state(now)
     while before[0]:
-        now = area.stage(_small_star(_large_star(now)), "stars")
+        moved = area.stage(_small_star(_large_star(now)), "stars")
+        area.drop(now)
+        release(edges.sparkSession)
+        now = moved
         after = _state(now)
         if after == before:
             break

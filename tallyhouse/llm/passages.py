@@ -144,24 +144,34 @@ def repeated_paragraphs(docs: DataFrame, area: StagingArea | None = None) -> Dat
         area.drop(low)
         release(spark)
     pairs = area.stage(functools.reduce(DataFrame.union, found).distinct(), "pairs")
+    for part in found:
+        area.drop(part)
     ids = pairs.select(F.col("a").alias("wanted_digest")).union(pairs.select("b")).distinct()
-    ids = broadcast_if_small(area.stage(ids, "wanted-digests"))
-    nodes = rows.join(ids, F.col("digest") == F.col("wanted_digest"), "left_semi").groupBy("digest").agg(
+    ids = area.stage(ids, "wanted-digests")
+    nodes = rows.join(broadcast_if_small(ids), F.col("digest") == F.col("wanted_digest"), "left_semi").groupBy("digest").agg(
         F.min(where).alias("first")
     )
     wanted = nodes.groupBy(F.col("first.doc_id").alias("of_doc"), F.col("first.content").alias("of_content")).agg(
         F.collect_list(F.struct("digest", F.col("first.start").alias("start"))).alias("wanted")
     )
     wanted = area.stage(wanted, "wanted")
+    area.drop(ids)
+    release(spark)
     texts = named.join(
         broadcast_if_small(wanted, F.size("wanted")),
         F.col("doc_id").eqNullSafe(F.col("of_doc")) & F.col("content").eqNullSafe(F.col("of_content")),
     )
     sets = area.stage(texts.select("text", "wanted").mapInArrow(_sets, "digest bigint, shingles array<bigint>"), "sets")
+    area.drop(wanted)
+    release(spark)
     a, b = sets.toDF("a", "a_set"), sets.toDF("b", "b_set")
     shared = F.size(F.array_intersect("a_set", "b_set"))
     both = F.size(F.array_distinct("a_set")) + F.size(F.array_distinct("b_set"))
     links = pairs.join(a, "a").join(b, "b").where(shared * (PART + WHOLE) >= both * PART).select("a", "b")
+    links = area.stage(links, "links")
+    area.drop(sets)
+    area.drop(pairs)
+    release(spark)
     roots = area.stage(connected_components(links, area), "roots")
     release(spark)
 
