@@ -16,6 +16,8 @@ PART, WHOLE = 4, 5
 # Word frequencies are summed by hash bucket; their classes are a constant of the plan.
 BUCKETS = 1 << 14
 STAR_TOKENS = 2
+# The join on prefix tokens is made in so many passes over the sets.
+PASSES = 4
 # Sets of more than LONG tokens have LONG_BITS words of 64 bits for the bit filter, others one.
 LONG, LONG_BITS = 80, 8
 
@@ -186,12 +188,19 @@ def repeated_lines(docs: DataFrame, area: StagingArea | None = None) -> DataFram
 
     def meeting(open_sets: DataFrame) -> DataFrame:
         """Pairs (a, b) of the sets marked open with all earlier sets of their tokens."""
-        found = entries(open_sets).withColumn("reach", F.when(F.col("open"), F.col("id")).otherwise(-1)).drop("open")
         # Both sides have the same columns, and `reach` asks for both sides at once, so that
-        # one shuffle of the entries serves both.
-        side = lambda name: found.select(*[F.col(c).alias(f"{name}_{c}") for c in found.columns])
+        # one shuffle of the entries serves both. A share of the tokens at a time: the shuffle is
+        # that much smaller, and deleted before the next.
+        side = lambda name, found: found.select(*[F.col(c).alias(f"{name}_{c}") for c in found.columns])
         same = (F.col("a_token") == F.col("b_token")) & (F.col("a_reach") > F.col("b_id"))
-        return side("a").join(side("b"), same & _may_match()).select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct()
+        met = []
+        for i in range(PASSES):
+            mine = F.pmod("token", F.lit(PASSES)) == i
+            found = entries(open_sets).where(mine).withColumn("reach", F.when(F.col("open"), F.col("id")).otherwise(-1)).drop("open")
+            pairs = side("a", found).join(side("b", found), same & _may_match())
+            met.append(area.stage(pairs.select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct(), "met"))
+            release(spark)
+        return functools.reduce(DataFrame.union, met).distinct()
 
     def marked(ids: DataFrame, are_open: bool) -> DataFrame:
         found = sets.join(ids, F.col("id") == F.col("starred"), "left")
