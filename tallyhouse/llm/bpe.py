@@ -17,7 +17,7 @@ from pyspark.sql.functions import pandas_udf
 from .common import python_ready, read_table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-_CACHED_PAIRS, _CACHED_PIECES, _CACHED_LENGTH = 500_000, 150_000, 64
+_CACHED_PAIRS, _CACHED_PIECES, _CACHED_LENGTH = 1_000_000, 400_000, 64
 
 
 class Encoder:
