@@ -1,209 +1,68 @@
-"""Line de-duplication: an exact set-similarity self-join over line tokens.
-
-Token sets are made by NumPy inside Arrow batches (native array functions took more than
-the whole CPU limit allows); joins, grouping and filters are DataFrame code.
-"""
+"""Line de-duplication: an exact set-similarity self-join over line tokens."""
 
 from __future__ import annotations
 
 import functools
+import math
 import operator
-from collections import Counter
-from collections.abc import Callable, Iterator
 
-import numpy as np
-import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import StagingArea
-from .common import broadcast_if_small, python_ready, read_table, release, scratch
+from .common import broadcast_if_small, read_table, release, scratch
 
 # Jaccard similarity of 4/5 or more, kept as whole numbers so that no rounding decides.
 PART, WHOLE = 4, 5
 # Word frequencies are summed by hash bucket; their classes are a constant of the plan.
 BUCKETS = 1 << 14
-STAR_TOKENS = 2
 # The join on prefix tokens is made in so many passes over the sets.
 PASSES = 4
 # Sets of more than LONG tokens have LONG_BITS words of 64 bits for the bit filter, others one.
 LONG, LONG_BITS = 80, 8
-# A task remembers the numbers of so many words, and works on so many words at once.
-REMEMBERED, AT_ONCE = 400_000, 200_000
-
-
-def _hash(word: str) -> int:
-    return xxhash.xxh64_intdigest(word.encode())
 
 
-def _count_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(bucket, n): the words of this task by hash bucket."""
-    found, words = np.zeros(BUCKETS, dtype=np.int64), Counter()
+def _words(line: Column) -> Column:
+    return F.split(F.lower(line), " ")
 
-    def add() -> None:
-        words.pop("", None)
-        for word, n in words.items():
-            found[_hash(word) % BUCKETS] += n
-        words.clear()
 
-    for batch in batches:
-        for text in batch.column("text"):
-            for line in (text.as_py() or "").split("\n"):
-                words.update(line.split(" "))
-            if len(words) > REMEMBERED:
-                add()
-    add()
-    at = np.flatnonzero(found)
-    yield pa.RecordBatch.from_pydict({"bucket": pa.array(at, pa.int32()), "n": pa.array(found[at], pa.int64())})
-
-
-def frequency_classes(docs: DataFrame) -> np.ndarray:
+def frequency_classes(docs: DataFrame) -> Column:
     """Class of each hash bucket by its number of words over all documents.
 
     0 up to four times the mean, then one more for each doubling. Only common words stand
     out of their bucket, however large the corpus; all others are left to their length.
     """
-    counts = docs.select(F.lower("text").alias("text")).mapInArrow(_count_buckets, "bucket int, n bigint")
-    found = np.zeros(BUCKETS)
-    for bucket, n in counts.groupBy("bucket").agg(F.sum("n")).collect():
-        found[bucket] = n
-    mean = max(1.0, found.sum() / BUCKETS)
-    return np.clip(np.log2(np.maximum(found / mean, 1.0)).astype(np.int64) - 1, 0, 31)
+    words = docs.select(F.explode(_words(F.col("text"))).alias("word")).where("word <> ''")
+    counts = words.groupBy(F.pmod(F.xxhash64("word"), F.lit(BUCKETS)).cast("int").alias("bucket")).count()
+    found = {r["bucket"]: r["count"] for r in counts.collect()}
+    mean = max(1.0, sum(found.values()) / BUCKETS)
+    classes = [min(31, max(0, int(math.log2(max(1.0, found.get(b, 0) / mean))) - 1)) for b in range(BUCKETS)]
+    return F.split(F.lit(",".join(map(str, classes))), ",").cast("array<bigint>")
 
 
-class _Numbers(dict):
-    """Word to token number: class above, then 63 less the length (in bytes), then 52 bits of the hash.
+def _tokens(classes: Column) -> Column:
+    """The line's distinct tokens as numbers, rarest first. Reads the column `line`.
 
-    Sorted numbers have the rarest first: of a low frequency class, then long, then by hash;
-    so all lines have one order. The empty word is -1.
+    Rare means: of a low frequency class, then long, then by hash; so all lines have one
+    order. A number has the class above, then the length, then 52 bits of the hash.
     """
 
-    def __init__(self, classes: np.ndarray):
-        self.classes = classes.tolist()
-        self[""] = -1
-
-    def __missing__(self, word: str) -> int:
-        if len(self) > REMEMBERED:
-            self.clear()
-            self[""] = -1
-        h = _hash(word)
-        found = self.classes[h % BUCKETS] << 58 | (63 - min(len(word.encode()), 63)) << 52 | h >> 12
-        if word:
-            self[word] = found
-        return found if word else -1
-
-
-def _mix(values: np.ndarray, turn: int) -> np.ndarray:
-    values = (values ^ np.uint64(turn)) * np.uint64(0x9E3779B97F4A7C15)
-    values = (values ^ (values >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return values ^ (values >> np.uint64(32))
-
-
-def token_sets(lines: list[list[str]], number: Callable[[str], int]) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct numbers of each line's words, in order, one line after the other, and how many each line has."""
-    counts = np.fromiter(map(len, lines), np.int64, len(lines))
-    ends = np.cumsum(counts)
-    found = np.fromiter((number(w) for line in lines for w in line), np.int64, int(ends[-1]) if len(ends) else 0)
-    at = 0
-    for end in ends.tolist():
-        found[at:end].sort()
-        at = end
-    of = np.repeat(np.arange(len(lines)), counts)
-    new = found >= 0
-    new[1:] &= (found[1:] != found[:-1]) | (of[1:] != of[:-1])
-    return found[new], np.bincount(of[new], minlength=len(lines))
-
-
-def _in_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[int], list[int], list[list[str]]]]:
-    """Batch, row in it, line number and words of line after line, AT_ONCE words or a little more at a time."""
-    for batch in batches:
-        rows, places, lines, held = [], [], [], 0
-        for row, text in enumerate(batch.column("text")):
-            if not text.is_valid:
-                continue
-            for place, line in enumerate(text.as_py().split("\n")):
-                words = line.split(" ")
-                rows.append(row)
-                places.append(place)
-                lines.append(words)
-                held += len(words)
-                if held > AT_ONCE:
-                    yield batch, rows, places, lines
-                    rows, places, lines, held = [], [], [], 0
-        if lines:
-            yield batch, rows, places, lines
-
-
-def _signed(values: np.ndarray) -> pa.Array:
-    return pa.array(values.view(np.int64), pa.int64())
-
-
-def _marked_sets(classes: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Every line that has a word, with the hashes of its token set, its prefix and its bits."""
-
-    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = _Numbers(classes).__getitem__
-        for batch, rows, places, lines in _in_groups(batches):
-            tokens, sizes = token_sets(lines, number)
-            some = np.flatnonzero(sizes)
-            if not len(some):
-                continue
-            sizes = sizes[some]
-            starts = np.cumsum(sizes) - sizes
-            tokens = tokens.view(np.uint64)
-            first, second = _mix(tokens, 1), _mix(tokens, 2)
-            bit = np.uint64(1) << (tokens & np.uint64(63))
-            # A set of n tokens has n - ceil(4n/5) + 1 in its prefix.
-            ahead = sizes // WHOLE + 1
-            in_prefix = np.arange(len(tokens)) - np.repeat(starts, sizes) < np.repeat(ahead, sizes)
-            long = sizes > LONG
-            of_long = np.repeat(long, sizes)
-            part, long_bit = (tokens[of_long] >> np.uint64(6)) & np.uint64(LONG_BITS - 1), bit[of_long]
-            long_starts = np.cumsum(sizes[long]) - sizes[long]
-            long_bits = np.zeros((int(long.sum()), LONG_BITS), dtype=np.uint64)
-            if len(long_starts):
-                for i in range(LONG_BITS):
-                    own = np.where(part == np.uint64(i), long_bit, np.uint64(0))
-                    long_bits[:, i] = np.bitwise_xor.reduceat(own, long_starts)
-            offsets = lambda counts: pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32())
-            at = pa.array(np.array(rows)[some], pa.int32())
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "doc_id": batch.column("doc_id").take(at), "content": batch.column("content").take(at),
-                    "line_no": pa.array(np.array(places)[some], pa.int32()),
-                    "sig": _signed(np.add.reduceat(first, starts)), "sig2": _signed(np.add.reduceat(second, starts)),
-                    "size": pa.array(sizes, pa.int32()),
-                    "prefix": pa.ListArray.from_arrays(
-                        offsets(ahead), pa.array((first[in_prefix] >> np.uint64(32)).astype(np.uint32).view(np.int32), pa.int32())
-                    ),
-                    "bits": _signed(np.bitwise_xor.reduceat(bit, starts)),
-                    "long_bits": pa.ListArray.from_arrays(
-                        offsets(long * LONG_BITS), _signed(long_bits.reshape(-1)), mask=pa.array(~long)
-                    ),
-                }
-            )
-
-    return marked
-
-
-def _wanted_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, tokens): the 64-bit hashes of the distinct words of the lines wanted."""
-    for batch in batches:
-        for text, wanted in zip(batch.column("text"), batch.column("wanted")):
-            lines = text.as_py().split("\n")
-            found = [(w["id"], list({_hash(x) for x in lines[w["line_no"]].split(" ") if x})) for w in wanted.as_py()]
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "id": pa.array([i for i, _ in found], pa.int64()),
-                    "tokens": pa.ListArray.from_arrays(
-                        pa.array(np.cumsum([0, *(len(t) for _, t in found)]), pa.int32()),
-                        _signed(np.array([x for _, t in found for x in t], dtype=np.uint64)),
-                    ),
-                }
-            )
-
-
-def _sets(docs: DataFrame, classes: np.ndarray, area: StagingArea) -> tuple[DataFrame, DataFrame]:
+    def number(word: Column) -> Column:
+        h = F.xxhash64(word)
+        above = F.shiftleft(F.get(classes, F.pmod(h, F.lit(BUCKETS)).cast("int")), 58)
+        length = F.shiftleft((63 - F.least(F.octet_length(word), F.lit(63))).cast("bigint"), 52)
+        return above.bitwiseOR(length).bitwiseOR(F.shiftrightunsigned(h, 12))
+
+    words = F.array_remove(_words(F.col("line")), "")
+    return F.sort_array(F.array_distinct(F.transform(words, number)))
+
+
+def _lines(docs: DataFrame) -> DataFrame:
+    return docs.select(
+        "doc_id", F.xxhash64("text").alias("content"), F.posexplode(F.split("text", "\n")).alias("line_no", "line")
+    )
+
+
+def _sets(docs: DataFrame, classes: Column, area: StagingArea) -> tuple[DataFrame, DataFrame]:
     """Lines with the two hashes of their token set, and the distinct sets with all the filters need.
 
     A set is numbered in the order of its first line (doc_id, content, line number), so a
@@ -212,10 +71,27 @@ def _sets(docs: DataFrame, classes: np.ndarray, area: StagingArea) -> tuple[Data
     of hash i: two sets differ in at least as many tokens as their bits do. Long sets have
     more such bits.
     """
-    named = docs.select("doc_id", F.xxhash64("text").alias("content"), F.lower("text").alias("text"))
-    kind = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, content bigint, line_no int, sig bigint, sig2 bigint, "
-    kind += "size int, prefix array<int>, bits bigint, long_bits array<bigint>"
-    lines = area.stage(named.mapInArrow(_marked_sets(classes), kind), "lines")
+    tokens = _lines(docs).select("doc_id", "content", "line_no", _tokens(classes).alias("tokens"))
+    size = F.size("tokens")
+    # A set of n tokens has n - ceil(4n/5) + 1 in its prefix.
+    first = F.slice("tokens", 1, F.floor(size / WHOLE).cast("int") + 1)
+    prefix = F.transform(first, lambda t: F.hash(t))
+    one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    bit = lambda t: F.call_function("shiftleft", one, t.bitwiseAND(F.lit(63)).cast("int"))
+    flips = F.aggregate("tokens", zero, lambda bits, t: bits.bitwiseXOR(bit(t)))
+
+    def part(i: int) -> Column:
+        own = lambda t: F.shiftrightunsigned(t, 6).bitwiseAND(F.lit(LONG_BITS - 1)) == i
+        flip = lambda bits, t: F.when(own(t), bits.bitwiseXOR(bit(t))).otherwise(bits)
+        return F.when(size > LONG, F.aggregate("tokens", zero, flip)).otherwise(zero)
+
+    long_bits = F.array(*[part(i) for i in range(LONG_BITS)])
+    marked = tokens.where(size > 0).select(
+        "doc_id", "content", "line_no", F.xxhash64("tokens").alias("sig"), F.xxhash64(F.lit(1), "tokens").alias("sig2"),
+        size.alias("size"), prefix.alias("prefix"), flips.alias("bits"),
+        F.when(size > LONG, long_bits).alias("long_bits"),
+    )
+    lines = area.stage(marked, "lines")
     grouped = lines.groupBy("sig", "sig2").agg(
         F.min(F.struct("doc_id", "content", "line_no")).alias("head"), F.count(F.lit(1)).alias("copies"),
         *[F.first(c).alias(c) for c in ("size", "prefix", "bits", "long_bits")],
@@ -252,18 +128,22 @@ def _may_match(position: bool = True) -> Column:
 
 def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, area: StagingArea) -> DataFrame:
     """The ids a (later) of the pairs (a, b) whose token sets, taken from the texts again, are similar."""
-    ids = area.stage(pairs.select(F.col("a").alias("wanted_id")).union(pairs.select("b")).distinct(), "wanted-ids")
-    wanted = sets.join(broadcast_if_small(ids), F.col("id") == F.col("wanted_id"), "left_semi").groupBy(
+    ids = pairs.select(F.col("a").alias("wanted")).union(pairs.select("b")).distinct()
+    ids = area.stage(ids, "wanted-ids")
+    wanted = sets.join(broadcast_if_small(ids), F.col("id") == F.col("wanted"), "left_semi").groupBy(
         F.col("head.doc_id").alias("of_doc"), F.col("head.content").alias("of_content")
-    ).agg(F.collect_list(F.struct("id", F.col("head.line_no").alias("line_no"))).alias("wanted"))
+    ).agg(F.collect_list(F.struct("id", F.col("head.line_no").alias("line_no"))).alias("places"))
     wanted = area.stage(wanted, "wanted")
-    area.drop(ids)
     texts = docs.join(
-        broadcast_if_small(wanted, F.size("wanted")),
+        broadcast_if_small(wanted, F.size("places")),
         F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.xxhash64("text") == F.col("of_content")),
-    ).select(F.lower("text").alias("text"), "wanted")
+    ).select(F.split("text", "\n").alias("lines"), "places")
+    found = F.transform("places", lambda p: F.struct(p["id"].alias("id"), F.get("lines", p["line_no"]).alias("line")))
+    lines = texts.select(F.inline(found))
     # Repeated rows of one document give the same id and tokens again; they change no answer.
-    tokens = area.stage(texts.mapInArrow(_wanted_tokens, "id bigint, tokens array<bigint>"), "tokens")
+    words = F.array_remove(_words(F.col("line")), "")
+    tokens = area.stage(lines.select("id", F.array_distinct(F.transform(words, lambda w: F.xxhash64(w))).alias("tokens")), "tokens")
+    area.drop(ids)
     area.drop(wanted)
     release(docs.sparkSession)
     later, earlier = tokens.toDF("a", "a_tokens"), tokens.toDF("b", "b_tokens")
@@ -285,12 +165,11 @@ def repeated_lines(docs: DataFrame, area: StagingArea | None = None) -> DataFram
 
     Equal sets are joined first, by their hashes. Of the different sets, two similar ones
     share a token of their prefixes, the rarest tokens. A set is first held against the
-    earliest one that has one of its two rarest tokens among its own two; if that passes the
-    filters, as it does in a crowd of near copies, it is its only candidate. All other sets, and those whose candidate
-    turns out not to be similar, meet every earlier set of their tokens that passes.
+    earliest set of each of its prefix tokens; those that pass the filters, as they do in a
+    crowd of near copies, are its only candidates. All other sets, and those whose candidates
+    turn out not to be similar, meet every earlier set of their tokens that passes.
     """
     spark = docs.sparkSession
-    python_ready(spark)
     area = scratch(spark, area)
     docs = docs.select("doc_id", "text")
     classes = frequency_classes(docs)
@@ -299,19 +178,27 @@ def repeated_lines(docs: DataFrame, area: StagingArea | None = None) -> DataFram
     def entries(of: DataFrame) -> DataFrame:
         return of.select("id", "size", "bits", "long_bits", "open", F.posexplode("prefix").alias("at", "token"))
 
-    first = entries(sets.withColumn("open", F.lit(True))).where(F.col("at") < STAR_TOKENS)
-    heads = first.groupBy("token").agg(F.min(F.struct("id", "size", "bits", "long_bits")).alias("head"), F.max("id").alias("last"))
-    heads = heads.where("head.id < last").select(F.col("token").alias("head_token"), "head")
-    stars = first.join(heads, F.col("token") == F.col("head_token")).select(
-        F.col("id").alias("a"), F.col("size").alias("a_size"), F.col("bits").alias("a_bits"), F.col("long_bits").alias("a_long_bits"),
-        F.col("head.id").alias("b"), F.col("head.size").alias("b_size"), F.col("head.bits").alias("b_bits"), F.col("head.long_bits").alias("b_long_bits"),
-    ).where((F.col("a") > F.col("b")) & _may_match(position=False))
-    stars = area.stage(stars.select("a", "b").distinct(), "stars")
-    starred = stars.select(F.col("a").alias("starred")).distinct()
+    met = []
+    for i in range(PASSES):
+        first = entries(sets.withColumn("open", F.lit(True))).where(F.pmod("token", F.lit(PASSES)) == i)
+        heads = first.groupBy("token").agg(F.min(F.struct("id", "size", "bits", "long_bits")).alias("head"), F.max("id").alias("last"))
+        heads = heads.where("head.id < last").select(F.col("token").alias("head_token"), "head")
+        found = first.join(heads, F.col("token") == F.col("head_token")).select(
+            F.col("id").alias("a"), F.col("size").alias("a_size"), F.col("bits").alias("a_bits"), F.col("long_bits").alias("a_long_bits"),
+            F.col("head.id").alias("b"), F.col("head.size").alias("b_size"), F.col("head.bits").alias("b_bits"), F.col("head.long_bits").alias("b_long_bits"),
+        ).where((F.col("a") > F.col("b")) & _may_match(position=False))
+        met.append(area.stage(found.select("a", "b").distinct(), "stars"))
+        release(spark)
+    stars = functools.reduce(DataFrame.union, met).distinct()
+    starred = area.stage(stars.select(F.col("a").alias("starred")).distinct(), "starred")
     release(spark)
 
-    def meeting(open_sets: DataFrame) -> DataFrame:
-        """Pairs (a, b) of the sets marked open with all earlier sets of their tokens."""
+    def meeting(ids: DataFrame, are_open: bool) -> DataFrame:
+        """Pairs (a, b) of the sets that `ids` (starred) has, or has not, with all earlier sets of their tokens."""
+        ids = broadcast_if_small(ids)
+        flagged = sets.join(ids, F.col("id") == F.col("starred"), "left").select(
+            "id", "size", "bits", "long_bits", "prefix", (F.col("starred").isNotNull() == are_open).alias("open")
+        )
         # Both sides have the same columns, and `reach` asks for both sides at once, so that
         # one shuffle of the entries serves both. A share of the tokens at a time: the shuffle is
         # that much smaller, and deleted before the next.
@@ -320,24 +207,18 @@ def repeated_lines(docs: DataFrame, area: StagingArea | None = None) -> DataFram
         met = []
         for i in range(PASSES):
             mine = F.pmod("token", F.lit(PASSES)) == i
-            found = entries(open_sets).where(mine).withColumn("reach", F.when(F.col("open"), F.col("id")).otherwise(-1)).drop("open")
+            found = entries(flagged).where(mine).withColumn("reach", F.when(F.col("open"), F.col("id")).otherwise(-1)).drop("open")
             pairs = side("a", found).join(side("b", found), same & _may_match())
             met.append(area.stage(pairs.select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct(), "met"))
             release(spark)
         return functools.reduce(DataFrame.union, met).distinct()
 
-    def marked(ids: DataFrame, are_open: bool) -> DataFrame:
-        found = sets.join(ids, F.col("id") == F.col("starred"), "left")
-        return area.stage(found.select("id", "size", "bits", "long_bits", "prefix", (F.col("starred").isNotNull() == are_open).alias("open")), "open")
-
-    open_sets = marked(starred, False)
-    pairs = area.stage(stars.union(meeting(open_sets)), "pairs")
-    area.drop(open_sets)
+    pairs = area.stage(stars.union(meeting(starred, False)), "pairs")
     release(spark)
     matched = _verified(pairs, sets, docs, area)
     again = area.stage(starred.join(matched, F.col("starred") == F.col("a"), "left_anti"), "again")
     if again.count():
-        rest = area.stage(meeting(marked(again, True)), "rest")
+        rest = area.stage(meeting(again, True), "rest")
         matched = matched.union(_verified(rest, sets, docs, area))
     release(spark)
 
