@@ -210,6 +210,23 @@ def brute_lines(rows):
     return gone
 
 
+def test_lines_crowd_of_near_copies(spark, monkeypatch):
+    """Lines that share all but one word, which is rare: each has a few candidates, not the whole crowd."""
+    common = " ".join(f"common{i}" for i in range(30))
+    rows = [(i, f"{common} rareandlongword{i:05d}") for i in range(150)]
+    candidates = []
+    verified = lines._verified
+
+    def counted(pairs, *rest):
+        candidates.append(pairs.count())
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(lines, "_verified", counted)
+    found = lines.repeated_lines(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert {r.doc_id for r in found.collect()} == set(range(1, 150))
+    assert sum(candidates) <= 7 * len(rows)
+
+
 def test_lines_rows(spark, odd_docs, odd_rows, no_docs):
     rng = random.Random(11)
     crowd = "the quick brown fox jumps over one lazy dog and runs away from here".split()
