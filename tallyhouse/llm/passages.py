@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import StagingArea
 from .common import broadcast_if_small, python_ready, read_table, release, scratch
@@ -21,6 +21,8 @@ GAP = 20
 BANDS = 3
 # Paragraphs are similar at Jaccard 4/5 of their shingles.
 PART, WHOLE = 4, 5
+# Band values with more comparisons left than this are split by the rarest shingles of their paragraphs.
+CROWD = 4096
 
 _IN = PARAGRAPH - SHINGLE + 1
 _MIX = np.array([xxhash.xxh64_intdigest(f"place {i}") | 1 for i in range(PARAGRAPH)], dtype=np.uint64)
@@ -107,15 +109,119 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _alike(a: str, b: str) -> Column:
+    """Bit filter for two columns of marks; no similar pair fails it."""
+    # Of two sets of _IN shingles at most, similar ones differ in a ninth of their sum at most.
+    return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) * (PART + WHOLE) <= 2 * _IN * (WHOLE - PART)
+
+
+def _shingle_sets(ids: DataFrame, rows: DataFrame, named: DataFrame, area: StagingArea) -> DataFrame:
+    """(digest, shingles) of the paragraphs of `ids` (wanted_digest), taken from the first text of each."""
+    where = F.struct("doc_id", "content", "start")
+    nodes = rows.join(broadcast_if_small(ids), F.col("digest") == F.col("wanted_digest"), "left_semi").groupBy("digest").agg(
+        F.min(where).alias("first")
+    )
+    wanted = nodes.groupBy(F.col("first.doc_id").alias("of_doc"), F.col("first.content").alias("of_content")).agg(
+        F.collect_list(F.struct("digest", F.col("first.start").alias("start"))).alias("wanted")
+    )
+    wanted = area.stage(wanted, "wanted")
+    release(rows.sparkSession)
+    texts = named.join(
+        broadcast_if_small(wanted, F.size("wanted")),
+        F.col("doc_id").eqNullSafe(F.col("of_doc")) & F.col("content").eqNullSafe(F.col("of_content")),
+    )
+    # Repeated rows of one document give the same digest and shingles again.
+    found = texts.select("text", "wanted").mapInArrow(_sets, "digest bigint, shingles array<bigint>").dropDuplicates(["digest"])
+    sets = area.stage(found, "sets")
+    area.drop(wanted)
+    release(rows.sparkSession)
+    return sets
+
+
+def _verified(pairs: DataFrame, rows: DataFrame, named: DataFrame, area: StagingArea) -> DataFrame:
+    """The pairs (a, b) of digests whose shingles are similar."""
+    ids = area.stage(pairs.select(F.col("a").alias("wanted_digest")).union(pairs.select("b")).distinct(), "wanted-digests")
+    sets = _shingle_sets(ids, rows, named, area)
+    area.drop(ids)
+    a, b = sets.toDF("a", "a_set"), sets.toDF("b", "b_set")
+    shared = F.size(F.array_intersect("a_set", "b_set"))
+    both = F.size(F.array_distinct("a_set")) + F.size(F.array_distinct("b_set"))
+    links = pairs.join(a, "a").join(b, "b").where(shared * (PART + WHOLE) >= both * PART).select("a", "b")
+    links = area.stage(links, "links")
+    area.drop(sets)
+    release(rows.sparkSession)
+    return links
+
+
+def _meeting(members: DataFrame, needed: Column) -> DataFrame:
+    """Pairs (a, b) of the members (key, digest, marks, ...) of each key that pass the bit filter and are `needed` (x_*, y_*)."""
+    side = lambda name: members.select(*[F.col(c).alias(f"{name}_{c}") for c in members.columns])
+    met = side("x").join(
+        side("y"),
+        (F.col("x_key") == F.col("y_key")) & (F.col("x_digest") < F.col("y_digest")) & needed & _alike("x_marks", "y_marks"),
+    )
+    return met.select(F.col("x_digest").alias("a"), F.col("y_digest").alias("b")).distinct()
+
+
+def _crowded(members: DataFrame, rows: DataFrame, named: DataFrame, area: StagingArea) -> tuple[DataFrame, DataFrame]:
+    """Verified links to the first of each part of crowded keys, and the pairs still to be verified.
+
+    `members` are (key, digest, marks, open). Similar paragraphs share one of their prefixes, the
+    shingles that are rarest within the key, so a key is split by these, and each part is
+    compared with its first paragraph before the others meet.
+    """
+    ids = area.stage(members.select(F.col("digest").alias("wanted_digest")).distinct(), "crowd-digests")
+    sets = _shingle_sets(ids, rows, named, area)
+    area.drop(ids)
+    own = members.join(sets.toDF("of", "shingles"), F.col("digest") == F.col("of")).select(
+        "key", "digest", "marks", "open", F.explode(F.array_distinct("shingles")).alias("shingle")
+    )
+    own = area.stage(own, "crowd-shingles")
+    counts = own.groupBy(F.col("key").alias("of_key"), F.col("shingle").alias("of_shingle")).agg(F.count(F.lit(1)).alias("n"))
+    ranked = own.join(counts, (F.col("key") == F.col("of_key")) & (F.col("shingle") == F.col("of_shingle"))).groupBy("key", "digest").agg(
+        F.first("marks").alias("marks"), F.first("open").alias("open"), F.sort_array(F.collect_list(F.struct("n", "shingle"))).alias("s")
+    )
+    # A set of n shingles has n - ceil(4n/5) + 1 in its prefix; one that no other has brings nobody together.
+    prefix = F.filter(F.slice("s", 1, F.floor(F.size("s") * (WHOLE - PART) / WHOLE).cast("int") + 1), lambda t: t["n"] > 1)
+    parts = ranked.select("key", "digest", "marks", "open", F.explode(prefix).alias("t")).select(
+        F.xxhash64("key", "t.shingle").alias("key"), "digest", "marks", "open"
+    )
+    parts = area.stage(parts, "crowd-parts")
+    area.drop(own)
+    area.drop(sets)
+    low = parts.groupBy(F.col("key").alias("low_key")).agg(
+        F.min("digest").alias("low"), F.max("digest").alias("high"), F.min_by("marks", "digest").alias("low_marks")
+    ).where("low < high").drop("high")
+    low = area.stage(low, "first-of-part")
+    others = area.stage(
+        parts.join(low, (F.col("key") == F.col("low_key")) & (F.col("digest") != F.col("low"))).drop("low_key"), "rest-of-part"
+    )
+    stars = area.stage(
+        others.where(_alike("marks", "low_marks")).select(F.col("digest").alias("a"), F.col("low").alias("b")).distinct(), "part-pairs"
+    )
+    links = _verified(stars, rows, named, area)
+    linked = links.select(F.col("a").alias("of_a"), F.col("b").alias("of_b"))
+    left = others.join(linked, (F.col("digest") == F.col("of_a")) & (F.col("low") == F.col("of_b")), "left").select(
+        "key", "digest", "marks", "open", F.col("of_a").isNull().alias("apart")
+    )
+    met = _meeting(left, (F.col("x_open") | F.col("y_open")) & (F.col("x_apart") | F.col("y_apart")))
+    met = area.stage(met, "crowd-pairs")
+    for table in (parts, low, others, stars):
+        area.drop(table)
+    release(rows.sparkSession)
+    return links, met
+
+
 def repeated_paragraphs(docs: DataFrame, area: StagingArea | None = None) -> DataFrame:
     """doc_id, content, start, class_doc_id, removed: the paragraphs whose class spans documents.
 
     A paragraph is 24 words from a start that depends on the words around it alone, so a
     repeated passage has the same paragraphs wherever it stands. Equal paragraphs are one
     node, by their digest. Nodes with a common band value are each compared with the first
-    of them, by the exact Jaccard similarity of their five-word shingles; three bands of one
-    hash each find a pair at 0.8 with probability 0.99. Components of the verified links are
-    the classes; all but the paragraphs of the class's first document go.
+    of them, by the exact Jaccard similarity of their five-word shingles; those that are not
+    similar to it then meet all others of the value. Three bands of one hash each find a pair at
+    0.8 with probability 0.99. Components of the verified links are the classes; all but the
+    paragraphs of the class's first document go.
 
     Null, empty and short texts (under 24 words) have no paragraph. Rows of equal doc_id and
     text are one document; rows without doc_id come first and are one document per text.
@@ -128,49 +234,60 @@ def repeated_paragraphs(docs: DataFrame, area: StagingArea | None = None) -> Dat
     kind = "doc_id bigint, content bigint, start int, digest bigint, marks bigint, " + ", ".join(f"{b} bigint" for b in bands)
     rows = area.stage(named.mapInArrow(_paragraphs, kind), "paragraphs")
 
-    where = F.struct("doc_id", "content", "start")
-    # Of two sets of _IN shingles at most, similar ones differ in a ninth of their sum at most.
-    alike = F.bit_count(F.col("marks").bitwiseXOR(F.col("low_marks"))) * (PART + WHOLE) <= 2 * _IN * (WHOLE - PART)
-    found = []
+    entries = lambda band: rows.select("digest", "marks", F.col(band).alias("key"))
+    found, firsts = [], []
     for band in bands:
-        entries = rows.select("digest", "marks", F.col(band).alias("key"))
-        low = entries.groupBy("key").agg(
-            F.min("digest").alias("low"), F.max("digest").alias("high"), F.min_by("marks", "digest").alias("low_marks")
-        ).where("low < high").select(F.col("key").alias("low_key"), "low", "low_marks")
+        low = entries(band).groupBy("key").agg(
+            F.min("digest").alias("low"), F.max("digest").alias("high"), F.min_by("marks", "digest").alias("low_marks"),
+            F.count(F.lit(1)).alias("n"),
+        ).where("low < high").select(F.col("key").alias("low_key"), "low", "low_marks", "n")
         low = area.stage(low, "first-of-band")
         release(spark)
-        pairs = entries.join(low, (F.col("key") == F.col("low_key")) & (F.col("digest") != F.col("low")) & alike)
+        pairs = entries(band).join(low, (F.col("key") == F.col("low_key")) & (F.col("digest") != F.col("low")) & _alike("marks", "low_marks"))
         found.append(area.stage(pairs.select(F.col("digest").alias("a"), F.col("low").alias("b")).distinct(), "band-pairs"))
+        # Two paragraphs have met already.
+        firsts.append(area.stage(low.where("n > 2").select("low_key", "low"), "firsts"))
         area.drop(low)
         release(spark)
     pairs = area.stage(functools.reduce(DataFrame.union, found).distinct(), "pairs")
     for part in found:
         area.drop(part)
-    ids = pairs.select(F.col("a").alias("wanted_digest")).union(pairs.select("b")).distinct()
-    ids = area.stage(ids, "wanted-digests")
-    nodes = rows.join(broadcast_if_small(ids), F.col("digest") == F.col("wanted_digest"), "left_semi").groupBy("digest").agg(
-        F.min(where).alias("first")
-    )
-    wanted = nodes.groupBy(F.col("first.doc_id").alias("of_doc"), F.col("first.content").alias("of_content")).agg(
-        F.collect_list(F.struct("digest", F.col("first.start").alias("start"))).alias("wanted")
-    )
-    wanted = area.stage(wanted, "wanted")
-    area.drop(ids)
-    release(spark)
-    texts = named.join(
-        broadcast_if_small(wanted, F.size("wanted")),
-        F.col("doc_id").eqNullSafe(F.col("of_doc")) & F.col("content").eqNullSafe(F.col("of_content")),
-    )
-    sets = area.stage(texts.select("text", "wanted").mapInArrow(_sets, "digest bigint, shingles array<bigint>"), "sets")
-    area.drop(wanted)
-    release(spark)
-    a, b = sets.toDF("a", "a_set"), sets.toDF("b", "b_set")
-    shared = F.size(F.array_intersect("a_set", "b_set"))
-    both = F.size(F.array_distinct("a_set")) + F.size(F.array_distinct("b_set"))
-    links = pairs.join(a, "a").join(b, "b").where(shared * (PART + WHOLE) >= both * PART).select("a", "b")
-    links = area.stage(links, "links")
-    area.drop(sets)
+    stars = _verified(pairs, rows, named, area)
+    area.drop(pairs)
+    links, linked = [stars], stars.select(F.col("a").alias("of_a"), F.col("b").alias("of_b"))
+
+    met = []
+    for band, low in zip(bands, firsts):
+        others = entries(band).join(low, (F.col("key") == F.col("low_key")) & (F.col("digest") != F.col("low"))).groupBy("key", "digest").agg(
+            F.first("marks").alias("marks"), F.first("low").alias("low")
+        )
+        others = others.join(linked, (F.col("digest") == F.col("of_a")) & (F.col("low") == F.col("of_b")), "left").select(
+            "key", "digest", "marks", F.col("of_a").isNull().alias("open")
+        )
+        others = area.stage(others, "others-of-band")
+        area.drop(low)
+        release(spark)
+        left = others.groupBy(F.col("key").alias("left_key")).agg((F.count(F.lit(1)) * F.count_if("open")).alias("work"), F.count(F.lit(1)).alias("n"))
+        left = area.stage(left.where("n > 1 and work > 0").select("left_key", (F.col("work") > CROWD).alias("crowded")), "left-of-band")
+        members = others.join(left, F.col("key") == F.col("left_key"))
+        few = members.where("not crowded").select("key", "digest", "marks", "open")
+        met.append(area.stage(_meeting(few, F.col("x_open") | F.col("y_open")), "met"))
+        release(spark)
+        if left.where("crowded").count():
+            many = area.stage(members.where("crowded").select("key", "digest", "marks", "open"), "crowd")
+            own, rest = _crowded(many, rows, named, area)
+            links.append(own)
+            met.append(rest)
+            area.drop(many)
+        area.drop(others)
+        area.drop(left)
+        release(spark)
+    pairs = area.stage(functools.reduce(DataFrame.union, met).distinct(), "pairs-met")
+    for part in met:
+        area.drop(part)
+    links.append(_verified(pairs, rows, named, area))
     area.drop(pairs)
+    links = functools.reduce(DataFrame.union, links)
     release(spark)
     roots = area.stage(connected_components(links, area), "roots")
     release(spark)

@@ -307,6 +307,35 @@ def test_passages(spark, odd_docs, no_docs):
     assert {1, 2, 3} <= {r.doc_id for r in passages.repeated_paragraphs(odd_docs).collect()}
 
 
+@pytest.mark.parametrize("crowd", [passages.CROWD, 0])
+def test_passages_of_one_band_value(spark, monkeypatch, crowd):
+    """Every similar pair with a common band value has one class, whatever the value's first paragraph is."""
+    monkeypatch.setattr(passages, "CROWD", crowd)
+    rng = random.Random(7)
+    fresh = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    rows = []
+    for _ in range(12):
+        base = fresh(24)
+        for cut in ((0, 24), (2, 24), (0, 23), (0, 22), (1, 24), (1, 23)):
+            rows.append(fresh(cut[0]) + base[cut[0] : cut[1]] + fresh(24 - cut[1]))
+    phrase = fresh(5)
+    for _ in range(150):
+        body = fresh(19)
+        body[7:7] = phrase
+        rows += [body, fresh(1) + body[1:]]
+    texts = [" ".join(r) for r in rows]
+    sets = [passages.shingles_of(t) for t in texts]
+    bands = [{(i, int(((s * turn) ^ ((s * turn) >> 31)).min())) for i, turn in enumerate(passages._TURN)} for s in sets]
+    ids = range(len(texts))
+    own = [set(s.tolist()) for s in sets]
+    close = [(a, b) for b in ids for a in range(b) if bands[a] & bands[b] and 9 * len(own[a] & own[b]) >= 4 * (len(own[a]) + len(own[b]))]
+    group = simple_components(ids, close)
+    size = Counter(group.values())
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {r.doc_id: r.class_doc_id for r in passages.repeated_paragraphs(docs).collect()}
+    assert found == {i: group[i] for i in ids if size[group[i]] > 1}
+
+
 def test_licences(spark, odd_docs, odd_rows, no_docs):
     mit = "The MIT Licence\n\n".replace("The ", "") + "Copyright (c) 2020 Somebody\n(c) 2021 Else\n" + licenses._MIT.upper().replace(",", " ,")
     rows = [(1, mit), (2, "text\n  licensed under the apache licence v2.0!\nmore"), (3, licenses._MIT[:-30]), (4, "MIT")]
