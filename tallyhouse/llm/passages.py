@@ -46,7 +46,10 @@ def shingles_of(text: str | None) -> np.ndarray:
 
 
 def starts_of(shingles: np.ndarray) -> np.ndarray:
-    """Where paragraphs start: at the least shingle of every GAP, the last one of equals, if a whole one fits."""
+    """Where paragraphs start: at the least shingle of every GAP, the last one of equals.
+
+    Starts without room for a whole paragraph are replaced by the last one that has it.
+    """
     fits = len(shingles) - _IN + 1
     if fits <= 0:
         return np.zeros(0, dtype=np.int64)
@@ -58,7 +61,7 @@ def starts_of(shingles: np.ndarray) -> np.ndarray:
         part = views[at : at + 8192].argmin(axis=1)
         found.append(part + np.arange(at, at + len(part)))
     starts = len(shingles) - 1 - np.unique(np.concatenate(found))[::-1]
-    return starts[starts < fits]
+    return np.unique(np.minimum(starts, fits - 1))
 
 
 def _signed(values: np.ndarray) -> pa.Array:

@@ -307,6 +307,26 @@ def test_passages(spark, odd_docs, no_docs):
     assert {1, 2, 3} <= {r.doc_id for r in passages.repeated_paragraphs(odd_docs).collect()}
 
 
+def test_paragraph_starts():
+    """A text of 24 words or more has a paragraph, and its last word is in one; equal texts have equal ones."""
+    rng = random.Random(11)
+    for n in [*range(24, 51), 120, 400]:
+        for _ in range(40):
+            own = passages.shingles_of(" ".join(f"w{rng.randrange(10**9)}" for _ in range(n)))
+            starts = passages.starts_of(own)
+            assert len(starts) and 0 <= starts[0] and starts[-1] == n - passages.PARAGRAPH
+            assert starts.tolist() == sorted(set(starts.tolist())) == passages.starts_of(own.copy()).tolist()
+    assert len(passages.starts_of(passages.shingles_of("w " * 23))) == 0
+
+
+def test_short_passages(spark):
+    rng = random.Random(12)
+    texts = [" ".join(f"w{rng.randrange(10**9)}" for _ in range(n)) for n in range(24, 51)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(100 + i, t) for i, t in enumerate(texts)]
+    found = passages.repeated_paragraphs(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {(r.doc_id, r.class_doc_id, r.removed) for r in found} == {(i, i % 100, i >= 100) for i, _ in rows}
+
+
 @pytest.mark.parametrize("crowd", [passages.CROWD, 0])
 def test_passages_of_one_band_value(spark, monkeypatch, crowd):
     """Every similar pair with a common band value has one class, whatever the value's first paragraph is."""
