@@ -56,7 +56,27 @@ KNOWN = [("MIT", "text", _MIT), ("MIT", "text", "MIT License\n\n" + _MIT), ("ISC
     (licence, "notice", notice.format(name)) for licence, names in _NAMES.items() for name in names for notice in _NOTICES
 ]
 
+# A copyright statement, from the start of a line to the end of its sentence, in small letters. The word
+# or sign is followed by another sign, a year (or its placeholder), 'by' or the name of a body: lines that only begin with
+# 'copyright notice' or a list's '(c)' are text. The point of an abbreviation or initial ends no sentence.
+_YEAR = r"(?:\d{4}\b|years?\b|yyyy\b)"
+_BODY = r"(?:authors|contributors|developers|regents of the university of california|inc|ltd|llc|corporation|foundation)"
+_SENTENCE = (
+    r"(?:(?<!\b(?:inc|ltd|co|corp|llc|jr|sr|st|dr|[a-z]))\.(?=\s)"
+    r"|\.(?=\s+(?:licen[sc]ed|released|distributed|permission|this|spdx|all rights)\b)|(?=\beveryone is permitted)|$)"
+)
+COPYRIGHT = (
+    r"(?dm)^[^\p{L}\p{N}\n]*(?:"
+    r"copyright(?=[^\p{L}\p{N}\n]*(?:c\)|" + _YEAR + r"|by\b)|[^\S\n]*©|[^\S\n]+(?!(?:notice|holder|owner))[^\n.]*\b" + _BODY + r"\b[^\p{L}\p{N}\n]*$)"
+    r"|\(c\)(?=[^\p{L}\p{N}\n]*(?:" + _YEAR + r"|copyright\b[^\p{L}\p{N}\n]*" + _YEAR + r"))"
+    r"|©(?=[^\p{L}\p{N}\n]*(?:" + _YEAR + r"|by\b|copyright\b[^\p{L}\p{N}\n]*" + _YEAR + r"))"
+    r")[^\n]*?" + _SENTENCE + r"(?:[^\S\n]*all rights reserved\b\.?)?"
+)
+# The address of the Free Software Foundation has changed several times.
+ADDRESS = r"\b(?:51 franklin st|59 temple place|675 mass ave)[\s\S]{0,80}?\busa\b"
+
 # Pattern and replacement, in this order, applied to text in small letters.
+# The first is that of the SQL; `canonical` has the patterns above in its place.
 # No pattern may need a character that another match of it has used.
 STEPS = (
     (r"(^|\n)[^a-z0-9\n]*(copyright|\(c\)|©)[^\n]*", "\n"),
@@ -71,9 +91,9 @@ STEPS = (
 
 
 def canonical(text: Column) -> Column:
-    """Small letters, no copyright line, one spelling, and one space for all else but letters and digits."""
+    """Small letters, no copyright statement, one spelling, and one space for all else but letters and digits."""
     out = F.lower(text)
-    for pattern, to in STEPS:
+    for pattern, to in ((ADDRESS, " "), (COPYRIGHT, ""), *STEPS[1:]):
         out = F.regexp_replace(out, pattern, to.replace("${", "$").replace("}", "") if "${" in to else to)
     return F.trim(out)
 

@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import re
+import textwrap
 from collections import Counter
 
 import public_tokenizers
@@ -367,6 +368,29 @@ def test_licences(spark, odd_docs, odd_rows, no_docs):
     assert licenses.scan(no_docs).count() == 0
 
 
+def rewrapped(text, width):
+    """The paragraphs of a text, each wrapped anew; width 0 puts each on one line."""
+    found = [" ".join(p.split()) for p in re.split(r"\n\s*\n", text)]
+    return "\n\n".join("\n".join(textwrap.wrap(p, width, break_long_words=False, break_on_hyphens=False)) if width else p for p in found)
+
+
+def test_copyright_statements(spark):
+    rows, want = [], {}
+    for name, text in (("MIT", licenses._MIT), ("ISC", licenses._ISC)):
+        for width in (0, *range(30, 90)):
+            for head in ("", "Copyright (c) 2020 J. Smith, Foo Inc. All rights reserved.\n\n", "Copyright 2019-2021 by The Foo Authors\n(c) 2021 Else\n\n", "Copyright The Foo Authors\n© 2020 X\n"):
+                want[len(rows)] = (name, [name])
+                rows.append(head + rewrapped(text, width))
+    for line in ("(c) 2021 Someone. Licensed under the MIT License.", "Copyright 2021 Foo Inc. Licensed under the MIT License.", "© 2020 Bar. All rights reserved. Released under MIT."):
+        want[len(rows)] = ("MIT", ["MIT"])
+        rows.append(line)
+    for line in ("copyright notice\n", "(c) you may not\n", "Copyright holders may forbid it.\n"):
+        want[len(rows)] = (None, [])
+        rows.append(line + licenses._MIT)
+    found = licenses.scan(spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string")).collect()
+    assert {r.doc_id: (r.text_licence, r.licences) for r in found} == want
+
+
 PAGE = """<!doctype html><html><head><title>t</title><style>p{}</style></head><body class="home">
 <header><a href="/">Site</a></header><nav><ul><li><a>Menu</a></ul></nav><div class="cookie-notice">We use cookies</div>
 <main><article><header><h1>A &amp; B</h1></header><p>First <b>bold
