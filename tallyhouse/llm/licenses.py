@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import StagingArea
 from .common import read_table, scratch
+from .licence_digests import TEXT_DIGESTS
 
 # Known licence texts and notices.
 _MIT = (
@@ -30,6 +31,71 @@ _ISC = (
     "PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION "
     "WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
 )
+_BSD_HEAD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+    "following conditions are met:\n"
+)
+_BSD_CLAUSES = (
+    "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.\n",
+    "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following "
+    "disclaimer in the documentation and/or other materials provided with the distribution.\n",
+    "Neither the name of {} nor the names of its contributors may be used to endorse or promote products derived from "
+    "this software without specific prior written permission.\n",
+)
+_BSD_TAIL = (
+    'THIS SOFTWARE IS PROVIDED BY THE {0} AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT '
+    "LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO "
+    "EVENT SHALL THE {1} OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR "
+    "CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, "
+    "DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, "
+    "STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, "
+    "EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+_UNLICENSE = (
+    "This is free and unencumbered software released into the public domain.\n\n"
+    "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form "
+    "or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.\n\n"
+    "In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright "
+    "interest in the software to the public domain. We make this dedication for the benefit of the public at large and to "
+    "the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in "
+    "perpetuity of all present and future rights to this software under copyright law.\n\n"
+    'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE '
+    "WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE "
+    "LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, "
+    "OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+)
+
+
+def _bsd(clauses: int, owners: str, owner: str, name: str, numbered: bool) -> str:
+    marks = [f"{i + 1}. " if numbered else "* " for i in range(clauses)]
+    parts = [mark + clause.format(name) for mark, clause in zip(marks, _BSD_CLAUSES)]
+    return _BSD_HEAD + "".join(parts) + _BSD_TAIL.format(owners, owner)
+
+
+_BSD = {
+    f"BSD-{clauses}-Clause": [
+        _bsd(clauses, *who, numbered)
+        for who in (
+            ("COPYRIGHT HOLDERS", "COPYRIGHT HOLDER", "the copyright holder"),
+            ("COPYRIGHT HOLDERS", "COPYRIGHT OWNER", "the copyright holder"),
+            ("REGENTS", "REGENTS", "the University"),
+        )
+        for numbered in (True, False)
+    ]
+    for clauses in (2, 3)
+}
+# Whole texts besides those of KNOWN, each with its usual headings.
+_HEADED = {
+    "MIT": (("MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)"), [_MIT]),
+    "ISC": (("ISC License", "The ISC License", "ISC License (ISC)", "The ISC License (ISC)"), [_ISC]),
+    "BSD-2-Clause": (("", "BSD 2-Clause License", "The BSD 2-Clause License", "Simplified BSD License"), _BSD["BSD-2-Clause"]),
+    "BSD-3-Clause": (("", "BSD 3-Clause License", "The BSD 3-Clause License", "New BSD License", "Modified BSD License"), _BSD["BSD-3-Clause"]),
+    "Unlicense": (
+        ("", "The Unlicense", "Unlicense"),
+        [_UNLICENSE + end for end in ("", "\n\nFor more information, please refer to <https://unlicense.org>", "\n\nFor more information, please refer to <https://unlicense.org/>", "\n\nFor more information, please refer to <http://unlicense.org>")],
+    ),
+}
+WHOLE = [(licence, "text", f"{head}\n\n{text}") for licence, (heads, texts) in _HEADED.items() for head in heads for text in texts]
 _NAMES = {
     "MIT": ("the MIT License", "the MIT license", "MIT"),
     "Apache-2.0": ("the Apache License, Version 2.0", "the Apache License 2.0", "Apache 2.0", "Apache-2.0"),
@@ -70,10 +136,10 @@ COPYRIGHT = (
     r"copyright(?=[^\p{L}\p{N}\n]*(?:c\)|" + _YEAR + r"|by\b)|[^\S\n]*©|[^\S\n]+(?!(?:notice|holder|owner))[^\n.]*\b" + _BODY + r"\b[^\p{L}\p{N}\n]*$)"
     r"|\(c\)(?=[^\p{L}\p{N}\n]*(?:" + _YEAR + r"|copyright\b[^\p{L}\p{N}\n]*" + _YEAR + r"))"
     r"|©(?=[^\p{L}\p{N}\n]*(?:" + _YEAR + r"|by\b|copyright\b[^\p{L}\p{N}\n]*" + _YEAR + r"))"
-    r")[^\n]*?" + _SENTENCE + r"(?:[^\S\n]*all rights reserved\b\.?)?"
+    r")[^\n]*?" + _SENTENCE + r"(?:\s*all rights reserved\b\.?)?"
 )
-# The address of the Free Software Foundation has changed several times.
-ADDRESS = r"\b(?:51 franklin st|59 temple place|675 mass ave)[\s\S]{0,80}?\busa\b"
+# The address of the Free Software Foundation has changed several times, and so have forms of links.
+ADDRESS = r"\b(?:51 franklin st|59 temple place|675 mass ave)[\s\S]{0,80}?\busa\b|\bhttps?://(?:www\.)?"
 
 # Pattern and replacement, in this order, applied to text in small letters.
 # The first is that of the SQL; `canonical` has the patterns above in its place.
@@ -98,10 +164,12 @@ def canonical(text: Column) -> Column:
     return F.trim(out)
 
 
-def known_digests(spark: SparkSession, known=KNOWN) -> DataFrame:
+def known_digests(spark: SparkSession, known=KNOWN + WHOLE, digests=TEXT_DIGESTS) -> DataFrame:
     """(digest, licence, kind) of the known texts, a fixed list of a few hundred rows."""
     rows = spark.createDataFrame(known, "licence string, kind string, text string")
-    return rows.select(F.sha2(canonical(F.col("text")), 256).alias("digest"), "licence", "kind").distinct()
+    rows = rows.select(F.sha2(canonical(F.col("text")), 256).alias("digest"), "licence", "kind")
+    stored = spark.createDataFrame([(d, licence, "text") for licence, d in digests], "digest string, licence string, kind string")
+    return rows.union(stored).distinct()
 
 
 def scan(docs: DataFrame, known: DataFrame | None = None, area: StagingArea | None = None) -> DataFrame:

@@ -6,6 +6,7 @@ import random
 import re
 import textwrap
 from collections import Counter
+from pathlib import Path
 
 import public_tokenizers
 import pytest
@@ -369,9 +370,9 @@ def test_licences(spark, odd_docs, odd_rows, no_docs):
 
 
 def rewrapped(text, width):
-    """The paragraphs of a text, each wrapped anew; width 0 puts each on one line."""
-    found = [" ".join(p.split()) for p in re.split(r"\n\s*\n", text)]
-    return "\n\n".join("\n".join(textwrap.wrap(p, width, break_long_words=False, break_on_hyphens=False)) if width else p for p in found)
+    """The paragraphs of a text, each wrapped anew; width 0 puts each on one line. Those with a copyright statement stay."""
+    wrap = lambda p: "\n".join(textwrap.wrap(p, width, break_long_words=False, break_on_hyphens=False)) if width else p
+    return "\n\n".join(p if "Copyright (C)" in p else wrap(" ".join(p.split())) for p in re.split(r"\n\s*\n", text))
 
 
 def test_copyright_statements(spark):
@@ -391,6 +392,29 @@ def test_copyright_statements(spark):
     assert {r.doc_id: (r.text_licence, r.licences) for r in found} == want
 
 
+# Licence and file of the whole texts that Debian ships.
+SHIPPED = {
+    "Apache-2.0": "Apache-2.0", "GPL-1.0": "GPL-1", "GPL-2.0": "GPL-2", "GPL-3.0": "GPL-3", "LGPL-2.0": "LGPL-2", "LGPL-2.1": "LGPL-2.1",
+    "LGPL-3.0": "LGPL-3", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0", "BSD-3-Clause": "BSD",
+}
+
+
+def test_whole_licences(spark):
+    folder = Path("/usr/share/common-licenses")
+    if not folder.is_dir():
+        pytest.skip("no licence texts on this machine")
+    texts = [(name, (folder / file).read_text()) for name, file in SHIPPED.items()]
+    bsd3 = (folder / "BSD").read_text()
+    bsd2 = bsd3.replace(bsd3[bsd3.index("3. Neither") : bsd3.index("THIS SOFTWARE")], "\n")
+    mit, isc = ("Copyright (c) 2020 Somebody\n\n" + rewrapped(t, 70) for t in (licenses._MIT, licenses._ISC))
+    texts += [("BSD-2-Clause", bsd2), ("BSD-3-Clause", "BSD 3-Clause License\n\n" + bsd3.replace("1. ", "* ").replace("2. ", "* ").replace("3. ", "* "))]
+    texts += [("MIT", "The MIT License (MIT)\n\n" + mit), ("ISC", "The ISC License\n\n" + isc), ("Unlicense", rewrapped(licenses._UNLICENSE, 60))]
+    rows = [t for _, t in texts] + [rewrapped(t, 60) for _, t in texts] + [t[: len(t) // 2] for _, t in texts]
+    found = {r.doc_id: r.text_licence for r in licenses.scan(spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string")).collect()}
+    want = [name for name, _ in texts] * 2 + [None] * len(texts)
+    assert [(i, found[i]) for i in range(len(rows))] == list(enumerate(want))
+
+
 PAGE = """<!doctype html><html><head><title>t</title><style>p{}</style></head><body class="home">
 <header><a href="/">Site</a></header><nav><ul><li><a>Menu</a></ul></nav><div class="cookie-notice">We use cookies</div>
 <main><article><header><h1>A &amp; B</h1></header><p>First <b>bold
