@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import StagingArea
@@ -158,8 +160,12 @@ STEPS = (
 
 def canonical(text: Column) -> Column:
     """Small letters, no copyright statement, one spelling, and one space for all else but letters and digits."""
-    out = F.lower(text)
-    for pattern, to in ((ADDRESS, " "), (COPYRIGHT, ""), *STEPS[1:]):
+    low = F.lower(text)
+    has = lambda *parts: functools.reduce(Column.__or__, [F.contains(low, F.lit(p)) for p in parts])
+    # The two long patterns are only tried where a text has one of the words that any match needs.
+    out = F.when(has("://", "51 franklin st", "59 temple place", "675 mass ave"), F.regexp_replace(low, ADDRESS, " ")).otherwise(low)
+    out = F.when(has("copyright", "(c)", "©"), F.regexp_replace(out, COPYRIGHT, "")).otherwise(out)
+    for pattern, to in STEPS[1:]:
         out = F.regexp_replace(out, pattern, to.replace("${", "$").replace("}", "") if "${" in to else to)
     return F.trim(out)
 
