@@ -14,6 +14,7 @@ from .licenses import OP6_SQL, op6_licenses
 from .lines import OP8_SQL, op8_lines
 from .pages import op7_pages
 from .passages import op5_passages
+from .quality_rules import OP13_SQL, op13_quality_rules
 from .secrets import op4_secrets
 from .simhash import op3_simhash
 
@@ -32,8 +33,11 @@ def llm_queries() -> dict[str, Query]:
         "op8_lines": op8_lines,
         "op9_decontamination": op9_decontamination,
         "op10_language": op10_language,
+        "op13_quality_rules": op13_quality_rules,
     }
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op6_licenses": OP6_SQL, "op8_lines": OP8_SQL, "op9_decontamination": OP9_SQL}
+    return {
+        "op6_licenses": OP6_SQL, "op8_lines": OP8_SQL, "op9_decontamination": OP9_SQL, "op13_quality_rules": OP13_SQL,
+    }
