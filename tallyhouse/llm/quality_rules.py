@@ -56,6 +56,16 @@ def _kept_length(text: Column, others: str) -> Column:
     return F.length(F.regexp_replace(text, others, "")).cast("bigint")
 
 
+def _settled(value: Column) -> Column:
+    """The same value, made once where it stands.
+
+    Spark moves a filter on a column below the projection that makes it, and copies the
+    column's expression into the filter wherever it is named; with expressions upon
+    expressions that multiplies. It leaves a column alone that looks nondeterministic.
+    """
+    return F.when(F.spark_partition_id() >= 0, value)
+
+
 def with_repeats(df: DataFrame, words: str, name: str, window: int = WINDOW) -> DataFrame:
     """`df` and a column `name`: how many of the words in the array column `words` lie in a window seen twice.
 
@@ -77,7 +87,10 @@ def with_repeats(df: DataFrame, words: str, name: str, window: int = WINDOW) ->
     df = df.withColumn(ordered, F.when(F.size(F.array_distinct(hashes)) < F.size(hashes), placed)).drop(hashes)
     texts = F.transform(
         twins(ordered, "key"),
-        lambda x: F.struct(F.array_join(F.slice(words, x["at"] + 1, window), " ").alias("key"), x["at"].alias("at")),
+        # Not slice(): it copies the whole array each time.
+        lambda x: F.struct(
+            F.concat_ws(" ", *[F.get(words, x["at"] + n) for n in range(window)]).alias("key"), x["at"].alias("at")
+        ),
     )
     df = df.withColumn(again, F.sort_array(texts)).drop(ordered)
     places = F.sort_array(F.transform(twins(again, "key"), lambda x: x["at"]))
@@ -88,7 +101,7 @@ def with_repeats(df: DataFrame, words: str, name: str, window: int = WINDOW) ->
         ),
         lambda s: s["n"],
     )
-    return df.withColumn(name, covered).drop(again)
+    return df.withColumn(name, _settled(covered)).drop(again)
 
 
 def measured(df: DataFrame, text: str = "text") -> DataFrame:
@@ -153,7 +166,7 @@ def judged(docs: DataFrame, rules=RULES, text: str = "text") -> DataFrame:
     equal verdicts, and the columns of `docs` may have any name. Null, empty and blank texts
     have no word and break `few_words`; whole texts are read, of any length.
     """
-    return measured(docs, text).withColumn("failed", compiled(rules))
+    return measured(docs, text).withColumn("failed", _settled(compiled(rules)))
 
 
 def keep_good(docs: DataFrame, rules=RULES) -> DataFrame:

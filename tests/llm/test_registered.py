@@ -15,7 +15,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for table in ("documents", "benchmark", "pages"):
+    for table in ("documents", "benchmark", "pages", "embeddings"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SF}/{table}.parquet')")
     return con
 
@@ -23,7 +23,7 @@ def duck():
 def test_registered():
     names = set(contract.queries())
     assert set(llm_queries()) | {"pipeline"} <= names
-    assert sorted(int(n[2:].split("_")[0]) for n in llm_queries()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in llm_queries()) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(llm_oracles()))
@@ -33,8 +33,8 @@ def test_query_matches_sql(spark, duck, name):
 
 @pytest.mark.parametrize("name", sorted(set(llm_queries()) - set(llm_oracles())))
 def test_query_runs(spark, name):
-    table = {"op7_pages": "pages"}.get(name, "documents")
-    rows = llm_queries()[name](spark, SF).count()
+    table = {"op7_pages": "pages", "op11_whitening": "embeddings"}.get(name, "documents")
+    rows = llm_queries()[name](spark, SF).count() // (4 if name == "op11_whitening" else 1)
     assert rows == spark.read.parquet(f"{SF}/{table}.parquet").count() or name == "op5_passages"
 
 
