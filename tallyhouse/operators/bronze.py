@@ -11,6 +11,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import record_hash
 from ..schemas import HEADER_NAMES, SOURCE_COLUMNS
+from ..sources.readers import BAD_RECORD, FILE_COLUMNS, SOURCE_BLOCK, SOURCE_ROW
+
+POSITION = (SOURCE_BLOCK, SOURCE_ROW)
 
 
 @dataclass(frozen=True)
@@ -52,18 +55,24 @@ def with_record_hash(df: DataFrame) -> DataFrame:
 
 
 def to_bronze(df: DataFrame, batch: LoadBatch) -> DataFrame:
-    """Rows of `read_source` as bronze rows.
+    """Rows of `read_source` or `read_lines` as bronze rows; malformed ones are left to `to_rejects`.
 
-    bronze_id is the batch id with Spark's task-and-row number: unique inside the job that
-    writes the batch, needs no shuffle, and is fixed once that job has committed.
+    bronze_id is the batch id with Spark's task-and-row number, in as many digits as any has,
+    so that ids of a batch sort as numbers do: unique inside the job that writes the batch,
+    needs no shuffle, and is fixed once that job has committed.
     """
     run_time = F.lit(batch.started_at).cast("timestamp")
-    text = as_text(rename_headers(df), keep=("source_file_name", "source_file_path"))
-    return with_record_hash(text).select(
-        F.concat_ws("-", F.lit(batch.batch_id), F.monotonically_increasing_id()).alias("bronze_id"),
+    text = as_text(rename_headers(df), keep=("source_file_name", "source_file_path", *POSITION, BAD_RECORD))
+    number = F.lpad(F.monotonically_increasing_id().cast("string"), 19, "0")
+    numbered = with_record_hash(text).withColumn("bronze_id", F.concat_ws("-", F.lit(batch.batch_id), number))
+    if BAD_RECORD in text.columns:
+        numbered = numbered.where(F.col(BAD_RECORD).isNull())
+    return numbered.select(
+        "bronze_id",
         *SOURCE_COLUMNS,
         "source_file_name",
         "source_file_path",
+        *[c for c in POSITION if c in text.columns],
         F.lit(batch.source_system).alias("source_system"),
         run_time.alias("load_timestamp"),
         F.lit(batch.process_id).alias("ingestion_process_id"),
@@ -76,6 +85,22 @@ def to_bronze(df: DataFrame, batch: LoadBatch) -> DataFrame:
     )
 
 
+def to_rejects(df: DataFrame, batch: LoadBatch) -> DataFrame:
+    """The malformed rows of `read_lines`, whole, with what was read of their fields, file, place and reason."""
+    fields = [c for c in df.columns if c not in (*FILE_COLUMNS, *POSITION, BAD_RECORD)]
+    return df.where(F.col(BAD_RECORD).isNotNull()).select(
+        F.col(BAD_RECORD).alias("raw_record"),
+        F.to_json(F.struct(*fields)).alias("fields_read"),
+        F.lit(f"not {len(fields)} fields").alias("reject_reason"),
+        "source_file_name",
+        "source_file_path",
+        *POSITION,
+        F.lit(batch.started_at).cast("timestamp").alias("load_timestamp"),
+        F.lit(batch.started_at.date()).alias("load_date"),
+        F.lit(batch.batch_id).alias("load_batch_id"),
+    )
+
+
 def duplicate_hashes(bronze: DataFrame) -> DataFrame:
     """Record hashes that occur more than once, with their number of copies."""
     return (

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions import day_of_week, null_if_token
-from ..schemas import LINEAGE_COLUMNS, NULL_TOKENS, QUANTITY_BOUNDS
+from ..functions import day_of_week, null_if_token, surrogate_key
+from ..schemas import LINE_ORDER, LINEAGE_COLUMNS, NULL_TOKENS, QUANTITY_BOUNDS
 from .running import number_rows
 
 # Shapes of text that may become a number.
@@ -107,7 +108,14 @@ def rejected_transactions(
 
 
 def retail_transactions(silver: DataFrame, *, stage: Callable[[DataFrame], DataFrame], **numbering) -> DataFrame:
-    """The silver table form: invoice line numbers and generated columns."""
+    """The silver table form: invoice line numbers and generated columns.
+
+    Lines of an invoice are numbered as they stand in their files, load by load; where the
+    lines have no place (a source that is not a file), by bronze_id.
+    """
+    order = [c for c in LINE_ORDER if c in silver.columns]
+    if "source_row" not in order:
+        order = ["bronze_id"]
     narrow = silver.select(
         "bronze_id",
         F.col("invoice_number").alias("invoice"),
@@ -123,5 +131,24 @@ def retail_transactions(silver: DataFrame, *, stage: Callable[[DataFrame], DataF
         "is_cancelled",
         "has_customer_id",
         F.col("has_product_description").alias("has_valid_description"),
+        *[c for c in order if c != "bronze_id"],
+    )
+    return number_rows(narrow, ["invoice"], order, "invoice_line_number", stage=stage, **numbering)
+
+
+def transactions_table(silver: DataFrame, updated_at: datetime, *, stage: Callable[[DataFrame], DataFrame], **numbering) -> DataFrame:
+    """`retail_transactions` with its key, source batch and audit columns, as the silver table is stored.
+
+    loaded_at is the load that brought the line, updated_at the run that numbered it. All
+    lines are current: one that came again has replaced the old one.
+    """
+    numbered = retail_transactions(silver, stage=stage, **numbering)
+    return numbered.select(
+        surrogate_key("bronze_id").alias("transaction_id"),
+        *[c for c in numbered.columns if c not in LINE_ORDER],
+        "bronze_id",
+        F.col("load_batch_id").alias("source_batch_id"),
+        F.col("load_timestamp").alias("loaded_at"),
+        F.lit(updated_at).cast("timestamp").alias("updated_at"),
+        F.lit(True).alias("is_current"),
     )
-    return number_rows(narrow, ["invoice"], ["bronze_id"], "invoice_line_number", stage=stage, **numbering)

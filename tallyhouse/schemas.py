@@ -33,8 +33,13 @@ LINEAGE_COLUMNS = (
     "load_timestamp",
     "load_batch_id",
     "record_hash",
+    "source_block",
+    "source_row",
 )
 
+# A bronze or silver line's place among all lines: its load, then its file, then where it stands there.
+LINE_ORDER = ("load_timestamp", "load_batch_id", "source_file_path", "source_block", "source_row", "bronze_id")
+
 # Texts that mean "missing" once a file has been turned into text.
 NULL_TOKENS = ("nan", "None", "NaN", "")
 

@@ -135,11 +135,9 @@ def test_loading_a_batch_again_replaces_it(lake, files):
 
 
 def test_failed_load_is_logged_and_raised(lake, files):
-    bad = files / "bad.csv"
-    bad.write_text(HEADER + "\n1,2,3,4,5,6,7,8,9,10\n")
     batch = LoadBatch(batch_id="B2")
     with pytest.raises(Exception):
-        pipeline.load_bronze(lake, str(bad), batch=batch)
+        pipeline.load_bronze(lake, str(files / "absent.csv"), batch=batch)
     row = current_log(lake.read("ingestion_log", "bronze")).where("batch_id = 'B2'").first()
     assert row.status == "FAILED" and row.error_message
 
