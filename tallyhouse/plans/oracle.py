@@ -213,24 +213,36 @@ SELECT batch_id, CASE WHEN lost * 200 > lines THEN 'FAILED' ELSE 'SUCCESS' END A
   date_diff('second', started, last_load + INTERVAL 1 HOUR) AS ingestion_duration_seconds FROM log_batches"""
 
 BLOCKS["profile"] = """
-SELECT nullif(invoice, 'nan') AS invoice, nullif(stock_code, 'nan') AS stock_code, nullif(description, 'nan') AS description,
-  TRY_CAST(quantity AS DECIMAL(12,2)) AS quantity, TRY_CAST(nullif(invoice_date, 'nan') AS TIMESTAMP) AS invoice_date,
-  TRY_CAST(unit_price AS DECIMAL(12,2)) AS unit_price, nullif(customer_id, 'nan') AS customer_id,
-  nullif(country, 'nan') AS country, load_timestamp, 'lineitem' AS source_file_name,
-  TRY_CAST(quantity AS DECIMAL(12,2)) * TRY_CAST(unit_price AS DECIMAL(12,2)) AS revenue FROM bronze"""
+SELECT *, CASE WHEN quantity IS NULL THEN quantity_text END AS quantity_unfit,
+  CASE WHEN unit_price IS NULL THEN unit_price_text END AS unit_price_unfit, quantity * unit_price AS revenue
+FROM (SELECT nullif(invoice, 'nan') AS invoice, nullif(stock_code, 'nan') AS stock_code, nullif(description, 'nan') AS description,
+  nullif(quantity, 'nan') AS quantity_text, nullif(unit_price, 'nan') AS unit_price_text,
+  CASE WHEN CAST(TRY_CAST(quantity AS DECIMAL(18,6)) AS DOUBLE) = TRY_CAST(quantity AS DOUBLE)
+    THEN TRY_CAST(quantity AS DECIMAL(18,6)) END AS quantity,
+  CASE WHEN CAST(TRY_CAST(unit_price AS DECIMAL(18,6)) AS DOUBLE) = TRY_CAST(unit_price AS DOUBLE)
+    THEN TRY_CAST(unit_price AS DECIMAL(18,6)) END AS unit_price,
+  TRY_CAST(nullif(invoice_date, 'nan') AS TIMESTAMP) AS invoice_date, nullif(customer_id, 'nan') AS customer_id,
+  nullif(country, 'nan') AS country, load_timestamp, 'lineitem' AS source_file_name FROM bronze)"""
+
+
+
+def _as_text(column: str) -> str:
+    text = f"CAST({column} AS VARCHAR)"
+    return f"coalesce({text}, {column}_unfit)" if column in ("quantity", "unit_price") else text
+
 
 BLOCKS["profile_counts"] = " UNION ALL ".join(
-    f"SELECT '{c.strip()}' AS column_name, CAST({c.strip()} AS VARCHAR) AS value, count(*) AS n FROM profile GROUP BY 2"
+    f"SELECT '{c.strip()}' AS column_name, {_as_text(c.strip())} AS value, count(*) AS n FROM profile GROUP BY 2"
     for c in SOURCE.split(",")
 )
 
 BLOCKS["numeric_stats"] = " UNION ALL ".join(
     f"""SELECT '{c}' AS column_name, CAST(min({c}) AS DOUBLE) AS min_value, CAST(max({c}) AS DOUBLE) AS max_value,
-  round(CAST(sum({c}) AS DOUBLE) / count({c}), 4) AS mean, round(quantile_cont(CAST({c} AS DOUBLE), 0.5), 4) AS median,
+  round(CAST(CAST(sum({c}) AS VARCHAR) AS DOUBLE) / count({c}), 4) AS mean, round(quantile_cont(CAST({c} AS DOUBLE), 0.5), 4) AS median,
   round(stddev_samp(CAST({c} AS DOUBLE)), 4) AS std_dev, round(quantile_cont(CAST({c} AS DOUBLE), 0.25), 4) AS q1,
   round(quantile_cont(CAST({c} AS DOUBLE), 0.75), 4) AS q3, count(*) FILTER (WHERE {c} = 0) AS zero_count,
   count(*) FILTER (WHERE {c} < 0) AS negative_count, count(*) FILTER (WHERE {c} > 0) AS positive_count,
-  count(*) AS total_rows FROM profile"""
+  count({c}_unfit) AS unfit_count, count(*) AS total_rows FROM profile"""
     for c in ("quantity", "unit_price")
 )
 
@@ -243,14 +255,15 @@ FROM profile_counts GROUP BY column_name"""
 
 BLOCKS["copies"] = """
 SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS duplicate_records FROM (SELECT count(*) AS n FROM profile
-  GROUP BY invoice, stock_code, description, quantity, invoice_date, unit_price, customer_id, country, load_timestamp, source_file_name)"""
+  GROUP BY invoice, stock_code, description, quantity, invoice_date, unit_price, customer_id, country, load_timestamp, source_file_name,
+  quantity_unfit, unit_price_unfit)"""
 
 _PROFILE_COLUMNS = [c.strip() for c in SOURCE.split(",")] + ["load_timestamp", "source_file_name"]
 
 BLOCKS["quality"] = (
     "SELECT count(*) AS total_records, count(*) FILTER (WHERE unit_price < 0) AS negative_prices, "
     "count(*) FILTER (WHERE quantity = 0) AS zero_quantities, "
-    + ", ".join(f"count(*) - count({c}) AS null_{c}" for c in _PROFILE_COLUMNS)
+    + ", ".join(f"count(*) - count({_as_text(c)}) AS null_{c}" for c in _PROFILE_COLUMNS)
     + ", (SELECT duplicate_records FROM copies) AS duplicate_records FROM profile"
 )
 
@@ -303,6 +316,20 @@ SELECT 'BATCH_20010901_060000_00000000' AS load_batch_id,
   DATE '2001-09-01' AS load_date, FALSE AS is_deleted, count(*) AS records_loaded, count(*) AS bronze_ids,
   count(DISTINCT record_hash) AS record_hashes, count(*) AS with_file_name FROM bronze"""
 BODIES["stream_ingest"] = f"SELECT DISTINCT record_hash, {SOURCE} FROM bronze"
+BODIES["source_rejects"] = """
+SELECT invoice, count(*) FILTER (NOT broken) AS n_lines,
+  first(stock_code ORDER BY place) FILTER (NOT broken) AS first_code, last(stock_code ORDER BY place) FILTER (NOT broken) AS last_code,
+  last(country ORDER BY place) FILTER (NOT broken) AS last_country, count(*) FILTER (broken) AS n_rejected,
+  CASE WHEN count(*) FILTER (broken) > 0 THEN 'not 8 fields' END AS reason
+FROM (SELECT invoice, nullif(stock_code, '') AS stock_code, country, CAST(string_split(bronze_id, '-')[1] AS INTEGER) % 23 = 0 AS broken,
+    [CAST(string_split(bronze_id, '-')[2] AS INTEGER), CAST(string_split(bronze_id, '-')[3] AS INTEGER),
+     CAST(string_split(bronze_id, '-')[4] AS INTEGER)] AS place FROM bronze)
+GROUP BY invoice"""
+BODIES["stream_layers"] = """
+SELECT CAST(strftime(invoice_date, '%Y%m') AS INTEGER) AS sale_month, count(*) AS n_lines,
+  CAST(sum(quantity) AS BIGINT) AS quantity, CAST(sum(line_total) AS DOUBLE) AS line_total, count(DISTINCT load) AS loads
+FROM (SELECT DISTINCT record_hash, invoice_date, quantity, line_total, CAST(string_split(bronze_id, '-')[1] AS INTEGER) % 2 AS load
+  FROM silver) GROUP BY 1"""
 BODIES["ingestion_log_current"] = "SELECT * FROM log_now"
 BODIES["latest_load"] = """
 SELECT batch_id FROM log_now WHERE status = 'SUCCESS' ORDER BY ingestion_start_time DESC, batch_id DESC LIMIT 1"""
@@ -656,8 +683,8 @@ SELECT (SELECT batch_id FROM log_now WHERE status = 'SUCCESS' ORDER BY ingestion
   UNION ALL SELECT 'medium_issues', medium_issues::DOUBLE FROM scores)"""
 
 BODIES["revenue_analysis"] = """
-SELECT CAST(sum(revenue) AS DOUBLE) AS total_revenue, CAST(sum(revenue) AS DOUBLE) / count(revenue) AS average_transaction_value,
-  CAST(max(revenue) AS DOUBLE) AS highest_single_transaction, count(*) FILTER (WHERE revenue < 0) AS negative_revenue_transactions,
+SELECT CAST(CAST(sum(revenue) AS VARCHAR) AS DOUBLE) AS total_revenue, CAST(CAST(sum(revenue) AS VARCHAR) AS DOUBLE) / count(revenue) AS average_transaction_value,
+  CAST(CAST(max(revenue) AS VARCHAR) AS DOUBLE) AS highest_single_transaction, count(*) FILTER (WHERE revenue < 0) AS negative_revenue_transactions,
   round(quantile_cont(CAST(revenue AS DOUBLE), 0.5), 6) AS median_transaction_value FROM profile"""
 BODIES["customer_analysis"] = """
 SELECT count(customer_id) AS total_customers, CAST(sum(n) FILTER (WHERE customer_id IS NOT NULL) AS BIGINT) AS transactions_with_customer_id,
@@ -688,26 +715,26 @@ UNION ALL SELECT 'weekend_transactions', NULL, count(*) FILTER (WHERE dayofweek(
 UNION ALL SELECT 'weekday_transactions', NULL, count(*) FILTER (WHERE coalesce(dayofweek(invoice_date) NOT IN (0, 6), TRUE)) FROM profile"""
 BODIES["monthly_revenue"] = """
 SELECT CAST(year(invoice_date) AS INTEGER) AS year, CAST(month(invoice_date) AS INTEGER) AS month,
-  CAST(min(date_trunc('month', invoice_date)) AS DATE) AS month_start, CAST(sum(revenue) AS DOUBLE) AS revenue
+  CAST(min(date_trunc('month', invoice_date)) AS DATE) AS month_start, CAST(CAST(sum(revenue) AS VARCHAR) AS DOUBLE) AS revenue
 FROM profile WHERE invoice_date IS NOT NULL GROUP BY 1, 2"""
 BODIES["monthly_sales"] = """
 SELECT CAST(year(full_date) AS INTEGER) AS year, CAST(month(full_date) AS INTEGER) AS month,
   CAST(min(date_trunc('month', full_date)) AS DATE) AS month_start, CAST(sum(line_total) AS DOUBLE) AS revenue
 FROM fact GROUP BY 1, 2"""
 BODIES["top_countries"] = """
-SELECT country, CAST(sum(revenue) AS DOUBLE) AS revenue FROM profile WHERE country IS NOT NULL GROUP BY country
+SELECT country, CAST(CAST(sum(revenue) AS VARCHAR) AS DOUBLE) AS revenue FROM profile WHERE country IS NOT NULL GROUP BY country
 ORDER BY sum(revenue) DESC NULLS LAST, country LIMIT 10"""
 BODIES["customers_per_country"] = """
 SELECT country, count(DISTINCT customer_id) AS customers FROM profile WHERE customer_id IS NOT NULL GROUP BY country"""
 BODIES["top_customers"] = """
-SELECT customer_id, CAST(sum(revenue) AS DOUBLE) AS revenue FROM profile WHERE customer_id IS NOT NULL GROUP BY customer_id
+SELECT customer_id, CAST(CAST(sum(revenue) AS VARCHAR) AS DOUBLE) AS revenue FROM profile WHERE customer_id IS NOT NULL GROUP BY customer_id
 ORDER BY sum(revenue) DESC NULLS LAST, customer_id LIMIT 10"""
 BODIES["customer_revenue_summary"] = """
-SELECT count(*) AS total_customers, CAST(sum(r) AS DOUBLE) / count(*) AS mean_revenue,
+SELECT count(*) AS total_customers, CAST(CAST(sum(r) AS VARCHAR) AS DOUBLE) / count(*) AS mean_revenue,
   round(quantile_cont(CAST(r AS DOUBLE), 0.5), 6) AS median_revenue
 FROM (SELECT coalesce(sum(revenue), 0) AS r FROM profile WHERE customer_id IS NOT NULL GROUP BY customer_id)"""
 BODIES["top_products"] = """
-SELECT p.stock_code, CAST(p.revenue AS DOUBLE) AS revenue, CAST(p.quantity AS DOUBLE) AS quantity,
+SELECT p.stock_code, CAST(CAST(p.revenue AS VARCHAR) AS DOUBLE) AS revenue, CAST(CAST(p.quantity AS VARCHAR) AS DOUBLE) AS quantity,
   coalesce(d.description[1:30], 'No Description') AS description
 FROM (SELECT stock_code, sum(revenue) AS revenue, sum(quantity) AS quantity FROM profile WHERE stock_code IS NOT NULL
   GROUP BY stock_code ORDER BY sum(revenue) DESC NULLS LAST, stock_code LIMIT 10) p
@@ -728,12 +755,12 @@ BODIES["issue_counts"] = " UNION ALL ".join(
 )
 BODIES["exploration_summary"] = """
 SELECT count(*) AS total_records, min(invoice_date) AS first_date, max(invoice_date) AS last_date,
-  CAST(sum(revenue) AS DOUBLE) AS total_revenue, CAST(sum(revenue) AS DOUBLE) / count(revenue) AS revenue_per_line,
+  CAST(CAST(sum(revenue) AS VARCHAR) AS DOUBLE) AS total_revenue, CAST(CAST(sum(revenue) AS VARCHAR) AS DOUBLE) / count(revenue) AS revenue_per_line,
   CAST(bool_or(quantity < 0) AS INTEGER) + CAST(bool_or(unit_price <= 0) AS INTEGER)
     + CAST(bool_or(customer_id IS NULL) AS INTEGER) + CAST(bool_or(description IS NULL) AS INTEGER) AS data_quality_issues,
   count(*) FILTER (WHERE description IS NULL) AS missing_description,
   count(*) FILTER (WHERE customer_id IS NULL) AS missing_customer,
-  (SELECT CAST(sum(v) AS DOUBLE) / count(v) FROM (SELECT sum(revenue) AS v FROM profile GROUP BY invoice)) AS avg_order_value,
+  (SELECT CAST(CAST(sum(v) AS VARCHAR) AS DOUBLE) / count(v) FROM (SELECT sum(revenue) AS v FROM profile GROUP BY invoice)) AS avg_order_value,
   count(DISTINCT customer_id) AS unique_customers, count(DISTINCT stock_code) AS unique_products,
   count(DISTINCT country) AS countries FROM profile"""
 
@@ -760,7 +787,7 @@ _SECTIONS = {
         "non_null_count", "null_count", "null_percentage", "unique_count", "unique_percentage")),
     "numeric_profiles": ("profile_numeric", "column_name", (
         "min_value", "max_value", "mean", "median", "std_dev", "q1", "q3", "zero_count", "negative_count",
-        "positive_count", "outlier_count", "outlier_percentage")),
+        "positive_count", "outlier_count", "outlier_percentage", "unfit_count")),
     "text_profiles": ("profile_text", "column_name", (
         "avg_length", "min_length", "max_length", "empty_string_count", "whitespace_only_count",
         "has_leading_trailing_spaces", "has_special_characters")),

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions import as_double, cents_to_dollars, record_hash, safe_divide, surrogate_key
 from ..operators import bronze, calendar, customers, fact, geography, history, incremental, products, silver
@@ -14,8 +16,9 @@ from ..operators.joins import lookup_join
 from ..profiling import columns, exploration, insights, report, scores
 from ..quality import checks, pipeline_checks, suites
 from ..schemas import SOURCE_COLUMNS
-from ..sources import compare_tables, convert_to_parquet, read_source
-from ..streaming import bronze_stream, land_stream
+from ..sources import Lake, compare_tables, convert_to_parquet, read_source
+from ..sources.readers import read_lines
+from ..streaming import bronze_stream, land_stream, stream_layers as stream_into_layers
 from .workspace import AS_OF, RUN_TIME, Workspace, workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -118,6 +121,68 @@ def stream_ingest(ws: Workspace) -> DataFrame:
     return ws.spark.read.parquet(target).select("record_hash", *SOURCE_COLUMNS)
 
 
+def _place(lines: DataFrame) -> list[Column]:
+    """Order, line, part and supplier number of retail lines, which stand in their id."""
+    parts = F.split("bronze_id", "-")
+    return [F.get(parts, i).cast("int") for i in range(4)]
+
+
+def _source_files(ws: Workspace, lines: DataFrame, name: str, broken: Column) -> str:
+    """Lines as CSV files with a header, each invoice whole and in line order; broken ones lack their last field."""
+    quoted = lambda c: F.concat(F.lit('"'), F.replace(F.coalesce(c, F.lit("")), F.lit('"'), F.lit('""')), F.lit('"'))
+    fields = [quoted(F.col(c)) for c in SOURCE_COLUMNS]
+    text = F.when(broken, F.concat_ws(",", *fields[:-1])).otherwise(F.concat_ws(",", *fields))
+    whole = lines.repartition(8, "invoice").sortWithinPartitions("invoice", *_place(lines))
+    path = f"{ws.area.path(name)}/files.csv"
+    # The header is the name of the only column; nothing is quoted a second time.
+    header = "InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country"
+    writer = whole.select(text.alias(header)).write.option("header", True).option("sep", "\u0001").option("quote", "\u0000")
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return path
+
+
+@query
+def source_rejects(ws: Workspace) -> DataFrame:
+    """Invoices of source files with malformed rows: good lines in file order, and how many were kept apart."""
+    order = _place(ws.bronze)[0]
+    found = ws.stage(read_lines(ws.spark, _source_files(ws, ws.bronze, "broken-csv", order % 23 == 0), "csv"))
+    batch = LoadBatch(started_at=RUN_TIME, batch_id="BATCH_20010901_060000_00000001")
+    place = F.struct("source_file_path", "source_block", "source_row")
+    good = bronze.to_bronze(found, batch).groupBy("invoice").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.min_by("stock_code", place).alias("first_code"),
+        F.max_by("stock_code", place).alias("last_code"), F.max_by("country", place).alias("last_country"),
+    )
+    rejects = bronze.to_rejects(found, batch)
+    bad = rejects.groupBy(F.get_json_object("fields_read", "$.InvoiceNo").alias("invoice")).agg(
+        F.count(F.lit(1)).alias("n_rejected"), F.min("reject_reason").alias("reason")
+    )
+    return good.join(bad, "invoice", "full").fillna(0, ["n_lines", "n_rejected"])
+
+
+@query
+def stream_layers(ws: Workspace) -> DataFrame:
+    """Two drops of source files as a stream into all layers, the second with half of the first again; sales by month."""
+    first = _place(ws.bronze)[0] % 2 == 0
+    again = first & (_place(ws.bronze)[0] % 4 == 0)
+    lake = Lake(ws.spark, ws.area.path("stream-lake"), prefix=f"s{uuid.uuid4().hex[:8]}_")
+    folder, checkpoint = ws.area.path("stream-drops"), ws.area.path("stream-checkpoint")
+    schema = StructType(
+        [StructField(c, StringType()) for c in "InvoiceNo StockCode Description Quantity InvoiceDate UnitPrice CustomerID Country".split()]
+    )
+    try:
+        for number, part in enumerate((first, ~first | again)):
+            files = ws.spark.read.text(_source_files(ws, ws.bronze.where(part), f"drop{number}", F.lit(False)))
+            files.write.mode("append").text(folder)
+            stream_into_layers(lake, folder, schema, checkpoint, as_of=AS_OF, files_per_trigger=1000)
+        held = lake.read("fact_sales").groupBy("sale_month").agg(
+            F.count(F.lit(1)).alias("n_lines"), F.sum("quantity").alias("quantity"), F.sum("line_total").alias("line_total"),
+            F.countDistinct("source_batch_id").alias("loads"),
+        )
+        return ws.stage(_doubles(held, "line_total"))
+    finally:
+        lake.forget()
+
+
 @query
 def ingestion_log_current(ws: Workspace) -> DataFrame:
     current = bronze.current_log(ws.ingestion_log)

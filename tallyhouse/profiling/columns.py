@@ -19,19 +19,42 @@ NUMERIC_COLUMNS = ("quantity", "unit_price")
 TEXT_COLUMNS = ("invoice", "stock_code", "description", "customer_id", "country")
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
+# Numbers are exact decimals: twelve digits before the point and six behind it.
+NUMBER = "decimal(18,6)"
+# Beside each numeric column: the text of values that are there and are no such number.
+UNFIT = "_unfit"
+
 # Text shapes the text profile counts.
 BLANK_TEXT = r"(?U)^\s*\z"
 PADDED_TEXT = r"(?U)(^\s)|(\s\z)"
 SPECIAL_TEXT = r"(?U)[^\w\s-]"
 
 
+def exact_number(text: Column) -> Column:
+    """A text as a decimal that loses nothing of it (to double precision), else NULL."""
+    number = text.try_cast(NUMBER)
+    return F.when(number.cast("double") == text.try_cast("double"), number)
+
+
 def profile_lines(bronze: DataFrame) -> DataFrame:
-    """Bronze lines as the profiler sees them: text as loaded, numbers and times typed."""
+    """Bronze lines as the profiler sees them: text as loaded, numbers and times typed.
+
+    A number is kept exactly or not at all: what is out of range, has more digits behind the
+    point, or is no number at all stands as text in the column's `_unfit` twin. It is not
+    missing, and has a count of its own in the numeric profile.
+    """
     text = {c: null_if_token(c, MISSING_TOKENS).alias(c) for c in SOURCE_COLUMNS}
+    unfit = []
     for c in NUMERIC_COLUMNS:
-        text[c] = F.col(c).try_cast("decimal(12,2)").alias(c)
+        number = exact_number(text[c])
+        unfit.append(F.when(number.isNull(), text[c]).alias(c + UNFIT))
+        text[c] = number.alias(c)
     text["invoice_date"] = F.col("invoice_date").try_cast("timestamp_ntz").alias("invoice_date")
-    return bronze.select(*text.values(), *AUDIT_COLUMNS)
+    return bronze.select(*text.values(), *AUDIT_COLUMNS, *unfit)
+
+
+def profiled_columns(names: Sequence[str]) -> list[str]:
+    return [c for c in names if not c.endswith(UNFIT)]
 
 
 def recent_rows(df: DataFrame, n: int, *, stage: Stage, time: str = "load_timestamp", tie: str = "bronze_id") -> DataFrame:
@@ -54,7 +77,8 @@ def recent_rows(df: DataFrame, n: int, *, stage: Stage, time: str = "load_timest
 
 def value_counts(df: DataFrame, columns: Sequence[str] = SOURCE_COLUMNS) -> DataFrame:
     """(column_name, value, n) of every distinct value, NULL included, in one shuffle."""
-    texts = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
+    value = lambda c: F.coalesce(F.col(c).cast("string"), c + UNFIT) if c + UNFIT in df.columns else F.col(c).cast("string")
+    texts = df.select(*[value(c).alias(c) for c in columns])
     return texts.unpivot([], list(columns), "column_name", "value").groupBy("column_name", "value").agg(
         F.count(F.lit(1)).alias("n")
     )
@@ -99,7 +123,8 @@ def quartiles(
     counts: DataFrame, columns: Sequence[str] = NUMERIC_COLUMNS, *, stage: Stage
 ) -> dict[str, dict[str, float]]:
     """Column -> its quartiles: at most one row per profiled column is fetched."""
-    chosen = counts.where(F.col("column_name").isin(*columns) & F.col("value").isNotNull())
+    fits = ~F.col("column_name").isin(*NUMERIC_COLUMNS) | exact_number(F.col("value")).isNotNull()
+    chosen = counts.where(F.col("column_name").isin(*columns) & F.col("value").isNotNull() & fits)
     values = chosen.select("column_name", F.col("value").cast("double").alias("value"), "n")
     rows = exact_quantiles(values, QUARTILES, stage=stage).collect()
     return {row["column_name"]: row.asDict() for row in rows}
@@ -134,6 +159,7 @@ def numeric_aggregates(
             "positive_count": f"count_if({c} > 0)",
             "outlier_count": outliers,
             "outlier_percentage": f"try_divide({outliers}, count(*)) * 100",
+            "unfit_count": f"count({c}{UNFIT})",
         }
         found |= {f"{c}__{name}": sql for name, sql in measures.items()}
     return found
@@ -142,6 +168,7 @@ def numeric_aggregates(
 NUMERIC_MEASURES = (
     "min_value", "max_value", "mean", "median", "std_dev", "q1", "q3",
     "zero_count", "negative_count", "positive_count", "outlier_count", "outlier_percentage",
+    "unfit_count",
 )
 
 

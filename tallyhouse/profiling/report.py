@@ -42,7 +42,7 @@ def profile_sections(lines: DataFrame, *, stage: Stage, home: str = insights.HOM
     quality = scores.merge_rows(totals.select(*quality_names), copies)
     profiles = columns.column_profiles(lines, counts.where("column_name <> 'revenue'"))
     return {
-        "dataset_overview": scores.overview_row(totals, profiles, len(lines.columns)),
+        "dataset_overview": scores.overview_row(totals, profiles, len(columns.profiled_columns(lines.columns))),
         "column_profiles": profiles,
         "numeric_profiles": columns.numeric_rows(totals),
         "text_profiles": columns.text_profiles(counts),

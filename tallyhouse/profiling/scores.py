@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import row_fingerprint
-from .columns import aggregate
+from .columns import UNFIT, aggregate, profiled_columns
 
 # Columns that may hold at most 5 % NULLs.
 CRITICAL_COLUMNS = ("invoice", "stock_code", "quantity", "unit_price", "country")
@@ -59,7 +59,7 @@ def overview_row(totals: DataFrame, profiles: DataFrame, n_columns: int) -> Data
 
 
 def overview(df: DataFrame, profiles: DataFrame) -> DataFrame:
-    return overview_row(aggregate(df, OVERVIEW_AGGREGATES), profiles, len(df.columns))
+    return overview_row(aggregate(df, OVERVIEW_AGGREGATES), profiles, len(profiled_columns(df.columns)))
 
 
 def duplicate_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -69,12 +69,17 @@ def duplicate_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     return groups.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_records"))
 
 
+def _missing(column: str, columns: Sequence[str]) -> str:
+    unfit = column + UNFIT
+    return f"{column} is null and {unfit} is null" if unfit in columns else f"{column} is null"
+
+
 def quality_aggregates(columns: Sequence[str]) -> dict[str, str]:
     return {
         "total_records": "count(*)",
         "negative_prices": "count_if(unit_price < 0)",
         "zero_quantities": "count_if(quantity = 0)",
-        **{f"null_{c}": f"count_if({c} is null)" for c in columns},
+        **{f"null_{c}": f"count_if({_missing(c, columns)})" for c in profiled_columns(columns)},
     }
 
 

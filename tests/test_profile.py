@@ -1,5 +1,7 @@
 """Score formulas against published figures of the source data, and report shapes."""
 
+from decimal import Decimal
+
 from pyspark.sql import functions as F
 
 from tallyhouse.profiling import columns, exploration, insights, report, scores
@@ -60,7 +62,36 @@ def test_text_and_time_profiles(spark):
     assert (when.weekend_transactions, when.business_hours_transactions, when.date_range_days) == (2, 3, 1)
     profiles = {r.column_name: r for r in columns.column_profiles(lines, counts).collect()}
     assert (profiles["customer_id"].null_count, profiles["customer_id"].unique_count) == (1, 2)
-    assert profiles["quantity"].data_type == "decimal(12,2)"
+    assert profiles["quantity"].data_type == "decimal(18,6)"
+
+
+def test_numbers_are_exact_or_apart(spark, area):
+    rows = [
+        ("1", "A", "x", "3", "2011-01-01 10:00:00", "0.001", "7", "France"),
+        ("2", "A", "x", "2", "2011-01-01 10:00:00", "12345678901.5", "7", "France"),
+        ("3", "A", "x", "1", "2011-01-01 10:00:00", "10000000000000", "7", "France"),
+        ("4", "A", "x", "1", "2011-01-01 10:00:00", "0.0000001", "7", "France"),
+        ("5", "A", "x", "ten", "2011-01-01 10:00:00", "nan", "7", "France"),
+    ]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in columns.SOURCE_COLUMNS))
+    lines = columns.profile_lines(
+        df.withColumn("load_timestamp", F.lit("2011-02-01").cast("timestamp")).withColumn("source_file_name", F.lit("f"))
+    )
+    counts = columns.value_counts(lines)
+    profiles = {r.column_name: r for r in columns.column_profiles(lines, counts).collect()}
+    assert (profiles["unit_price"].null_count, profiles["unit_price"].unique_count) == (1, 4)
+    assert profiles["quantity"].null_count == 0
+    quarters = columns.quartiles(counts, stage=area.stage)
+    numeric = {r.column_name: r for r in columns.numeric_profiles(lines, quarters).collect()}
+    price = numeric["unit_price"]
+    assert (price.positive_count, price.zero_count, price.unfit_count, numeric["quantity"].unfit_count) == (2, 0, 2, 1)
+    assert (price.min_value, price.max_value) == (0.001, 12345678901.5)
+    assert abs(price.median - (0.001 + 12345678901.5) / 2) < 1e-4
+    priced = insights.with_revenue(lines)
+    assert priced.agg(F.sum("revenue")).first()[0] == Decimal("24691357803.003")
+    assert {r.issue: r.records for r in exploration.issue_counts(lines).collect()}["zero_or_negative_price"] == 0
+    quality = scores.quality_counts(lines).first()
+    assert (quality.null_unit_price, quality.null_quantity, quality.duplicate_records) == (1, 0, 0)
 
 
 def test_report_has_every_section(spark, area):
