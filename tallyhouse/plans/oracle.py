@@ -357,6 +357,18 @@ SELECT bronze_id, invoice_number AS invoice, stock_code, product_description AS
   CAST(unit_price AS DOUBLE) AS unit_price, customer_id, country, CAST(line_total AS DOUBLE) AS line_total, is_return,
   is_cancelled, has_customer_id, has_product_description AS has_valid_description,
   row_number() OVER (PARTITION BY invoice_number ORDER BY bronze_id) AS invoice_line_number FROM silver"""
+# The tests of the silver lines, by name, and what breaks them.
+_SILVER_TESTS = {f"not_null_{c}": f"{c} IS NULL" for c in (
+    "bronze_id", "invoice_number", "stock_code", "quantity", "unit_price", "invoice_timestamp", "invoice_date", "country", "line_total")}
+_SILVER_TESTS |= {
+    "accepted_range_quantity": "quantity NOT BETWEEN -10000 AND 10000",
+    "accepted_range_unit_price": "unit_price NOT BETWEEN 0 AND 50000",
+}
+BODIES["failing_rows"] = " UNION ALL ".join(
+    f"SELECT 'stg_bronze__online_retail' AS table_name, '{name}' AS test_name, bronze_id FROM typed WHERE {broken}"
+    for name, broken in _SILVER_TESTS.items()
+) + """ UNION ALL SELECT 'online_retail_raw', 'unique_bronze_id', bronze_id FROM bronze
+  WHERE bronze_id IN (SELECT bronze_id FROM bronze GROUP BY bronze_id HAVING count(*) > 1)"""
 BODIES["contract_rejects"] = """
 SELECT * FROM (SELECT bronze_id, concat_ws(',',
   CASE WHEN invoice_number IS NULL THEN 'invoice_number is null' END,

@@ -237,6 +237,17 @@ def line_numbers(ws: Workspace) -> DataFrame:
     return _doubles(table, "unit_price", "line_total")
 
 
+@query
+def failing_rows(ws: Workspace) -> DataFrame:
+    """Every line that fails a silver test, by test, and the raw lines that share an id."""
+    table = "stg_bronze__online_retail"
+    by_test = checks.failing_by_test(silver.typed_lines(ws.bronze), table, suites.row_checks(table))
+    shared = checks.repeated_rows(ws.bronze.select("bronze_id", "invoice"), "online_retail_raw", "bronze_id")
+    return by_test.unionByName(shared).select(
+        "table_name", "test_name", F.get_json_object("row", "$.bronze_id").alias("bronze_id")
+    )
+
+
 @query
 def contract_rejects(ws: Workspace) -> DataFrame:
     typed = silver.typed_lines(ws.bronze)

@@ -9,6 +9,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..operators.joins import broadcast_if_small
+
 RESULT_COLUMNS = (
     "check_type",
     "table_name",
@@ -62,6 +64,27 @@ def failing_rows(df: DataFrame, check: RowCheck) -> DataFrame:
     return df.where(check.failed)
 
 
+def failing_by_test(df: DataFrame, table: str, checks: Sequence[RowCheck]) -> DataFrame:
+    """(table_name, test_name, row): every row that fails a test, once for each such test, from one scan.
+
+    The row is JSON, so that rows of all tables and tests fit one table.
+    """
+    failed = F.array_compact(F.array(*[F.when(c.failed, F.lit(f"{c.check_type}_{c.column}")) for c in checks]))
+    bad = df.where(reduce(Column.__or__, [c.failed for c in checks], F.lit(False)))
+    return bad.select(F.lit(table).alias("table_name"), F.explode(failed).alias("test_name"), _as_json(df))
+
+
+def repeated_rows(df: DataFrame, table: str, column: str) -> DataFrame:
+    """The same for the `unique` test: all rows that share their value with another."""
+    shared = broadcast_if_small(repeated_keys(df, column).select(F.col(column).alias("_shared")))
+    rows = df.join(shared, F.col(column) == F.col("_shared"), "left_semi")
+    return rows.select(F.lit(table).alias("table_name"), F.lit(f"unique_{column}").alias("test_name"), _as_json(df))
+
+
+def _as_json(df: DataFrame) -> Column:
+    return F.to_json(F.struct(*df.columns)).alias("row")
+
+
 def repeated_keys(df: DataFrame, column: str) -> DataFrame:
     """Non-NULL values that occur more than once (the `unique` test)."""
     return (

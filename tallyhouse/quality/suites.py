@@ -16,7 +16,16 @@ from ..schemas import (
     VALUE_BANDS,
     VALUE_OTHER,
 )
-from .checks import RowCheck, accepted_range, accepted_values, not_null, row_check_results, unique_result
+from .checks import (
+    RowCheck,
+    accepted_range,
+    accepted_values,
+    failing_by_test,
+    not_null,
+    repeated_rows,
+    row_check_results,
+    unique_result,
+)
 
 
 def _labels(bands, other) -> list[str]:
@@ -61,10 +70,20 @@ def value_checks(table: str) -> list[RowCheck]:
     }.get(table, [])
 
 
+def row_checks(table: str) -> list[RowCheck]:
+    return [not_null(c) for c in REQUIRED_COLUMNS.get(table, ())] + value_checks(table)
+
+
 def row_suite(df: DataFrame, table: str) -> DataFrame:
     """All row tests of a table in one pass."""
-    checks = [not_null(c) for c in REQUIRED_COLUMNS.get(table, ())] + value_checks(table)
-    return row_check_results(df, table, checks)
+    return row_check_results(df, table, row_checks(table))
+
+
+def failing_rows(tables: dict[str, DataFrame]) -> DataFrame:
+    """The rows of every failed test of the given tables; see `failing_by_test`."""
+    parts = [failing_by_test(df, t, row_checks(t)) for t, df in tables.items()]
+    parts += [repeated_rows(df, t, c) for t, df in tables.items() for c in UNIQUE_COLUMNS[t]]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def unique_suite(tables: dict[str, DataFrame]) -> DataFrame:

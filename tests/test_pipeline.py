@@ -80,6 +80,7 @@ def test_pipeline_in_two_batches_equals_full_rebuild(spark, lake, files, area):
     assert results.where("not check_passed").count() == 0 and results.count() > 20
     assert lake.read("data_quality_checks", "silver").count() == results.count()
     assert lake.read("fact_sales_referential_integrity", "test_results").count() == 0
+    assert lake.read("failing_rows", "test_results").count() == 0
 
     top = lake.query(
         "SELECT p.stock_code, sum(f.line_total) AS revenue FROM gold.fact_sales f JOIN gold.dim_product p "
@@ -218,6 +219,20 @@ def test_stream_lands_each_line_once(spark, tmp_path):
     assert catch_up().count() == 7
 
 
+def test_failing_rows_by_test(spark):
+    import json
+
+    rows = [("a", 1), ("b", None), ("b", 70000), (None, None), ("c", -1)]
+    df = spark.createDataFrame(rows, "id string, price int")
+    tests = [checks.not_null("id"), checks.not_null("price"), checks.accepted_range("price", 0, 50000)]
+    found = checks.failing_by_test(df, "t", tests).unionByName(checks.repeated_rows(df, "t", "id")).collect()
+    got = sorted((r.test_name, json.loads(r.row).get("id") or "", json.loads(r.row).get("price") or 0) for r in found)
+    assert got == [
+        ("accepted_range_price", "b", 70000), ("accepted_range_price", "c", -1), ("not_null_id", "", 0),
+        ("not_null_price", "", 0), ("not_null_price", "b", 0), ("unique_id", "b", 0), ("unique_id", "b", 70000),
+    ]
+
+
 def test_contract_splits_rows(spark):
     df = spark.createDataFrame([(1, "a"), (0, "b"), (None, "c"), (2, None)], "quantity int, country string")
     good, bad = checks.enforce_contract(
