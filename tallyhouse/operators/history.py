@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import row_digest, surrogate_key
 from .joins import lookup_join
@@ -66,6 +66,28 @@ def scd2_apply(history: DataFrame, snapshot: DataFrame, key: str, tracked: Seque
     return closed.unionByName(matched.select(F.inline(versions)))
 
 
+def scd2_from_snapshots(snapshots: DataFrame, key: str, tracked: Sequence[str], taken: str = "snapshot_date") -> DataFrame:
+    """The history that snapshots tell, in whatever order they came.
+
+    `snapshots` has a row for each key and day (`taken`) on which the key was seen; a key that is
+    absent on a day stays as it was. A version begins on a day whose row differs from the
+    key's row before, and ends where the next one begins, so a late snapshot splits a
+    version, and ends the one it starts on the next day the key was seen. One shuffle by
+    key; a key has a row a snapshot at most, few enough for a window.
+    """
+    tracked = list(tracked)
+    days = Window.partitionBy(key).orderBy(taken)
+    told = row_digest(tracked)
+    starts = snapshots.select(key, *tracked, F.col(taken).alias("effective_date"), F.lag(told).over(days).alias("_before"), told.alias("_told"))
+    starts = starts.where(F.col("_before").isNull() | (F.col("_before") != F.col("_told")))
+    versions = Window.partitionBy(key).orderBy("effective_date")
+    ends = F.lead("effective_date").over(versions)
+    return starts.select(
+        key, *tracked, "effective_date", ends.alias("expiration_date"), ends.isNull().alias("is_current"),
+        F.row_number().over(versions).alias("version_number"),
+    )
+
+
 def version_key(key: str):
     """Surrogate key of one version: the natural key with its start date."""
     return surrogate_key(key, "effective_date")

@@ -369,6 +369,16 @@ BODIES["failing_rows"] = " UNION ALL ".join(
     for name, broken in _SILVER_TESTS.items()
 ) + """ UNION ALL SELECT 'online_retail_raw', 'unique_bronze_id', bronze_id FROM bronze
   WHERE bronze_id IN (SELECT bronze_id FROM bronze GROUP BY bronze_id HAVING count(*) > 1)"""
+BODIES["segment_history"] = """
+SELECT customer_id, frequency_segment, day AS effective_date, lead(day) OVER w AS expiration_date,
+  lead(day) OVER w IS NULL AS is_current, CAST(row_number() OVER w AS INTEGER) AS version_number
+FROM (SELECT *, lag(frequency_segment) OVER (PARTITION BY customer_id ORDER BY day) AS before FROM (
+    SELECT customer_id, day, CASE WHEN count(*) >= 10 THEN 'Frequent' WHEN count(*) >= 5 THEN 'Regular'
+      WHEN count(*) >= 2 THEN 'Occasional' ELSE 'One-time' END AS frequency_segment
+    FROM (SELECT customer_id, invoice_number, min(invoice_date) AS ordered FROM silver WHERE customer_id IS NOT NULL GROUP BY 1, 2)
+    JOIN (SELECT make_date(y::INTEGER, 1, 1) AS day FROM range(1996, 2002) AS r(y)) ON ordered < day GROUP BY 1, 2))
+WHERE before IS DISTINCT FROM frequency_segment
+WINDOW w AS (PARTITION BY customer_id ORDER BY day)"""
 BODIES["contract_rejects"] = """
 SELECT * FROM (SELECT bronze_id, concat_ws(',',
   CASE WHEN invoice_number IS NULL THEN 'invoice_number is null' END,

@@ -15,7 +15,7 @@ from ..operators.bronze import LoadBatch
 from ..operators.joins import lookup_join
 from ..profiling import columns, exploration, insights, report, scores
 from ..quality import checks, pipeline_checks, suites
-from ..schemas import SOURCE_COLUMNS
+from ..schemas import FREQUENCY_BANDS, FREQUENCY_OTHER, SOURCE_COLUMNS
 from ..sources import Lake, compare_tables, convert_to_parquet, read_source
 from ..sources.readers import read_lines
 from ..streaming import bronze_stream, land_stream, stream_layers as stream_into_layers
@@ -255,6 +255,23 @@ def contract_rejects(ws: Workspace) -> DataFrame:
     return rejected.select("bronze_id", F.concat_ws(",", "broken_rules").alias("broken_rules"))
 
 
+SNAPSHOT_DAYS = [date(year, 1, 1) for year in (1999, 1996, 2001, 1997, 2000, 1998)]
+
+
+@query
+def segment_history(ws: Workspace) -> DataFrame:
+    """Versions of each customer's order frequency, from yearly snapshots that come in no order."""
+    orders = ws.silver.where(F.col("customer_id").isNotNull()).groupBy("customer_id", "invoice_number").agg(
+        F.min("invoice_date").alias("ordered")
+    )
+    days = F.filter(F.array(*[F.lit(d) for d in SNAPSHOT_DAYS]), lambda d: d > F.col("ordered"))
+    seen = orders.select("customer_id", F.explode(days).alias("snapshot_date")).groupBy("customer_id", "snapshot_date").count()
+    band = F.lit(FREQUENCY_OTHER)
+    for bound, label in reversed(FREQUENCY_BANDS):
+        band = F.when(F.col("count") >= bound, label).otherwise(band)
+    return history.scd2_from_snapshots(seen.withColumn("frequency_segment", band), "customer_id", ("frequency_segment",))
+
+
 # --- customers and products -----------------------------------------------------------
 
 

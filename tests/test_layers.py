@@ -231,3 +231,28 @@ def test_upsert_rows(spark):
     target = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
     delta = spark.createDataFrame([("b", 20), ("c", 30)], "k string, v int")
     assert {tuple(r) for r in upsert_rows(target, delta, "k").collect()} == {("a", 1), ("b", 20), ("c", 30)}
+
+
+def test_snapshots_in_any_order_give_one_history(spark):
+    import random
+
+    from tallyhouse.operators.history import scd2_apply, scd2_from_snapshots, scd2_start
+
+    rng, days = random.Random(6), [date(2011, 1, d) for d in (1, 3, 5, 6, 9)]
+    rows = [(f"k{k}", rng.choice("ab"), d) for d in days for k in range(30) if rng.random() < 0.8]
+    frame = lambda part: spark.createDataFrame(part, "k string, v string, snapshot_date date")
+    history = None
+    for d in days:
+        now = frame([r for r in rows if r[2] == d]).drop("snapshot_date")
+        history = scd2_start(now, "k", ["v"], d) if history is None else scd2_apply(history, now, "k", ["v"], d)
+    want = sorted(map(str, history.select("k", "v", "effective_date", "expiration_date", "is_current", "version_number").collect()))
+    rng.shuffle(rows)
+    found = scd2_from_snapshots(frame(rows), "k", ["v"])
+    assert sorted(map(str, found.collect())) == want and found.where("version_number > 2").count() > 3
+    # Without its third day, which then comes late, a key's version is split.
+    part = frame([("k", "a", days[0]), ("k", "a", days[4])])
+    assert scd2_from_snapshots(part, "k", ["v"]).count() == 1
+    late = scd2_from_snapshots(part.union(frame([("k", "b", days[2])])), "k", ["v"]).orderBy("version_number").collect()
+    assert [(r.v, r.effective_date, r.expiration_date) for r in late] == [
+        ("a", days[0], days[2]), ("b", days[2], days[4]), ("a", days[4], None)
+    ]

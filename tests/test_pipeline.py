@@ -65,6 +65,8 @@ def test_pipeline_in_two_batches_equals_full_rebuild(spark, lake, files, area):
     assert lake.read("fact_sales").count() == 6  # the late December line is there too
     assert lake.read("fact_sales").select("sale_month").distinct().count() == 3
 
+    versions = lake.read("dim_product_history")
+    assert versions.where("is_current").count() == lake.read("dim_product").count() == versions.select("version_key").distinct().count()
     extended = facts(lake)
     pipeline.build_gold(lake, area, as_of=as_of)
     assert facts(lake) == extended  # nothing new, nothing changes
