@@ -780,8 +780,10 @@ SELECT count(*) AS total_records, min(invoice_date) AS first_date, max(invoice_d
   CAST(CAST(sum(revenue) AS VARCHAR) AS DOUBLE) AS total_revenue, CAST(CAST(sum(revenue) AS VARCHAR) AS DOUBLE) / count(revenue) AS revenue_per_line,
   CAST(bool_or(quantity < 0) AS INTEGER) + CAST(bool_or(unit_price <= 0) AS INTEGER)
     + CAST(bool_or(customer_id IS NULL) AS INTEGER) + CAST(bool_or(description IS NULL) AS INTEGER) AS data_quality_issues,
-  count(*) FILTER (WHERE description IS NULL) AS missing_description,
-  count(*) FILTER (WHERE customer_id IS NULL) AS missing_customer,
+  count(*) - count(invoice) AS missing_invoice, count(*) - count(stock_code) AS missing_stock_code,
+  count(*) - count(description) AS missing_description, count(*) - count(quantity_text) AS missing_quantity,
+  count(*) - count(invoice_date) AS missing_invoice_date, count(*) - count(unit_price_text) AS missing_unit_price,
+  count(*) - count(customer_id) AS missing_customer, count(*) - count(country) AS missing_country, 8 AS total_columns,
   (SELECT CAST(CAST(sum(v) AS VARCHAR) AS DOUBLE) / count(v) FROM (SELECT sum(revenue) AS v FROM profile GROUP BY invoice)) AS avg_order_value,
   count(DISTINCT customer_id) AS unique_customers, count(DISTINCT stock_code) AS unique_products,
   count(DISTINCT country) AS countries FROM profile"""

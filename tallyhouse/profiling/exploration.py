@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import as_double
+from ..schemas import SOURCE_COLUMNS
 from .insights import median
 from .scores import distinct_row, merge_rows
 
@@ -97,10 +98,10 @@ def issue_counts(lines: DataFrame) -> DataFrame:
 
 
 def exploration_summary(lines: DataFrame, profiles: DataFrame) -> DataFrame:
-    """One record: size, span, revenue, distinct keys, number of issues, missing values.
+    """One record: rows and columns, span, revenue, distinct keys, number of issues, missing values of each column.
 
-    Distinct counts come from the column profiles; the mean order value sums each invoice
-    first.
+    Distinct and missing counts come from the column profiles; the mean order value sums
+    each invoice first.
     """
     at = F.col("invoice_date")
     totals = lines.agg(
@@ -115,14 +116,15 @@ def exploration_summary(lines: DataFrame, profiles: DataFrame) -> DataFrame:
             + F.max(F.col("customer_id").isNull().cast("int"))
             + F.max(F.col("description").isNull().cast("int"))
         ).alias("data_quality_issues"),
-        F.count_if(F.col("description").isNull()).alias("missing_description"),
-        F.count_if(F.col("customer_id").isNull()).alias("missing_customer"),
+        F.lit(len(SOURCE_COLUMNS)).alias("total_columns"),
     )
+    nulls = lambda c: F.max(F.when(F.col("column_name") == c, F.col("null_count")))
+    missing = profiles.agg(*[nulls(c).alias(f"missing_{c.removesuffix('_id')}") for c in SOURCE_COLUMNS])
     orders = lines.where(F.col("invoice").isNotNull()).groupBy("invoice").agg(F.sum("revenue").alias("value"))
     order_value = orders.agg((as_double(F.sum("value")) / F.count("value")).alias("avg_order_value"))
     names = {"unique_customers": "customer_id", "unique_products": "stock_code", "countries": "country"}
     distinct = distinct_row(profiles, names)
-    return merge_rows(totals, order_value, distinct)
+    return merge_rows(totals, order_value, distinct, missing)
 
 
 def as_json(report: DataFrame) -> DataFrame:

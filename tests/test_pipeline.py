@@ -221,6 +221,18 @@ def test_stream_lands_each_line_once(spark, tmp_path):
     assert catch_up().count() == 7
 
 
+def test_profile_is_stored_with_each_run(lake, files, area):
+    for _ in range(2):
+        pipeline.load_bronze(lake, str(files / "first.csv"))
+        sections = pipeline.run_profile(lake, area, str(files / "report"))
+    metrics = lake.read("quality_metrics", "silver")
+    assert metrics.count() == 16 and metrics.select("load_id", "measured_at").distinct().count() == 2
+    totals = {r.metric_value for r in metrics.where("metric_name = 'total_records'").collect()}
+    assert totals == {5.0, 10.0}
+    written = lake.spark.read.json(str(files / "report"))
+    assert {r.section for r in written.select("section").distinct().collect()} <= set(sections) and written.count() > 40
+
+
 def test_failing_rows_by_test(spark):
     import json
 
