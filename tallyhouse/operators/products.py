@@ -22,24 +22,40 @@ def product_measures(silver: DataFrame, *, valid_only: bool = True) -> DataFrame
     """Sales and return measures per stock code.
 
     With `valid_only` no return line gets in, so the return measures are zero;
-    `valid_only=False` counts returns for real. All state is of fixed width, so this stays
-    a hash aggregation; distinct customers and countries are counted after a shuffle that
-    includes them, so a hot product is spread.
+    `valid_only=False` counts returns for real. Lines are summed once by product, customer
+    and country; customers and countries are then counted from those sums, whose shuffle
+    both share, so no line is sent twice and a hot product is spread. All state is of fixed
+    width, so this stays a hash aggregation.
     """
     lines = silver.where(F.col("is_valid_transaction")) if valid_only else silver
     sold, returned = ~F.col("is_return"), F.col("is_return")
     price = F.when(sold, F.col("unit_price"))
-    summed = lines.groupBy("stock_code").agg(
-        F.countDistinct(F.when(sold, F.col("customer_id"))).alias("unique_customers"),
-        F.count(F.lit(1)).alias("total_transactions"),
-        F.sum(F.when(sold, F.col("quantity")).otherwise(0)).alias("total_units_sold"),
-        F.sum(F.when(returned, F.abs("quantity")).otherwise(0)).alias("total_units_returned"),
-        F.sum(F.when(sold, F.col("line_total")).otherwise(0)).alias("total_revenue"),
-        (as_double(F.sum(price)) / F.count(price)).alias("avg_unit_price"),
-        F.count_if(returned).alias("return_count"),
-        F.countDistinct("country").alias("countries_sold_in"),
-        F.min("invoice_date").alias("first_sale_date"),
-        F.max("invoice_date").alias("last_sale_date"),
+    sums = {
+        "total_units_sold": F.sum(F.when(sold, F.col("quantity")).otherwise(0)),
+        "total_units_returned": F.sum(F.when(returned, F.abs("quantity")).otherwise(0)),
+        "total_revenue": F.sum(F.when(sold, F.col("line_total")).otherwise(0)),
+        "_prices": F.sum(price),
+        "_priced": F.count(price),
+        "_sold": F.count_if(sold),
+        "total_transactions": F.count(F.lit(1)),
+        "return_count": F.count_if(returned),
+    }
+    days = {"first_sale_date": F.min, "last_sale_date": F.max}
+    groups = lines.groupBy("stock_code", "customer_id", "country").agg(
+        *[c.alias(n) for n, c in sums.items()], *[f("invoice_date").alias(n) for n, f in days.items()]
+    )
+    again = [F.sum(n).alias(n) for n in sums] + [f(n).alias(n) for n, f in days.items()]
+    customers = groups.groupBy("stock_code", "customer_id").agg(*again)
+    buyers = F.count_if(F.col("customer_id").isNotNull() & (F.col("_sold") > 0))
+    figures = customers.groupBy("stock_code").agg(buyers.alias("unique_customers"), *again)
+    places = groups.select("stock_code", "country").distinct().groupBy(F.col("stock_code").alias("_code")).agg(
+        F.count("country").alias("countries_sold_in")
+    )
+    summed = figures.join(places, F.col("stock_code").eqNullSafe(F.col("_code"))).select(
+        "stock_code", "unique_customers", "total_transactions", "total_units_sold", "total_units_returned",
+        F.col("total_revenue").cast("decimal(25,2)").alias("total_revenue"),
+        (as_double("_prices") / F.col("_priced")).alias("avg_unit_price"),
+        "return_count", "countries_sold_in", *days,
     )
     units = F.col("total_units_sold")
     return summed.select(

@@ -214,7 +214,8 @@ SELECT batch_id, CASE WHEN lost * 200 > lines THEN 'FAILED' ELSE 'SUCCESS' END A
 
 BLOCKS["profile"] = """
 SELECT *, CASE WHEN quantity IS NULL THEN quantity_text END AS quantity_unfit,
-  CASE WHEN unit_price IS NULL THEN unit_price_text END AS unit_price_unfit, quantity * unit_price AS revenue
+  CASE WHEN unit_price IS NULL THEN unit_price_text END AS unit_price_unfit,
+  CAST(quantity AS DECIMAL(38,6)) * CAST(unit_price AS DECIMAL(38,6)) AS revenue
 FROM (SELECT nullif(invoice, 'nan') AS invoice, nullif(stock_code, 'nan') AS stock_code, nullif(description, 'nan') AS description,
   nullif(quantity, 'nan') AS quantity_text, nullif(unit_price, 'nan') AS unit_price_text,
   CASE WHEN CAST(TRY_CAST(quantity AS DECIMAL(18,6)) AS DOUBLE) = TRY_CAST(quantity AS DOUBLE)
