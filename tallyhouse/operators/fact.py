@@ -75,16 +75,27 @@ def fact_sales_daily(fact: DataFrame) -> DataFrame:
     """Sales per day, product and country.
 
     Quantity and sales cover lines that are not returns; total_returns counts return
-    lines; net is sales less the absolute amount of the returns.
+    lines; net is sales less the absolute amount of the returns. Distinct customers and
+    invoices are counted from one row each per group, summed up beside the measures, so no
+    line is expanded and a group of any size is combined before it is shuffled.
     """
-    returned = F.col("is_return")
-    daily = fact.groupBy("date_key", "product_key", "geography_key").agg(
-        F.sum(F.when(~returned, F.col("quantity")).otherwise(0)).alias("total_quantity"),
-        F.sum(F.when(~returned, F.col("line_total")).otherwise(0)).alias("total_sales_amount"),
-        F.count_if(returned).alias("total_returns"),
-        F.sum(F.when(returned, F.abs("line_total")).otherwise(0)).alias("total_return_amount"),
-        F.countDistinct("customer_key").alias("unique_customers"),
-        F.countDistinct("invoice_number").alias("unique_invoices"),
+    keys, returned = ("date_key", "product_key", "geography_key"), F.col("is_return")
+    measures = {
+        "total_quantity": F.sum(F.when(~returned, F.col("quantity")).otherwise(0)),
+        "total_sales_amount": F.sum(F.when(~returned, F.col("line_total")).otherwise(0)),
+        "total_returns": F.count_if(returned),
+        "total_return_amount": F.sum(F.when(returned, F.abs("line_total")).otherwise(0)),
+    }
+    by_customer = fact.groupBy(*keys, "customer_key").agg(*[m.alias(n) for n, m in measures.items()])
+    kinds = dict(by_customer.dtypes)
+    customers = by_customer.withColumn("unique_customers", F.col("customer_key").isNotNull().cast("bigint"))
+    invoices = fact.select(*keys, "invoice_number").distinct().select(
+        *keys, F.col("invoice_number").isNotNull().cast("bigint").alias("unique_invoices")
+    )
+    daily = customers.drop("customer_key").unionByName(invoices, allowMissingColumns=True).groupBy(*keys).agg(
+        *[F.sum(n).cast(kinds[n]).alias(n) for n in measures],
+        F.sum("unique_customers").alias("unique_customers"),
+        F.sum("unique_invoices").alias("unique_invoices"),
     )
     net = F.col("total_sales_amount") - F.col("total_return_amount")
     return daily.withColumn("net_sales_amount", net)

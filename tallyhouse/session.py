@@ -51,6 +51,18 @@ def shared_folder(spark: SparkSession) -> str:
     return (configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/_shared").rstrip("/")
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries of a folder; none if there is no such folder."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in fs.listStatus(folder)) if fs.exists(folder) else []
+
+
 class StagingArea:
     """Parquet copies of intermediates that more than one plan reads.
 
@@ -85,17 +97,12 @@ class StagingArea:
 
     def drop(self, staged: DataFrame) -> None:
         """Delete one table of this area, as `stage` returned it, that no later plan reads."""
-        self._delete(self._paths.pop(id(staged)))
-
-    def _delete(self, path: str) -> None:
-        hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        fs = hadoop_path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        fs.delete(hadoop_path, True)
+        delete_folder(self.spark, self._paths.pop(id(staged)))
 
     def clear(self) -> None:
         if self._folder is None:
             return
-        self._delete(self._folder)
+        delete_folder(self.spark, self._folder)
         self._folder = None
 
     def _clear_at_exit(self) -> None:
