@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import math
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -16,18 +17,25 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.functions import pandas_udf
 
 from ..session import StagingArea
-from .common import python_ready, read_table, scratch
+from .common import broadcast_if_small, python_ready, read_table, scratch
 
 VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 TRAINING_DOCS = 2000
-PART_BITS = 12
+# Rows ranked for a sample row: the share of the hash range that is ranked holds this many times the sample.
+MARGIN = 4
 ROUNDS = 2
 SMOOTHING = 0.1
 UNKNOWN = "und"
 
 _LETTERS = re.compile(r"[^\W\d_]+")
-_CACHED_WORDS = 400_000
+# Words scored are remembered up to about this many bytes in a Python worker.
+_CACHED_BYTES = 32 << 20
+_WORD_BYTES = 200
+# Words counted before they are handed on, by number and by letters.
+_COUNTED_WORDS, _COUNTED_LETTERS = 400_000, 8_000_000
 _SHORT = 32
+# A longer run of letters is learned in parts of this many.
+_PART = 128
 # A found piece is its number times _SIZES plus its length; no piece is that long.
 _SIZES = 1 << 16
 
@@ -51,6 +59,15 @@ def words_of(text: str) -> list[str]:
     return ["▁" + w for w in _LETTERS.findall(text.lower())]
 
 
+def training_words(text: str) -> Iterator[str]:
+    """The words of a text; a run of more than `_PART` letters in consecutive parts, so that none is left out."""
+    for word in words_of(text):
+        if len(word) <= _PART:
+            yield word
+        else:
+            yield from (word[i : i + _PART] for i in range(0, len(word), _PART))
+
+
 class Scorer:
     """Log likelihood of words under each language, by the forward algorithm.
 
@@ -72,6 +89,7 @@ class Scorer:
 
     def _clear(self) -> None:
         self.known: dict[str, int] = {}
+        self.held = 0
         self.rows = np.zeros((1024, self.table.shape[1]))
 
     def _same_length(self, words: list[str], length: int) -> np.ndarray:
@@ -121,9 +139,12 @@ class Scorer:
 
     def learn(self, words: set[str]) -> None:
         fresh = [w for w in words if w not in self.known]
-        if len(self.known) + len(fresh) > _CACHED_WORDS:
+        size = sum(_WORD_BYTES + 2 * len(w) + 8 * self.table.shape[1] for w in fresh)
+        if self.held + size > _CACHED_BYTES:
             self._clear()
             fresh = list(words)
+            size = sum(_WORD_BYTES + 2 * len(w) + 8 * self.table.shape[1] for w in fresh)
+        self.held += size
         need = len(self.known) + len(fresh)
         if need > len(self.rows):
             self.rows = np.vstack([self.rows, np.zeros((max(need, len(self.rows)), self.rows.shape[1]))])
@@ -160,8 +181,17 @@ def portions(texts: list, most: int = 2_000_000) -> Iterator[list]:
         yield part
 
 
+def _added(logs: list[float]) -> float:
+    """The logarithm of a sum, from those of its terms."""
+    high = max(logs, default=-math.inf)
+    return high if high == -math.inf else high + math.log(sum(math.exp(x - high) for x in logs))
+
+
 def expected_pieces(word: str, index: dict[str, int], longest: int, chance: np.ndarray) -> dict[int, float]:
-    """How often each piece is expected in a word, over all of its segmentations."""
+    """How often each piece is expected in a word, over all of its segmentations.
+
+    Products over a long word leave the range of a double, so those are kept as logarithms.
+    """
     n = len(word)
     edges = [
         (s, e, i)
@@ -170,14 +200,30 @@ def expected_pieces(word: str, index: dict[str, int], longest: int, chance: np.n
         if (i := index.get(word[s:e], -1 if e - s == 1 else None)) is not None
     ]
     rare = float(chance.min())
+    found: dict[int, float] = defaultdict(float)
+    weighted = [(s, e, i, float(chance[i]) if i >= 0 else rare) for s, e, i in edges]
+    if n > _SHORT:
+        into, out = defaultdict(list), defaultdict(list)
+        for s, e, i, p in weighted:
+            if p > 0:
+                into[e].append((s, math.log(p)))
+                out[s].append((e, math.log(p)))
+        ahead, behind = [0.0] * (n + 1), [0.0] * (n + 1)
+        for e in range(1, n + 1):
+            ahead[e] = _added([ahead[s] + p for s, p in into[e]])
+        for s in range(n - 1, -1, -1):
+            behind[s] = _added([behind[e] + p for e, p in out[s]])
+        if ahead[n] > -math.inf:
+            for s, e, i, p in weighted:
+                if i >= 0 and p > 0:
+                    found[i] += math.exp(ahead[s] + math.log(p) + behind[e] - ahead[n])
+        return found
     forward, backward = [0.0] * (n + 1), [0.0] * (n + 1)
     forward[0] = backward[n] = 1.0
-    weighted = [(s, e, i, float(chance[i]) if i >= 0 else rare) for s, e, i in edges]
     for s, e, _, p in weighted:
         forward[e] += forward[s] * p
     for s, e, _, p in reversed(weighted):
         backward[s] += backward[e] * p
-    found: dict[int, float] = defaultdict(float)
     if forward[n] > 0:
         for s, e, i, p in weighted:
             if i >= 0:
@@ -187,6 +233,7 @@ def expected_pieces(word: str, index: dict[str, int], longest: int, chance: np.n
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: Counter = Counter()
+    letters = 0
 
     def flush():
         rows = list(counts.items())
@@ -201,39 +248,50 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-            counts.update((lang, w) for w in words_of(text) if len(w) <= _SHORT)
-            if len(counts) > _CACHED_WORDS:
+            counts.update((lang, w) for w in training_words(text))
+            letters += len(text)
+            if len(counts) > _COUNTED_WORDS or letters > _COUNTED_LETTERS:
                 yield flush()
+                letters = 0
     yield flush()
 
 
+def _place():
+    return F.xxhash64("doc_id", "text").alias("h")
+
+
+def sample_rows(docs: DataFrame, per_language: int, area: StagingArea) -> DataFrame:
+    """label and place of the first `per_language` rows of each language, by the hash of id and text, equal rows once.
+
+    How many different rows a language has, to some hundredths, tells how much of the hash range
+    holds `MARGIN` times the sample; only rows in there are made distinct and ranked, some
+    thousands for a language of any size.
+    """
+    placed = docs.where("text is not null and lang is not null").select(F.col("lang").alias("label"), _place())
+    sizes = area.stage(placed.groupBy(F.col("label").alias("of")).agg(F.approx_count_distinct("h").alias("n")), "sizes")
+    share = (F.col("h").cast("double") + 2.0**63) / 2.0**64
+    near = placed.join(broadcast_if_small(sizes), F.col("label") == F.col("of")).where(share * F.col("n") <= MARGIN * per_language)
+    order = Window.partitionBy("label").orderBy("h")
+    ranked = near.select("label", "h").distinct().withColumn("nth", F.row_number().over(order))
+    return ranked.where(F.col("nth") <= per_language).select("label", F.col("h").alias("place"))
+
+
 def train(docs: DataFrame, path: str = VOCABULARY, per_language: int = TRAINING_DOCS, area: StagingArea | None = None):
     """(languages, pieces, table): piece probabilities per language, or None without a labelled row.
 
     Learns from `docs` (doc_id, text, lang) with neither text nor lang null: the
-    `per_language` documents of each language that come first by the hash of their id, so
-    the sample is bounded. Word counts are summed in Spark; each round of expectation and
+    `per_language` documents of each language that come first by the hash of id and text,
+    equal rows once, so the sample is bounded. Word counts are summed in Spark; each round of expectation and
     maximisation spreads the distinct words over the tasks and sums the expected piece
-    counts, at most one per piece and language. Words of over 31 letters are left out here.
+    counts, at most one per piece and language.
     """
     spark = docs.sparkSession
     python_ready(spark)
     area = scratch(spark, area)
-    rows = docs.where("text is not null and lang is not null")
-    placed = rows.select(F.col("doc_id").alias("id"), F.col("lang").alias("label"), F.xxhash64("doc_id").alias("h"))
-    # Counts of equal parts of the hash range tell where each language's sample ends, so that only
-    # the rows up to there are ranked, however many a language has.
-    placed = placed.withColumn("part", F.shiftright("h", 64 - PART_BITS))
-    counts = placed.groupBy("label", "part").count()
-    upto = F.sum("count").over(Window.partitionBy("label").orderBy("part")) - F.col("count")
-    ends = counts.withColumn("before", upto).where(F.col("before") < per_language)
-    ends = ends.groupBy(F.col("label").alias("of")).agg(F.max("part").alias("end"))
-    near = placed.join(ends, (F.col("label") == F.col("of")) & (F.col("part") <= F.col("end")))
-    order = Window.partitionBy("label").orderBy("h", "id")
-    sample = near.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= per_language).select("id", "label")
-    picked = rows.join(
-        F.broadcast(sample.distinct()), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("lang") == F.col("label"))
-    )
+    sample = area.stage(sample_rows(docs, per_language, area), "sample")
+    rows = docs.where("text is not null and lang is not null").select("lang", "text", _place())
+    picked = rows.join(broadcast_if_small(sample), (F.col("h") == F.col("place")) & (F.col("lang") == F.col("label")))
+    picked = picked.groupBy("lang", "h").agg(F.first("text").alias("text"))
     counted = picked.select("lang", "text").mapInArrow(_count_words, "lang string, word string, n bigint")
     words = area.stage(counted.groupBy("lang", "word").agg(F.sum("n").alias("n")), "words")
     languages = sorted(r[0] for r in words.select("lang").distinct().collect())
@@ -313,10 +371,16 @@ def identify(docs: DataFrame, training: DataFrame, area: StagingArea | None = No
 
 
 def keep_identified(docs: DataFrame, least: float = 0.5, area: StagingArea | None = None) -> DataFrame:
-    """The rows of `docs` whose language is known with a score of `least` or more, unchanged."""
+    """The rows of `docs` whose language is known with a score of `least` or more, unchanged.
+
+    Null, empty and letterless texts go; repeated rows stay repeated, other columns are carried along.
+    """
     predict = predictor(docs.sparkSession, train(training_rows(docs), area=area))
-    packed = docs.select(F.struct("*").alias("row")).select("row", predict("row.text").alias("found"))
-    return packed.where((F.col("found.lang") != UNKNOWN) & (F.col("found.score") >= least)).select("row.*")
+    # A name that no column has, so that the row need not be packed, its text held twice, beside the text that is read.
+    taken = {c.lower() for c in docs.columns}
+    found = next(name for n in itertools.count() if (name := f"found_{n}") not in taken)
+    marked = docs.withColumn(found, predict("text"))
+    return marked.where((F.col(found)["lang"] != UNKNOWN) & (F.col(found)["score"] >= least)).drop(found)
 
 
 def held_out():
