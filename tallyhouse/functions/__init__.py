@@ -7,11 +7,13 @@ from .columns import (
     iso_week,
     keyword_label,
     null_if_token,
+    packed_key,
     record_hash,
     row_digest,
     row_fingerprint,
     safe_divide,
     surrogate_key,
+    unpacked_key,
 )
 
 __all__ = [
@@ -23,9 +25,11 @@ __all__ = [
     "iso_week",
     "keyword_label",
     "null_if_token",
+    "packed_key",
     "record_hash",
     "row_digest",
     "row_fingerprint",
     "safe_divide",
     "surrogate_key",
+    "unpacked_key",
 ]
