@@ -6,19 +6,19 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions import as_double
+from ..functions import as_double, packed_key
 
 PASS, FAIL = "✅ PASS", "❌ FAIL"  # fixed values
 
 
 def key_usage(fact: DataFrame) -> DataFrame:
-    """Rows per dimension key of the fact: (dimension, key, n), from one pass.
+    """Rows per dimension key of the fact: (dimension, packed key, n), from one pass.
 
     Counting first turns the later joins into joins of distinct keys, however hot one is.
     """
     pairs = F.array(
         *[
-            F.struct(F.lit(c).alias("dimension"), F.col(c).cast("string").alias("key"))
+            F.struct(F.lit(c).alias("dimension"), packed_key(c).alias("key"))
             for c in ("product_key", "date_key", "customer_key")
         ]
     )
@@ -31,7 +31,7 @@ def orphan_counts(fact: DataFrame, dim_product: DataFrame, dim_date: DataFrame,
     dims = {"product_key": dim_product, "date_key": dim_date, "customer_key": dim_customer}
     known = reduce(
         DataFrame.unionByName,
-        [d.select(F.lit(c).alias("dimension"), F.col(c).cast("string").alias("key")) for c, d in dims.items()],
+        [d.select(F.lit(c).alias("dimension"), packed_key(c).alias("key")) for c, d in dims.items()],
     )
     lost = key_usage(fact).join(known, ["dimension", "key"], "left_anti")
     missing = F.col("key").isNull()
