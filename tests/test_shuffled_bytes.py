@@ -111,3 +111,8 @@ def test_counts_of_one_column_count_no_other(ws):
 
 def test_staged_tables_are_compressed_well(spark, area):
     assert all(".zstd.parquet" in f for f in area.stage(spark.range(10)).inputFiles())
+
+
+def test_repeated_keys_stage_nothing(ws):
+    queries.repeated_hash_keys(ws)
+    assert not ws._tables
