@@ -5,8 +5,9 @@ from __future__ import annotations
 import functools
 import math
 import operator
+from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..session import StagingArea
 from .common import broadcast_if_small, read_table, release, scratch
@@ -16,8 +17,9 @@ PART, WHOLE = 4, 5
 # Word frequencies are summed by hash bucket; their classes are a constant of the plan.
 BUCKETS = 1 << 14
 # The join on prefix tokens is made in so many passes over the sets.
-PASSES = 4
-# Sets of more than LONG tokens have LONG_BITS words of 64 bits for the bit filter, others one.
+PASSES = 5
+# Words of 64 bits for the bit filter: one up to MEDIUM tokens, then MEDIUM_BITS, and LONG_BITS above LONG.
+MEDIUM, MEDIUM_BITS = 32, 4
 LONG, LONG_BITS = 80, 8
 
 
@@ -68,8 +70,8 @@ def _sets(docs: DataFrame, classes: Column, area: StagingArea) -> tuple[DataFram
     A set is numbered in the order of its first line (doc_id, content, line number), so a
     lower id is an earlier line. `prefix` has 32 bits of each token: a chance clash brings
     two lines together that are then told apart. Bit i of `bits` is flipped for each token
-    of hash i: two sets differ in at least as many tokens as their bits do. Long sets have
-    more such bits.
+    of hash i: two sets differ in at least as many tokens as their bits do. Larger sets have
+    more such bits, for few words let pairs pass that differ in half as many tokens again as they may.
     """
     tokens = _lines(docs).select("doc_id", "content", "line_no", _tokens(classes).alias("tokens"))
     size = F.size("tokens")
@@ -80,16 +82,18 @@ def _sets(docs: DataFrame, classes: Column, area: StagingArea) -> tuple[DataFram
     bit = lambda t: F.call_function("shiftleft", one, t.bitwiseAND(F.lit(63)).cast("int"))
     flips = F.aggregate("tokens", zero, lambda bits, t: bits.bitwiseXOR(bit(t)))
 
-    def part(i: int) -> Column:
-        own = lambda t: F.shiftrightunsigned(t, 6).bitwiseAND(F.lit(LONG_BITS - 1)) == i
-        flip = lambda bits, t: F.when(own(t), bits.bitwiseXOR(bit(t))).otherwise(bits)
-        return F.when(size > LONG, F.aggregate("tokens", zero, flip)).otherwise(zero)
+    def words(n: int) -> Column:
+        def part(i: int) -> Column:
+            own = lambda t: F.shiftrightunsigned(t, 6).bitwiseAND(F.lit(n - 1)) == i
+            return F.aggregate("tokens", zero, lambda bits, t: F.when(own(t), bits.bitwiseXOR(bit(t))).otherwise(bits))
 
-    long_bits = F.array(*[part(i) for i in range(LONG_BITS)])
+        return F.array(*[part(i) for i in range(n)])
+
+    long_bits = F.when(size > LONG, words(LONG_BITS)).when(size > MEDIUM, words(MEDIUM_BITS))
     marked = tokens.where(size > 0).select(
         "doc_id", "content", "line_no", F.xxhash64("tokens").alias("sig"), F.xxhash64(F.lit(1), "tokens").alias("sig2"),
         size.alias("size"), prefix.alias("prefix"), flips.alias("bits"),
-        F.when(size > LONG, long_bits).alias("long_bits"),
+        long_bits.alias("long_bits"),
     )
     lines = area.stage(marked, "lines")
     grouped = lines.groupBy("sig", "sig2").agg(
@@ -109,11 +113,19 @@ def _may_match(position: bool = True) -> Column:
     """Length, positional and bit filters for columns a_* and b_*; no true match fails one."""
     both = F.col("a_size") + F.col("b_size")
     differ = F.bit_count(F.col("a_bits").bitwiseXOR(F.col("b_bits")))
-    both_long = F.col("a_long_bits").isNotNull() & F.col("b_long_bits").isNotNull()
-    parts = [
-        F.bit_count(F.get("a_long_bits", F.lit(i)).bitwiseXOR(F.get("b_long_bits", F.lit(i)))) for i in range(LONG_BITS)
-    ]
-    differ = F.when(both_long, functools.reduce(operator.add, parts)).otherwise(differ)
+    word = lambda c, i: F.get(c, F.lit(i))
+
+    def folded(c: str, i: int) -> Column:
+        """Word i of MEDIUM_BITS: a set of LONG_BITS words has it in the words i, i + MEDIUM_BITS and so on."""
+        more = [F.coalesce(word(c, j), F.lit(0).cast("bigint")) for j in range(i + MEDIUM_BITS, LONG_BITS, MEDIUM_BITS)]
+        return functools.reduce(Column.bitwiseXOR, more, word(c, i))
+
+    def differing(of: Callable[[str, int], Column], n: int) -> Column:
+        return functools.reduce(operator.add, [F.bit_count(of("a_long_bits", i).bitwiseXOR(of("b_long_bits", i))) for i in range(n)])
+
+    both_medium = F.col("a_long_bits").isNotNull() & F.col("b_long_bits").isNotNull()
+    both_long = (F.col("a_size") > LONG) & (F.col("b_size") > LONG)
+    differ = F.when(both_long, differing(word, LONG_BITS)).when(both_medium, differing(folded, MEDIUM_BITS)).otherwise(differ)
     # With s tokens in all, similarity 4/5 needs 4s/9 shared ones and allows s/9 others.
     found = (
         (F.col("a_size") * WHOLE >= F.col("b_size") * PART)
@@ -165,8 +177,8 @@ def repeated_lines(docs: DataFrame, area: StagingArea | None = None) -> DataFram
 
     Equal sets are joined first, by their hashes. Of the different sets, two similar ones
     share a token of their prefixes, the rarest tokens. A set is first held against the
-    earliest set of each of its prefix tokens; those that pass the filters, as they do in a
-    crowd of near copies, are its only candidates. All other sets, and those whose candidates
+    earliest set of each of its prefix tokens and the one next before it; those that pass the
+    filters, as they do in a crowd of near copies, are its only candidates. All other sets, and those whose candidates
     turn out not to be similar, meet every earlier set of their tokens that passes.
     """
     spark = docs.sparkSession
@@ -180,14 +192,15 @@ def repeated_lines(docs: DataFrame, area: StagingArea | None = None) -> DataFram
 
     met = []
     for i in range(PASSES):
+        one_list = Window.partitionBy("token").orderBy("id")
+        set_of = F.struct("id", "size", "bits", "long_bits")
         first = entries(sets.withColumn("open", F.lit(True))).where(F.pmod("token", F.lit(PASSES)) == i)
-        heads = first.groupBy("token").agg(F.min(F.struct("id", "size", "bits", "long_bits")).alias("head"), F.max("id").alias("last"))
-        heads = heads.where("head.id < last").select(F.col("token").alias("head_token"), "head")
-        found = first.join(heads, F.col("token") == F.col("head_token")).select(
-            F.col("id").alias("a"), F.col("size").alias("a_size"), F.col("bits").alias("a_bits"), F.col("long_bits").alias("a_long_bits"),
-            F.col("head.id").alias("b"), F.col("head.size").alias("b_size"), F.col("head.bits").alias("b_bits"), F.col("head.long_bits").alias("b_long_bits"),
-        ).where((F.col("a") > F.col("b")) & _may_match(position=False))
-        met.append(area.stage(found.select("a", "b").distinct(), "stars"))
+        first = first.select("*", F.first(set_of).over(one_list).alias("head"), F.lag(set_of).over(one_list).alias("before"))
+        tried = first.select("id", "size", "bits", "long_bits", F.explode(F.array("head", "before")).alias("b")).where("id > b.id")
+        side = lambda of, name: [F.col(f"{of}{c}").alias(f"{name}_{c}") for c in ("id", "size", "bits", "long_bits")]
+        found = tried.select(*side("", "a"), *side("b.", "b")).where(_may_match(position=False))
+        found = found.select(F.col("a_id").alias("a"), F.col("b_id").alias("b"))
+        met.append(area.stage(found.distinct(), "stars"))
         release(spark)
     stars = functools.reduce(DataFrame.union, met).distinct()
     starred = area.stage(stars.select(F.col("a").alias("starred")).distinct(), "starred")
@@ -199,6 +212,11 @@ def repeated_lines(docs: DataFrame, area: StagingArea | None = None) -> DataFram
         flagged = sets.join(ids, F.col("id") == F.col("starred"), "left").select(
             "id", "size", "bits", "long_bits", "prefix", (F.col("starred").isNotNull() == are_open).alias("open")
         )
+        # Sets are shuffled for the tokens that an open set has; if few sets are open, these are few.
+        asked = None
+        if are_open:
+            asked = area.stage(entries(flagged.where("open")).select(F.col("token").alias("asked")).distinct(), "asked")
+            few = broadcast_if_small(asked)
         # Both sides have the same columns, and `reach` asks for both sides at once, so that
         # one shuffle of the entries serves both. A share of the tokens at a time: the shuffle is
         # that much smaller, and deleted before the next.
@@ -208,6 +226,8 @@ def repeated_lines(docs: DataFrame, area: StagingArea | None = None) -> DataFram
         for i in range(PASSES):
             mine = F.pmod("token", F.lit(PASSES)) == i
             found = entries(flagged).where(mine).withColumn("reach", F.when(F.col("open"), F.col("id")).otherwise(-1)).drop("open")
+            if asked is not None:
+                found = found.join(few, F.col("token") == F.col("asked"), "left_semi")
             pairs = side("a", found).join(side("b", found), same & _may_match())
             met.append(area.stage(pairs.select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct(), "met"))
             release(spark)

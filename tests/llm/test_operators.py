@@ -229,6 +229,31 @@ def test_lines_crowd_of_near_copies(spark, monkeypatch):
     assert sum(candidates) <= 7 * len(rows)
 
 
+def test_lines_crowd_with_outliers(spark, monkeypatch):
+    """Copies with one to twelve words changed: outliers, unlike the first one, do not meet the whole crowd."""
+    rng = random.Random(5)
+    rows = []
+    for size in (30, 34, 60, 79, 83):
+        base = [f"w{size}x{i}" for i in range(size)]
+        for k in range(120):
+            line = list(base)
+            for at in rng.sample(range(size), rng.randrange(1, 2 + size // 5) if k else 0):
+                line[at] = f"own{len(rows)}y{at}"
+            rows.append((len(rows), " ".join(line[: size - k % 3])))
+    candidates = []
+    verified = lines._verified
+
+    def counted(pairs, *rest):
+        candidates.append(pairs.count())
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(lines, "_verified", counted)
+    found = lines.repeated_lines(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert {(r.doc_id, r.line_no) for r in found.collect()} == brute_lines(rows)
+    # The second list is of the pairs that are left to sets unlike the candidates they had first.
+    assert candidates[1] <= len(rows) // 2
+
+
 def test_lines_rows(spark, odd_docs, odd_rows, no_docs):
     rng = random.Random(11)
     crowd = "the quick brown fox jumps over one lazy dog and runs away from here".split()
