@@ -3,12 +3,14 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tallyhouse.functions import packed_key, surrogate_key, unpacked_key
-from tallyhouse.operators import fact, products
+from tallyhouse.functions import packed_key, record_hash, surrogate_key, unpacked_key
+from tallyhouse.operators import fact, incremental, products
 from tallyhouse.operators.joins import lookup_join, surrogate_lookup
 from tallyhouse.operators.running import large_keys
 from tallyhouse.plans import queries
 from tallyhouse.plans.workspace import Workspace
+from tallyhouse.schemas import SOURCE_COLUMNS
+from tallyhouse.streaming import bronze_stream, land_stream
 
 SF = "/root/testdata/sf0.001"
 
@@ -116,3 +118,18 @@ def test_staged_tables_are_compressed_well(spark, area):
 def test_repeated_keys_stage_nothing(ws):
     queries.repeated_hash_keys(ws)
     assert not ws._tables
+
+
+def test_stream_lines_are_shuffled_once(spark, area):
+    source = area.path("repeats")
+    again = spark.range(60).select(*[(F.col("id") % 7).cast("string").alias(c) for c in SOURCE_COLUMNS])
+    again.repartition(3).write.parquet(source)
+    found = []
+    for many_copies in (True, False):
+        target = area.path("landed")
+        stream = bronze_stream(spark, source, again.schema, many_copies=many_copies)
+        land_stream(stream, target, area.path("checkpoint"))
+        found.append(rows(spark.read.parquet(target).select("record_hash", *SOURCE_COLUMNS)))
+        steps = stream._jdf.queryExecution().analyzed().toString().count("DeduplicateWithinWatermark")
+        assert steps == (2 if many_copies else 1)
+    assert found[0] == found[1] == rows(again.distinct().withColumn("record_hash", record_hash(SOURCE_COLUMNS)))
