@@ -133,3 +133,9 @@ def test_stream_lines_are_shuffled_once(spark, area):
         steps = stream._jdf.queryExecution().analyzed().toString().count("DeduplicateWithinWatermark")
         assert steps == (2 if many_copies else 1)
     assert found[0] == found[1] == rows(again.distinct().withColumn("record_hash", record_hash(SOURCE_COLUMNS)))
+
+
+def test_source_readers_stage_no_bronze(ws):
+    for query in (queries.bronze_load, queries.stream_ingest):
+        query(ws)
+        assert not ws._tables
