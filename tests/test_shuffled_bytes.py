@@ -135,7 +135,25 @@ def test_stream_lines_are_shuffled_once(spark, area):
     assert found[0] == found[1] == rows(again.distinct().withColumn("record_hash", record_hash(SOURCE_COLUMNS)))
 
 
+def test_upsert_by_packed_keys(spark):
+    old = spark.createDataFrame([(None, "a", 1), ("x", None, 2), ("d41d8cd98f00b204e9800998ecf8427e", "é", 3)], "k string, more_key string, n int")
+    new = spark.createDataFrame([("x", "b", 20), ("y", "c", 30)], old.schema)
+    plain, packed = (incremental.upsert_rows(old, new, "k", broadcast_limit=limit) for limit in (1 << 20, 0))
+    assert packed.dtypes == plain.dtypes
+    assert rows(packed) == rows(plain)
+    # A key that is no text is left as it is.
+    assert rows(incremental.upsert_rows(old, new.limit(0), "n", broadcast_limit=-1)) == rows(old)
+
+
 def test_source_readers_stage_no_bronze(ws):
     for query in (queries.bronze_load, queries.stream_ingest):
         query(ws)
         assert not ws._tables
+
+
+def test_fact_takes_keys_of_dimensions(ws):
+    queries.fact_incremental(ws)
+    assert not {"dim_customer", "dim_product", "dim_geography"} & set(ws._tables)
+    for name, dim in (("dim_product", ws.dim_product), ("dim_customer", ws.dim_customer), ("dim_geography", ws.dim_geography)):
+        keys = ws._tables[f"{name}_keys"]
+        assert rows(keys) == rows(dim.select(*keys.columns))
