@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import functools
-import math
 import operator
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..session import StagingArea
@@ -14,8 +14,9 @@ from .common import broadcast_if_small, read_table, release, scratch
 
 # Jaccard similarity of 4/5 or more, kept as whole numbers so that no rounding decides.
 PART, WHOLE = 4, 5
-# Word frequencies are summed by hash bucket; their classes are a constant of the plan.
-BUCKETS = 1 << 14
+# Word frequencies are summed by hash bucket; their classes are a constant of the plan. Of a corpus of 135 million words,
+# 3.6 million of them different, a bucket then has 14 words, so that a rare one is told from one that comes 500 times.
+BUCKETS = 1 << 18
 # The join on prefix tokens is made in so many passes over the sets.
 PASSES = 5
 # Words of 64 bits for the bit filter: one up to MEDIUM tokens, then MEDIUM_BITS, and LONG_BITS above LONG.
@@ -28,17 +29,16 @@ def _words(line: Column) -> Column:
 
 
 def frequency_classes(docs: DataFrame) -> Column:
-    """Class of each hash bucket by its number of words over all documents.
+    """Class of each hash bucket by its number of words over all documents: 0 for one, then one more for each doubling.
 
-    0 up to four times the mean, then one more for each doubling. Only common words stand
-    out of their bucket, however large the corpus; all others are left to their length.
+    Words of a bucket share its class; among these the length decides, for long words are the rarer ones.
     """
     words = docs.select(F.explode(_words(F.col("text"))).alias("word")).where("word <> ''")
     counts = words.groupBy(F.pmod(F.xxhash64("word"), F.lit(BUCKETS)).cast("int").alias("bucket")).count()
-    found = {r["bucket"]: r["count"] for r in counts.collect()}
-    mean = max(1.0, sum(found.values()) / BUCKETS)
-    classes = [min(31, max(0, int(math.log2(max(1.0, found.get(b, 0) / mean))) - 1)) for b in range(BUCKETS)]
-    return F.split(F.lit(",".join(map(str, classes))), ",").cast("array<bigint>")
+    found = counts.select("bucket", F.least(F.lit(31), F.floor(F.log2("count"))).cast("byte").alias("class")).toArrow()
+    classes = np.zeros(BUCKETS, dtype=np.int8)
+    classes[found["bucket"].to_numpy()] = found["class"].to_numpy()
+    return F.split(F.lit(",".join(map(str, classes.tolist()))), ",").cast("array<tinyint>")
 
 
 def _tokens(classes: Column) -> Column:
@@ -50,7 +50,7 @@ def _tokens(classes: Column) -> Column:
 
     def number(word: Column) -> Column:
         h = F.xxhash64(word)
-        above = F.shiftleft(F.get(classes, F.pmod(h, F.lit(BUCKETS)).cast("int")), 58)
+        above = F.shiftleft(F.get(classes, F.pmod(h, F.lit(BUCKETS)).cast("int")).cast("bigint"), 58)
         length = F.shiftleft((63 - F.least(F.octet_length(word), F.lit(63))).cast("bigint"), 52)
         return above.bitwiseOR(length).bitwiseOR(F.shiftrightunsigned(h, 12))
 
@@ -178,8 +178,8 @@ def repeated_lines(docs: DataFrame, area: StagingArea | None = None) -> DataFram
     Equal sets are joined first, by their hashes. Of the different sets, two similar ones
     share a token of their prefixes, the rarest tokens. A set is first held against the
     earliest set of each of its prefix tokens and the one next before it; those that pass the
-    filters, as they do in a crowd of near copies, are its only candidates. All other sets, and those whose candidates
-    turn out not to be similar, meet every earlier set of their tokens that passes.
+    filters, as they do in a crowd of near copies, are its first candidates. Sets that are similar to none of
+    these meet every earlier set of their tokens that passes.
     """
     spark = docs.sparkSession
     area = scratch(spark, area)
@@ -202,44 +202,30 @@ def repeated_lines(docs: DataFrame, area: StagingArea | None = None) -> DataFram
         found = found.select(F.col("a_id").alias("a"), F.col("b_id").alias("b"))
         met.append(area.stage(found.distinct(), "stars"))
         release(spark)
-    stars = functools.reduce(DataFrame.union, met).distinct()
-    starred = area.stage(stars.select(F.col("a").alias("starred")).distinct(), "starred")
+    stars = area.stage(functools.reduce(DataFrame.union, met).distinct(), "pairs")
     release(spark)
+    matched = _verified(stars, sets, docs, area)
 
-    def meeting(ids: DataFrame, are_open: bool) -> DataFrame:
-        """Pairs (a, b) of the sets that `ids` (starred) has, or has not, with all earlier sets of their tokens."""
-        ids = broadcast_if_small(ids)
-        flagged = sets.join(ids, F.col("id") == F.col("starred"), "left").select(
-            "id", "size", "bits", "long_bits", "prefix", (F.col("starred").isNotNull() == are_open).alias("open")
-        )
-        # Sets are shuffled for the tokens that an open set has; if few sets are open, these are few.
-        asked = None
-        if are_open:
-            asked = area.stage(entries(flagged.where("open")).select(F.col("token").alias("asked")).distinct(), "asked")
-            few = broadcast_if_small(asked)
-        # Both sides have the same columns, and `reach` asks for both sides at once, so that
-        # one shuffle of the entries serves both. A share of the tokens at a time: the shuffle is
-        # that much smaller, and deleted before the next.
-        side = lambda name, found: found.select(*[F.col(c).alias(f"{name}_{c}") for c in found.columns])
-        same = (F.col("a_token") == F.col("b_token")) & (F.col("a_reach") > F.col("b_id"))
-        met = []
-        for i in range(PASSES):
-            mine = F.pmod("token", F.lit(PASSES)) == i
-            found = entries(flagged).where(mine).withColumn("reach", F.when(F.col("open"), F.col("id")).otherwise(-1)).drop("open")
-            if asked is not None:
-                found = found.join(few, F.col("token") == F.col("asked"), "left_semi")
-            pairs = side("a", found).join(side("b", found), same & _may_match())
-            met.append(area.stage(pairs.select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct(), "met"))
-            release(spark)
-        return functools.reduce(DataFrame.union, met).distinct()
-
-    pairs = area.stage(stars.union(meeting(starred, False)), "pairs")
-    release(spark)
-    matched = _verified(pairs, sets, docs, area)
-    again = area.stage(starred.join(matched, F.col("starred") == F.col("a"), "left_anti"), "again")
-    if again.count():
-        rest = area.stage(meeting(again, True), "rest")
-        matched = matched.union(_verified(rest, sets, docs, area))
+    # The sets that no candidate has matched are open: they meet all earlier sets of their tokens.
+    flagged = sets.join(broadcast_if_small(matched), F.col("id") == F.col("a"), "left").select(
+        "id", "size", "bits", "long_bits", "prefix", F.col("a").isNull().alias("open")
+    )
+    # Both sides have the same columns, and `reach` asks for both sides at once, so that
+    # one shuffle of the entries serves both. A share of the tokens at a time: the shuffle is
+    # that much smaller, and deleted before the next.
+    side = lambda name, found: found.select(*[F.col(c).alias(f"{name}_{c}") for c in found.columns])
+    same = (F.col("a_token") == F.col("b_token")) & (F.col("a_reach") > F.col("b_id"))
+    met = []
+    for i in range(PASSES):
+        mine = F.pmod("token", F.lit(PASSES)) == i
+        found = entries(flagged).where(mine).withColumn("reach", F.when(F.col("open"), F.col("id")).otherwise(-1)).drop("open")
+        pairs = side("a", found).join(side("b", found), same & _may_match())
+        met.append(area.stage(pairs.select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct(), "met"))
+        release(spark)
+    # A candidate that was not similar is not tried again.
+    rest = functools.reduce(DataFrame.union, met).distinct().join(stars, ["a", "b"], "left_anti")
+    rest = area.stage(rest, "rest")
+    matched = matched.union(_verified(rest, sets, docs, area))
     release(spark)
 
     matched = matched.select(F.col("a").alias("matched_id"))

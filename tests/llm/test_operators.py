@@ -254,6 +254,42 @@ def test_lines_crowd_with_outliers(spark, monkeypatch):
     assert candidates[1] <= len(rows) // 2
 
 
+def test_lines_candidates_are_tried_once(spark, monkeypatch):
+    """A set unlike its first candidates meets the others of its lists, not these candidates again."""
+    rng = random.Random(6)
+    base = [f"w{i}" for i in range(60)]
+    rows = []
+    for k in range(60):
+        line = list(base)
+        for at in rng.sample(range(60), rng.randrange(1, 12)):
+            line[at] = f"own{k}y{at}"
+        rows.append((k, " ".join(line)))
+    tried = []
+    verified = lines._verified
+
+    def seen(pairs, *rest):
+        tried.append({(r.a, r.b) for r in pairs.collect()})
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(lines, "_verified", seen)
+    found = lines.repeated_lines(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert {(r.doc_id, r.line_no) for r in found.collect()} == brute_lines(rows)
+    assert len(tried) == 2 and not tried[0] & tried[1]
+
+
+def test_lines_order_tells_rare_words_from_common_ones(spark, monkeypatch):
+    """Also below the mean of a bucket, a word that comes more often is of a higher class."""
+    monkeypatch.setattr(lines, "BUCKETS", 8)
+    of = lambda w: spark.range(1).select(F.pmod(F.xxhash64(F.lit(w)), F.lit(8)).alias("b")).first().b
+    words = {}
+    for i in range(100):
+        words.setdefault(of(f"w{i}"), f"w{i}")
+    text = " ".join(" ".join([w] * (5000 if b > 1 else (300, 3)[b])) for b, w in words.items())
+    classes = lines.frequency_classes(spark.createDataFrame([(1, text)], "doc_id bigint, text string"))
+    found = spark.range(1).select(classes.alias("c")).first().c
+    assert found[1] < found[0] < found[2]
+
+
 def test_lines_rows(spark, odd_docs, odd_rows, no_docs):
     rng = random.Random(11)
     crowd = "the quick brown fox jumps over one lazy dog and runs away from here".split()
