@@ -158,16 +158,40 @@ STEPS = (
 )
 
 
+# The steps after the first as `canonical` does them: plain text is replaced as such, and a match of the version begins at its
+# letter, for the character before it is only looked at.
+_PLAIN = (("licenc", "licens"), ("sub-licens", "sublicens"), ("non-infringement", "noninfringement"), ("merchantibility", "merchantability"), ("&", " and "))
+_VERSION = (r"v(?<![a-z0-9]v)(?:ersion|ers|er)?[. ]*([0-9])", "version $1")
+_APART = r"[^\p{L}\p{N}]+"
+
+
+def _has(low: Column, *parts: str) -> Column:
+    return functools.reduce(Column.__or__, [F.contains(low, F.lit(p)) for p in parts])
+
+
 def canonical(text: Column) -> Column:
     """Small letters, no copyright statement, one spelling, and one space for all else but letters and digits."""
     low = F.lower(text)
-    has = lambda *parts: functools.reduce(Column.__or__, [F.contains(low, F.lit(p)) for p in parts])
     # The two long patterns are only tried where a text has one of the words that any match needs.
-    out = F.when(has("://", "51 franklin st", "59 temple place", "675 mass ave"), F.regexp_replace(low, ADDRESS, " ")).otherwise(low)
-    out = F.when(has("copyright", "(c)", "©"), F.regexp_replace(out, COPYRIGHT, "")).otherwise(out)
-    for pattern, to in STEPS[1:]:
-        out = F.regexp_replace(out, pattern, to.replace("${", "$").replace("}", "") if "${" in to else to)
-    return F.trim(out)
+    out = F.when(_has(low, "://", "51 franklin st", "59 temple place", "675 mass ave"), F.regexp_replace(low, ADDRESS, " ")).otherwise(low)
+    out = F.when(_has(low, "copyright", "(c)", "©"), F.regexp_replace(out, COPYRIGHT, "")).otherwise(out)
+    for part, to in _PLAIN:
+        out = F.replace(out, F.lit(part), F.lit(to))
+    return F.trim(F.regexp_replace(F.regexp_replace(out, *_VERSION), _APART, " "))
+
+
+# Every known text has all the parts of one of these rows, in letters that `canonical` leaves as they are
+# (it puts spaces between words and none within, and makes 'licens' of 'licenc').
+_SIGNS = (
+    ("licens",), ("licenc",), ("released", "under"), ("distributed", "under"),
+    ("permission", "software"), ("redistribution", "disclaimer"), ("unencumbered", "anyone"),
+)
+
+
+def may_be_known(text: Column) -> Column:
+    """False only for texts that are none of KNOWN, WHOLE and TEXT_DIGESTS. Null for null."""
+    low = F.lower(text)
+    return functools.reduce(Column.__or__, [functools.reduce(Column.__and__, [F.contains(low, F.lit(p)) for p in row]) for row in _SIGNS])
 
 
 def known_digests(spark: SparkSession, known=KNOWN + WHOLE, digests=TEXT_DIGESTS) -> DataFrame:
@@ -188,13 +212,15 @@ def scan(docs: DataFrame, known: DataFrame | None = None, area: StagingArea | No
     """
     spark = docs.sparkSession
     area = scratch(spark, area)
-    # Only the fixed list has a known size; another one may be of any size.
+    # Only the fixed list has a known size and known words; another one may be of any size, and each unit is looked up in it.
+    wanted = may_be_known if known is None else lambda text: F.lit(True)
     known = F.broadcast(known_digests(spark)) if known is None else known
     named = docs.select("doc_id", F.xxhash64("text").alias("content"), F.col("text"))
-    units = named.select(
+    # A text has all that its lines have.
+    units = named.where(wanted(F.col("text"))).select(
         "doc_id", "content", F.posexplode(F.concat(F.array("text"), F.split("text", "\n"))).alias("unit", "body")
     )
-    digests = units.select("doc_id", "content", "unit", F.sha2(canonical(F.col("body")), 256).alias("digest"))
+    digests = units.where(wanted(F.col("body"))).select("doc_id", "content", "unit", F.sha2(canonical(F.col("body")), 256).alias("digest"))
     found = area.stage(digests.join(known, "digest").distinct(), "licences")
     by_doc = found.groupBy(F.col("doc_id").alias("of_doc"), F.col("content").alias("of_content")).agg(
         F.min(F.when(F.col("unit") == 0, F.col("licence"))).alias("text_licence"),

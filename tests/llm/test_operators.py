@@ -1,6 +1,7 @@
 """Each operator against a plain version on rows with nulls, ties, repeats and long texts."""
 
 import base64
+import functools
 import hashlib
 import random
 import re
@@ -254,6 +255,21 @@ def test_lines_crowd_with_outliers(spark, monkeypatch):
     assert candidates[1] <= len(rows) // 2
 
 
+def test_licences_only_possible_units_are_put_in_canonical_form(spark):
+    """Every known text passes the words looked for first, in any spelling; another list is looked up as a whole."""
+    known = spark.createDataFrame(licenses.KNOWN + licenses.WHOLE, "licence string, kind string, text string")
+    spelt = [F.col("text"), F.upper("text"), licenses.canonical(F.col("text")), F.replace(F.col("text"), F.lit("icens"), F.lit("icenc"))]
+    assert known.where(~functools.reduce(lambda a, b: a & b, [licenses.may_be_known(t) for t in spelt])).count() == 0
+    texts = [(1, "Plain words.\nReleased,  UNDER -- mit"), (2, "Plain words."), (3, None), (4, "Sub-Licenced"), (5, "House rules")]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    passed = docs.where(licenses.may_be_known(F.col("text"))).collect()
+    assert {r.doc_id for r in passed} == {1, 4}
+    assert {r.doc_id: r.licences for r in licenses.scan(docs).collect()} == {1: ["MIT"], 2: [], 3: [], 4: [], 5: []}
+    own = spark.createDataFrame([("house rules", "House", "text")], "text string, licence string, kind string")
+    own = own.select(F.sha2("text", 256).alias("digest"), "licence", "kind")
+    assert {r.doc_id: r.text_licence for r in licenses.scan(docs, own).collect()}[5] == "House"
+
+
 def test_lines_candidates_are_tried_once(spark, monkeypatch):
     """A set unlike its first candidates meets the others of its lists, not these candidates again."""
     rng = random.Random(6)
