@@ -23,6 +23,8 @@ BANDS = 3
 PART, WHOLE = 4, 5
 # Band values with more comparisons left than this are split by the rarest shingles of their paragraphs.
 CROWD = 4096
+# Texts are shuffled to the paragraphs wanted of them in so many passes, each deleted before the next.
+PASSES = 4
 
 _IN = PARAGRAPH - SHINGLE + 1
 _MIX = np.array([xxhash.xxh64_intdigest(f"place {i}") | 1 for i in range(PARAGRAPH)], dtype=np.uint64)
@@ -118,8 +120,20 @@ def _alike(a: str, b: str) -> Column:
     return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) * (PART + WHOLE) <= 2 * _IN * (WHOLE - PART)
 
 
-def _shingle_sets(ids: DataFrame, rows: DataFrame, named: DataFrame, area: StagingArea) -> DataFrame:
-    """(digest, shingles) of the paragraphs of `ids` (wanted_digest), taken from the first text of each."""
+def _once(named: DataFrame, area: StagingArea) -> DataFrame:
+    """One row of each document of `named`. Only the texts of repeated rows are shuffled."""
+    again = named.groupBy(F.col("doc_id").alias("of_doc"), F.col("content").alias("of_content")).count().where("count > 1")
+    again = area.stage(again.drop("count"), "repeated-rows")
+    if not again.count():
+        return named
+    few = broadcast_if_small(again)
+    same = F.col("doc_id").eqNullSafe(F.col("of_doc")) & F.col("content").eqNullSafe(F.col("of_content"))
+    doubled = named.join(few, same, "left_semi").dropDuplicates(["doc_id", "content"])
+    return named.join(few, same, "left_anti").union(doubled)
+
+
+def _shingle_sets(ids: DataFrame, rows: DataFrame, once: DataFrame, area: StagingArea) -> list[DataFrame]:
+    """(digest, shingles) of the paragraphs of `ids` (wanted_digest), taken from the first text of each, in parts."""
     where = F.struct("doc_id", "content", "start")
     nodes = rows.join(broadcast_if_small(ids), F.col("digest") == F.col("wanted_digest"), "left_semi").groupBy("digest").agg(
         F.min(where).alias("first")
@@ -129,29 +143,35 @@ def _shingle_sets(ids: DataFrame, rows: DataFrame, named: DataFrame, area: Stagi
     )
     wanted = area.stage(wanted, "wanted")
     release(rows.sparkSession)
-    texts = named.join(
-        broadcast_if_small(wanted, F.size("wanted")),
-        F.col("doc_id").eqNullSafe(F.col("of_doc")) & F.col("content").eqNullSafe(F.col("of_content")),
-    )
-    # Repeated rows of one document give the same digest and shingles again.
-    found = texts.select("text", "wanted").mapInArrow(_sets, "digest bigint, shingles array<bigint>").dropDuplicates(["digest"])
-    sets = area.stage(found, "sets")
+    small = broadcast_if_small(wanted, F.size("wanted"))
+    # Nothing is shuffled for a small table, so that one pass does.
+    passes = 1 if small is not wanted else PASSES
+    sets = []
+    for i in range(passes):
+        texts = once.where(F.pmod("content", F.lit(passes)) == i).join(
+            small.where(F.pmod("of_content", F.lit(passes)) == i) if passes > 1 else small,
+            F.col("doc_id").eqNullSafe(F.col("of_doc")) & F.col("content").eqNullSafe(F.col("of_content")),
+        )
+        found = texts.select("text", "wanted").mapInArrow(_sets, "digest bigint, shingles array<bigint>")
+        sets.append(area.stage(found, "sets"))
+        release(rows.sparkSession)
     area.drop(wanted)
-    release(rows.sparkSession)
     return sets
 
 
-def _verified(pairs: DataFrame, rows: DataFrame, named: DataFrame, area: StagingArea) -> DataFrame:
+def _verified(pairs: DataFrame, rows: DataFrame, once: DataFrame, area: StagingArea) -> DataFrame:
     """The pairs (a, b) of digests whose shingles are similar."""
     ids = area.stage(pairs.select(F.col("a").alias("wanted_digest")).union(pairs.select("b")).distinct(), "wanted-digests")
-    sets = _shingle_sets(ids, rows, named, area)
+    parts = _shingle_sets(ids, rows, once, area)
+    sets = functools.reduce(DataFrame.union, parts)
     area.drop(ids)
     a, b = sets.toDF("a", "a_set"), sets.toDF("b", "b_set")
     shared = F.size(F.array_intersect("a_set", "b_set"))
     both = F.size(F.array_distinct("a_set")) + F.size(F.array_distinct("b_set"))
     links = pairs.join(a, "a").join(b, "b").where(shared * (PART + WHOLE) >= both * PART).select("a", "b")
     links = area.stage(links, "links")
-    area.drop(sets)
+    for part in parts:
+        area.drop(part)
     release(rows.sparkSession)
     return links
 
@@ -166,7 +186,7 @@ def _meeting(members: DataFrame, needed: Column) -> DataFrame:
     return met.select(F.col("x_digest").alias("a"), F.col("y_digest").alias("b")).distinct()
 
 
-def _crowded(members: DataFrame, rows: DataFrame, named: DataFrame, area: StagingArea) -> tuple[DataFrame, DataFrame]:
+def _crowded(members: DataFrame, rows: DataFrame, once: DataFrame, area: StagingArea) -> tuple[DataFrame, DataFrame]:
     """Verified links to the first of each part of crowded keys, and the pairs still to be verified.
 
     `members` are (key, digest, marks, open). Similar paragraphs share one of their prefixes, the
@@ -174,7 +194,8 @@ def _crowded(members: DataFrame, rows: DataFrame, named: DataFrame, area: Stagin
     compared with its first paragraph before the others meet.
     """
     ids = area.stage(members.select(F.col("digest").alias("wanted_digest")).distinct(), "crowd-digests")
-    sets = _shingle_sets(ids, rows, named, area)
+    texts = _shingle_sets(ids, rows, once, area)
+    sets = functools.reduce(DataFrame.union, texts)
     area.drop(ids)
     own = members.join(sets.toDF("of", "shingles"), F.col("digest") == F.col("of")).select(
         "key", "digest", "marks", "open", F.explode(F.array_distinct("shingles")).alias("shingle")
@@ -190,8 +211,8 @@ def _crowded(members: DataFrame, rows: DataFrame, named: DataFrame, area: Stagin
         F.xxhash64("key", "t.shingle").alias("key"), "digest", "marks", "open"
     )
     parts = area.stage(parts, "crowd-parts")
-    area.drop(own)
-    area.drop(sets)
+    for table in (own, *texts):
+        area.drop(table)
     low = parts.groupBy(F.col("key").alias("low_key")).agg(
         F.min("digest").alias("low"), F.max("digest").alias("high"), F.min_by("marks", "digest").alias("low_marks")
     ).where("low < high").drop("high")
@@ -202,7 +223,7 @@ def _crowded(members: DataFrame, rows: DataFrame, named: DataFrame, area: Stagin
     stars = area.stage(
         others.where(_alike("marks", "low_marks")).select(F.col("digest").alias("a"), F.col("low").alias("b")).distinct(), "part-pairs"
     )
-    links = _verified(stars, rows, named, area)
+    links = _verified(stars, rows, once, area)
     linked = links.select(F.col("a").alias("of_a"), F.col("b").alias("of_b"))
     left = others.join(linked, (F.col("digest") == F.col("of_a")) & (F.col("low") == F.col("of_b")), "left").select(
         "key", "digest", "marks", "open", F.col("of_a").isNull().alias("apart")
@@ -233,6 +254,7 @@ def repeated_paragraphs(docs: DataFrame, area: StagingArea | None = None) -> Dat
     python_ready(spark)
     area = scratch(spark, area)
     named = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("content"), "text")
+    once = _once(named, area)
     bands = [f"band{i}" for i in range(BANDS)]
     kind = "doc_id bigint, content bigint, start int, digest bigint, marks bigint, " + ", ".join(f"{b} bigint" for b in bands)
     rows = area.stage(named.mapInArrow(_paragraphs, kind), "paragraphs")
@@ -255,7 +277,7 @@ def repeated_paragraphs(docs: DataFrame, area: StagingArea | None = None) -> Dat
     pairs = area.stage(functools.reduce(DataFrame.union, found).distinct(), "pairs")
     for part in found:
         area.drop(part)
-    stars = _verified(pairs, rows, named, area)
+    stars = _verified(pairs, rows, once, area)
     area.drop(pairs)
     links, linked = [stars], stars.select(F.col("a").alias("of_a"), F.col("b").alias("of_b"))
 
@@ -278,7 +300,7 @@ def repeated_paragraphs(docs: DataFrame, area: StagingArea | None = None) -> Dat
         release(spark)
         if left.where("crowded").count():
             many = area.stage(members.where("crowded").select("key", "digest", "marks", "open"), "crowd")
-            own, rest = _crowded(many, rows, named, area)
+            own, rest = _crowded(many, rows, once, area)
             links.append(own)
             met.append(rest)
             area.drop(many)
@@ -288,7 +310,7 @@ def repeated_paragraphs(docs: DataFrame, area: StagingArea | None = None) -> Dat
     pairs = area.stage(functools.reduce(DataFrame.union, met).distinct(), "pairs-met")
     for part in met:
         area.drop(part)
-    links.append(_verified(pairs, rows, named, area))
+    links.append(_verified(pairs, rows, once, area))
     area.drop(pairs)
     links = functools.reduce(DataFrame.union, links)
     release(spark)

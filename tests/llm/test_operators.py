@@ -255,6 +255,29 @@ def test_lines_crowd_with_outliers(spark, monkeypatch):
     assert candidates[1] <= len(rows) // 2
 
 
+def test_passages_take_texts_in_passes(spark, monkeypatch):
+    """Too large to broadcast, the wanted texts are shuffled in parts; a repeated row gives a paragraph's shingles once."""
+    rng = random.Random(8)
+    block = [f"w{i}" for i in range(60)]
+    rows = [(k, " ".join([f"own{k}x{i}" for i in range(30)] + [w if rng.random() > 0.02 else "other" for w in block])) for k in range(20)]
+    rows += [rows[3], rows[3], (None, rows[5][1]), (None, rows[5][1]), (30, None), (31, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    plain = sorted(passages.repeated_paragraphs(docs).collect(), key=str)
+    assert plain
+    parts = []
+    made = passages._shingle_sets
+
+    def seen(*given):
+        found = made(*given)
+        parts.append((len(found), [r.digest for part in found for r in part.collect()]))
+        return found
+
+    monkeypatch.setattr(passages, "_shingle_sets", seen)
+    monkeypatch.setattr(passages, "broadcast_if_small", lambda staged, elements=None: staged)
+    assert sorted(passages.repeated_paragraphs(docs).collect(), key=str) == plain
+    assert parts and all(n == passages.PASSES and len(d) == len(set(d)) for n, d in parts)
+
+
 def test_licences_only_possible_units_are_put_in_canonical_form(spark):
     """Every known text passes the words looked for first, in any spelling; another list is looked up as a whole."""
     known = spark.createDataFrame(licenses.KNOWN + licenses.WHOLE, "licence string, kind string, text string")
