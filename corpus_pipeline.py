@@ -18,6 +18,10 @@ from tallyhouse.llm.lines import drop_repeated_lines
 from tallyhouse.llm.simhash import drop_near_duplicates
 from tallyhouse.session import StagingArea
 
+# Whole texts go to Python in Arrow batches of so many rows at most. With Spark's 10,000 a batch of texts, its buffers
+# in the JVM and its strings in the worker take some hundred MB of each core that is beside the heap.
+BATCH_ROWS = 1000
+
 _areas: dict[str, StagingArea] = {}
 
 
@@ -28,6 +32,9 @@ def _area(spark: SparkSession) -> StagingArea:
         _areas.pop(key).clear()
         release(spark)
     _areas[key] = StagingArea(spark)
+    rows = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+    if not 0 < rows <= BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return _areas[key]
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.functions import pandas_udf
 
 from ..session import StagingArea
+from .bpe import encoder
 from .common import broadcast_if_small, python_ready, read_table, scratch
 
 VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
@@ -336,6 +337,8 @@ def predictor(spark: SparkSession, model):
 
     @pandas_udf("lang string, score double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        # Workers are used again: the encoder's tables and memory, left by a BPE step before, would stand beside the scorer's.
+        encoder.cache_clear()
         if shared.value is not None:
             languages, pieces, table = shared.value
             scorer = Scorer(pieces, table, float(table.min()))
