@@ -25,28 +25,52 @@ PART, WHOLE = 4, 5
 CROWD = 4096
 # Texts are shuffled to the paragraphs wanted of them in so many passes, each deleted before the next.
 PASSES = 4
+# Texts are handled in Python in runs of so many characters.
+_RUN = 1_000_000
+# Hashes of words up to a length that a worker remembers between texts, some 30 MB.
+_KNOWN_WORDS, _LONGEST_KNOWN = 200_000, 64
 
 _IN = PARAGRAPH - SHINGLE + 1
 _MIX = np.array([xxhash.xxh64_intdigest(f"place {i}") | 1 for i in range(PARAGRAPH)], dtype=np.uint64)
 _TURN = np.array([xxhash.xxh64_intdigest(f"band {i}") | 1 for i in range(BANDS)], dtype=np.uint64)
 
 
-def shingles_of(text: str | None) -> np.ndarray:
-    """Hashes of the five-word shingles of a text in small letters, in order; none if it is shorter."""
-    words = (text or "").lower().split()
-    if len(words) < SHINGLE:
-        return np.zeros(0, dtype=np.uint64)
-    digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(w) for w in words), np.uint64, len(words))
-    count = len(words) - SHINGLE + 1
-    found = np.zeros(count, dtype=np.uint64)
-    for i in range(SHINGLE):
-        found += hashes[i : i + count] * _MIX[i]
+class _Hashes(dict):
+    """XXH64 of words, each worked out when it is first asked for."""
+
+    def __missing__(self, word: str) -> int:
+        found = xxhash.xxh64_intdigest(word)
+        if len(word) <= _LONGEST_KNOWN:
+            self[word] = found
+        return found
+
+
+_hashes = _Hashes()
+
+
+def _hashed(words: list[str]) -> np.ndarray:
+    if len(_hashes) > _KNOWN_WORDS:
+        _hashes.clear()
+    return np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+
+
+def _mixed(hashes: np.ndarray) -> np.ndarray:
+    """Hashes of the shingles of each row of word hashes."""
+    count = hashes.shape[-1] - SHINGLE + 1
+    found = hashes[..., :count] * _MIX[0]
+    for i in range(1, SHINGLE):
+        found += hashes[..., i : i + count] * _MIX[i]
     found ^= found >> np.uint64(29)
     found *= _MIX[SHINGLE]
     return found ^ (found >> np.uint64(32))
 
 
+def shingles_of(text: str | None) -> np.ndarray:
+    """Hashes of the five-word shingles of a text in small letters, in order; none if it is shorter."""
+    words = (text or "").lower().split()
+    return _mixed(_hashed(words)) if len(words) >= SHINGLE else np.zeros(0, dtype=np.uint64)
+
+
 def starts_of(shingles: np.ndarray) -> np.ndarray:
     """Where paragraphs start: at the least shingle of every GAP, the last one of equals.
 
@@ -62,8 +86,9 @@ def starts_of(shingles: np.ndarray) -> np.ndarray:
     for at in range(0, len(views), 8192):
         part = views[at : at + 8192].argmin(axis=1)
         found.append(part + np.arange(at, at + len(part)))
-    starts = len(shingles) - 1 - np.unique(np.concatenate(found))[::-1]
-    return np.unique(np.minimum(starts, fits - 1))
+    # The place of the least never goes back as the window moves on, so that equal places stand together.
+    starts = np.minimum(len(shingles) - 1 - np.concatenate(found)[::-1], fits - 1)
+    return starts[np.diff(starts, prepend=-1) > 0]
 
 
 def _signed(values: np.ndarray) -> pa.Array:
@@ -81,39 +106,67 @@ def marks_of(own: np.ndarray) -> np.ndarray:
     return np.bitwise_xor.reduce(bits, axis=1)
 
 
-def _paragraphs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
+    """Rows of some `_RUN` characters of text; a longer text is a run by itself."""
     for batch in batches:
-        for doc_id, content, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "content", "text"))):
-            shingles = shingles_of(text)
-            starts = starts_of(shingles)
-            for at in range(0, len(starts), 65536):
-                part = starts[at : at + 65536]
-                own = shingles[part[:, None] + np.arange(_IN)]
-                digest = (own * _MIX[:_IN]).sum(axis=1, dtype=np.uint64)
-                bands = {f"band{i}": _signed(((own * turn) ^ ((own * turn) >> np.uint64(31))).min(axis=1)) for i, turn in enumerate(_TURN)}
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "doc_id": pa.array([doc_id] * len(part), pa.int64()),
-                        "content": pa.array([content] * len(part), pa.int64()),
-                        "start": pa.array(part, pa.int32()), "digest": _signed(digest),
-                        "marks": _signed(marks_of(own)), **bands,
-                    }
-                )
+        run, size = [], 0
+        for at in range(batch.num_rows):
+            row = {name: batch.column(name)[at].as_py() for name in batch.schema.names}
+            run.append(row)
+            size += len(row["text"] or "")
+            if size >= _RUN:
+                yield run
+                run, size = [], 0
+        if run:
+            yield run
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for text, wanted in zip(batch.column("text").to_pylist(), batch.column("wanted").to_pylist()):
-            shingles = shingles_of(text)
-            kept = [(w["digest"], shingles[w["start"] : w["start"] + _IN]) for w in wanted]
+def _paragraphs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for run in _runs(batches):
+        texts = [shingles_of(row["text"]) for row in run]
+        starts = [starts_of(shingles) for shingles in texts]
+        counts = [len(part) for part in starts]
+        shingles, start = np.concatenate(texts), np.concatenate(starts)
+        row = np.repeat(np.arange(len(run)), counts)
+        # Where each text's shingles stand among those of the run.
+        before = np.cumsum([0] + [len(part) for part in texts[:-1]])
+        ids, contents = (pa.array([r[name] for r in run], pa.int64()) for name in ("doc_id", "content"))
+        for at in range(0, len(start), 65536):
+            part, of = start[at : at + 65536], row[at : at + 65536]
+            own = shingles[(before[of] + part)[:, None] + np.arange(_IN)]
+            digest = (own * _MIX[:_IN]).sum(axis=1, dtype=np.uint64)
+            bands = {f"band{i}": _signed(((turned := own * turn) ^ (turned >> np.uint64(31))).min(axis=1)) for i, turn in enumerate(_TURN)}
             yield pa.RecordBatch.from_pydict(
                 {
-                    "digest": pa.array([d for d, _ in kept], pa.int64()),
-                    "shingles": pa.array([s.view(np.int64).tolist() for _, s in kept], pa.list_(pa.int64())),
+                    "doc_id": ids.take(pa.array(of)), "content": contents.take(pa.array(of)),
+                    "start": pa.array(part, pa.int32()), "digest": _signed(digest),
+                    "marks": _signed(marks_of(own)), **bands,
                 }
             )
 
 
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The shingles of the paragraphs wanted of each text; its other words are not hashed."""
+
+    def flush(digests: list[int], words: list[str]) -> pa.RecordBatch:
+        values = _mixed(_hashed(words).reshape(-1, PARAGRAPH))
+        ends = pa.array(np.arange(0, values.size + 1, _IN), pa.int32())
+        shingles = pa.ListArray.from_arrays(ends, _signed(values.reshape(-1)))
+        return pa.RecordBatch.from_pydict({"digest": pa.array(digests, pa.int64()), "shingles": shingles})
+
+    for run in _runs(batches):
+        digests, words = [], []
+        for row in run:
+            own = (row["text"] or "").lower().split()
+            for w in row["wanted"]:
+                digests.append(w["digest"])
+                words += own[w["start"] : w["start"] + PARAGRAPH]
+                if len(digests) >= 65536:
+                    yield flush(digests, words)
+                    digests, words = [], []
+        yield flush(digests, words)
+
+
 def _alike(a: str, b: str) -> Column:
     """Bit filter for two columns of marks; no similar pair fails it."""
     # Of two sets of _IN shingles at most, similar ones differ in a ninth of their sum at most.
