@@ -83,13 +83,16 @@ def linked_prints(prints: DataFrame, area: StagingArea) -> DataFrame:
     differ in two bits or fewer if and only if some third one is one flip or none away from
     both, so all that reach the same third one are linked, each to the least of them. The
     links grow with the number of fingerprints, never with the pairs of a group.
+
+    A print makes up to 65 rows here, which Spark's estimate of an explode leaves out, so the joins are
+    sort-merge joins whatever it estimates: a broadcast of such rows would pass through the driver.
     """
-    cells = _cells(prints)
+    cells = _cells(prints).hint("merge")
     shared = cells.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
     near = area.stage(cells.join(shared, "key").select("print").distinct(), "near")
     flips = near.select("print", F.explode(F.sequence(F.lit(0), F.lit(64))).alias("bit")).select(
         "print", F.expr("if(bit = 64, print, print ^ shiftleft(1L, bit))").alias("flip")
-    )
+    ).hint("merge")
     least = flips.groupBy("flip").agg(F.min("print").alias("low"), F.max("print").alias("high")).where("low < high")
     links = flips.join(least.select("flip", "low"), "flip").where(
         (F.col("print") != F.col("low")) & (F.bit_count(F.col("print").bitwiseXOR(F.col("low"))) <= 2)
