@@ -5,12 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import StagingArea
-from .common import release
+from .common import BROADCAST_ROWS, release
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _shuffled_if_large(edges: DataFrame, rows: int) -> DataFrame:
+    """Marked for sort-merge joins if it has too many rows to broadcast. Files tell little: a node of many edges packs well."""
+    return edges.hint("merge") if rows > BROADCAST_ROWS else edges
+
+
+def _large_star(edges: DataFrame, rows: int) -> DataFrame:
     """Every larger neighbour of a node is linked to the node's smallest neighbour (or itself)."""
-    both = edges.union(edges.select("b", "a")).toDF("a", "b")
+    both = _shuffled_if_large(edges.union(edges.select("b", "a")).toDF("a", "b"), 2 * rows)
     least = both.groupBy(F.col("a").alias("hub")).agg(F.min("b").alias("low"))
     least = least.select("hub", F.least("hub", "low").alias("low"))
     return (
@@ -19,8 +24,9 @@ def _large_star(edges: DataFrame) -> DataFrame:
     )
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, rows: int) -> DataFrame:
     """A node and its smaller neighbours are linked to the smallest of them."""
+    edges = _shuffled_if_large(edges, rows)
     least = edges.groupBy(F.col("a").alias("hub")).agg(F.min("b").alias("low"))
     moved = (
         edges.join(least, F.col("a") == F.col("hub")).where("b <> low")
@@ -50,7 +56,7 @@ def connected_components(edges: DataFrame, area: StagingArea) -> DataFrame:
     )
     before = _state(now)
     while before[0]:
-        moved = area.stage(_small_star(_large_star(now)), "stars")
+        moved = area.stage(_small_star(_large_star(now, before[0]), before[0]), "stars")
         area.drop(now)
         release(edges.sparkSession)
         now = moved

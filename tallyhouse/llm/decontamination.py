@@ -141,8 +141,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, area: StagingArea | Non
         F.col("text_key").alias("key"), "window", "size", "first", "wanted",
         (F.col("first") + F.col("offset")).alias("at"),
     )
+    # The places hold digests and texts that pack to a fraction in their files; they are not broadcast for that.
     matched = parts.join(
-        places,
+        places.hint("merge"),
         (F.col("key") == F.col("text_key")) & (F.col("at") == F.col("start")) & (F.col("wanted") == F.col("shingle")),
     )
     whole = matched.groupBy("key", "window", "first", "size").agg(F.count(F.lit(1)).alias("n"))
