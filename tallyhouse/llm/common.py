@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import gc
 import os
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..session import StagingArea
+from ..session import StagingArea, release  # noqa: F401
 
 ROOT = str(Path(__file__).resolve().parents[2])
 
@@ -55,12 +54,6 @@ def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     return kept.select("row.*")
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark delete shuffle files that nothing refers to any more, before the next large step."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 # A broadcast table has this many rows and list elements at most, some 60 MB.
 BROADCAST_ROWS = 500_000
 
