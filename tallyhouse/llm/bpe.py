@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterator
+import itertools
+import weakref
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import ahocorasick
@@ -18,6 +20,24 @@ from .common import python_ready, read_table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 _CACHED_PAIRS, _CACHED_PIECES, _CACHED_LENGTH = 1_000_000, 400_000, 64
+# Ids of a text are written and decoded in runs of so many.
+_RUN = 65536
+
+
+class _Pieces(dict):
+    """Ids of the matches of the pattern, each encoded when it is first asked for."""
+
+    def __init__(self, encoder: Encoder):
+        # No cycle: an encoder that is dropped goes at once, with all it remembers.
+        self.encoder = weakref.proxy(encoder)
+
+    def __missing__(self, match: str) -> tuple[int, ...]:
+        ids = tuple(self.encoder.encode_piece(match.encode().decode("latin-1")))
+        if len(match) <= _CACHED_LENGTH:
+            if len(self) >= _CACHED_PIECES:
+                self.clear()
+            self[match] = ids
+        return ids
 
 
 class Encoder:
@@ -27,28 +47,33 @@ class Encoder:
     the longest token at each place; where it cannot stand next to the token before it, the
     next shorter prefix is tried, and failing all, the token before is taken back. A place
     that failed once is never tried again, so the work is linear in the piece. Two tokens
-    may stand side by side if merging their bytes by rank gives back these two.
+    may stand side by side if merging their bytes by rank gives back these two. Short pieces ask
+    the automaton for the longest token only at the places that are reached, long ones for all at once.
     """
 
     def __init__(self, ranks: dict[bytes, int], pattern: str = public_tokenizers.PATTERN):
         self.pattern = regex.compile(pattern)
         self.rank = {token.decode("latin-1"): rank for token, rank in ranks.items()}
         self.text = {rank: token for token, rank in self.rank.items()}
-        self.size = {rank: len(token) for rank, token in self.text.items()}
-        self.raw = {rank: token for token, rank in ranks.items()}
-        self.longest = max(self.size.values(), default=1)
+        # Lists by rank: looked up for every id of every text.
+        raw = {rank: token for token, rank in ranks.items()}
+        places = range(max(raw, default=-1) + 1)
+        self.raw = [raw.get(rank) for rank in places]
+        self.size = [len(token or b"") for token in self.raw]
+        self.written = [str(rank).encode() for rank in places]
+        self.longest = max(self.size, default=1)
         self.halves: dict[int, tuple[int, int]] = {}
         self.merged: dict[tuple[int, int], int] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
-        self.pieces: dict[str, list[int]] = {}
+        self.pairs: dict[int, bool] = {}
+        self.pieces = _Pieces(self)
         self._split_tokens()
         self.pairs.clear()
         self.automaton = ahocorasick.Automaton()
-        for rank, token in self.text.items():
-            if len(token) == 1 or self.halves[rank] != (rank, rank):
-                self.automaton.add_word(token, (len(token), rank))
+        self.usable = {t: rank for rank, t in self.text.items() if len(t) == 1 or self.halves[rank] != (rank, rank)}
+        for token, rank in self.usable.items():
+            self.automaton.add_word(token, (len(token), rank))
         self.automaton.make_automaton()
-        self.shorter = {rank: self._prefix(token) for rank, token in self.text.items()}
+        self.shorter = [self._prefix(self.text[rank]) if rank in self.text else None for rank in places]
 
     def _split_tokens(self) -> None:
         """The last merge that makes each token; a token no merge makes is its own half."""
@@ -90,60 +115,80 @@ class Encoder:
                 return True
 
     def compatible(self, left: int, right: int) -> bool:
-        found = self.pairs.get((left, right))
+        pair = left << 32 | right
+        found = self.pairs.get(pair)
         if found is None:
             if len(self.pairs) >= _CACHED_PAIRS:
                 self.pairs.clear()
-            found = self.pairs[left, right] = self._compatible(left, right)
+            found = self.pairs[pair] = self._compatible(left, right)
         return found
 
+    def _longest(self, piece: str) -> list[int | None]:
+        """The longest token at each place."""
+        longest: list[int | None] = [None] * len(piece)
+        best = [0] * len(piece)
+        for end, (size, rank) in self.automaton.iter(piece):
+            start = end - size + 1
+            if size > best[start]:
+                best[start], longest[start] = size, rank
+        return longest
+
     def encode_piece(self, piece: str) -> list[int]:
         """Ids of one match, given as Latin-1 text."""
         whole = self.rank.get(piece)
         if whole is not None:
             return [whole]
-        longest: list[int] = [-1] * len(piece)
-        best = [0] * len(piece)
-        for end, (length, rank) in self.automaton.iter(piece):
-            start = end - length + 1
-            if length > best[start]:
-                best[start], longest[start] = length, rank
-        open_at = bytearray(b"\x01") * (len(piece) + 1)
+        length = len(piece)
+        longest = self._longest(piece) if length > _CACHED_LENGTH else None
+        sizes, shorter, pairs, usable, reach = self.size, self.shorter, self.pairs, self.usable, self.automaton.longest_prefix
+        open_at = bytearray(b"\x01") * (length + 1)
         ids: list[int] = []
-        at, token = 0, longest[0]
-        while at < len(piece):
-            if token is None or token < 0:
+        at, before, token, new = 0, None, None, True
+        while at < length:
+            if new:
+                new = False
+                if longest:
+                    token = longest[at]
+                else:
+                    rest = piece[at:]
+                    size = reach(rest)
+                    token = usable.get(rest[:size])
+                    while token is None and size > 1:
+                        size -= 1
+                        token = usable.get(rest[:size])
+            if token is None:
                 # Nothing fits here: this place is closed, and the token before gives way.
-                if not ids:
+                if before is None:
                     raise ValueError("the vocabulary lacks a byte of the text")
                 open_at[at] = 0
                 token = ids.pop()
-                at -= self.size[token]
-                token = self.shorter[token]
+                at -= sizes[token]
+                token, before = shorter[token], ids[-1] if ids else None
                 continue
-            end = at + self.size[token]
-            if open_at[end] and (not ids or self.compatible(ids[-1], token)):
+            end = at + sizes[token]
+            fits = open_at[end]
+            if fits and before is not None:
+                fits = pairs.get(before << 32 | token)
+                if fits is None:
+                    fits = self.compatible(before, token)
+            if fits:
                 ids.append(token)
-                at = end
-                token = longest[at] if at < len(piece) else None
+                before, at, new = token, end, True
             else:
-                token = self.shorter[token]
+                token = shorter[token]
         return ids
 
-    def encode(self, text: str) -> Iterator[list[int]]:
-        known = self.pieces
-        for match in self.pattern.findall(text):
-            ids = known.get(match)
-            if ids is None:
-                ids = self.encode_piece(match.encode().decode("latin-1"))
-                if len(match) <= _CACHED_LENGTH:
-                    if len(known) >= _CACHED_PIECES:
-                        known.clear()
-                    known[match] = ids
-            yield ids
+    def encode(self, text: str) -> Iterator[Sequence[int]]:
+        """Ids of each match, in order. The dictionary works out those it lacks, so that known ones cost one look."""
+        return map(self.pieces.__getitem__, self.pattern.findall(text))
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.raw.__getitem__, ids))
+    def write(self, ids: Sequence[int]) -> bytes:
+        written = self.written
+        return b",".join([written[i] for i in ids])
+
+    def decode(self, ids: Sequence[int]) -> bytes:
+        raw = self.raw
+        return b"".join([raw[i] for i in ids])
 
 
 def read_ranks(path: str = RANKS) -> dict[bytes, int]:
@@ -159,26 +204,12 @@ def encoder(path: str = RANKS) -> Encoder:
 
 def encode_digests(text: str | None, bpe: Encoder) -> tuple[list[int], str, str]:
     """Ids, digest of the ids and digest of the bytes decoded from them, a run of ids at a time."""
-    ids: list[int] = []
+    ids = list(itertools.chain.from_iterable(bpe.encode(text or "")))
     of_ids, of_bytes = hashlib.sha256(), hashlib.sha256()
-    run: list[int] = []
-    first = True
-
-    def close():
-        nonlocal first
-        of_ids.update((("" if first else ",") + ",".join(map(str, run))).encode())
+    for at in range(0, len(ids), _RUN):
+        run = ids[at : at + _RUN]
+        of_ids.update((b"," if at else b"") + bpe.write(run))
         of_bytes.update(bpe.decode(run))
-        first = False
-
-    for piece in bpe.encode(text or ""):
-        run.extend(piece)
-        if len(run) >= 65536:
-            close()
-            ids.extend(run)
-            run = []
-    if run:
-        close()
-        ids.extend(run)
     return ids, of_ids.hexdigest(), of_bytes.hexdigest()
 
 
